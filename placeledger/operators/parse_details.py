@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from placeledger.fixed_values import PROVIDER
 from placeledger.functions import jsons as J
 from placeledger.functions.contacts import normalize_contact
+from placeledger.functions.text import blank_to_null
 from placeledger.operators.parse_search import address_of, contact_entries, rubric_names
 
 
@@ -63,7 +64,7 @@ def parse_details(responses: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
         F.lit(PROVIDER).alias("external_source"),
         "external_id",
         J.text_at(item, "$.name").alias("name"),
-        F.coalesce(J.nonblank(J.text_at(item, "$.full_address_name")), address_of(item)).alias("full_address"),
+        F.coalesce(blank_to_null(J.text_at(item, "$.full_address_name")), address_of(item)).alias("full_address"),
         J.get(item, "$.point.lat", "double").alias("latitude"),
         J.get(item, "$.point.lon", "double").alias("longitude"),
         rubric_names(item).alias("categories"),
