@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from placeledger.operators.joins import lookup
 from placeledger.operators.reclassify import organization_of_discovery
 
 ENTITY = ("external_source", "external_id")
@@ -69,7 +70,7 @@ def backfill_plan(discoveries: DataFrame, raw: DataFrame, salons: DataFrame, reg
     joined, so payloads of older sightings never move.
     """
     wanted = rejected_entities(discoveries, region_id, max_records)
-    history = discoveries.join(wanted.select(*ENTITY), list(ENTITY), "left_semi")
+    history = lookup(discoveries, wanted.select(*ENTITY), list(ENTITY), "left_semi")
     # Observations per cell first: a cell repeated a million times becomes one row.
     per_cell = history.groupBy(*ENTITY, "grid_cell_id").agg(
         F.count("*").alias("n"),
@@ -88,10 +89,7 @@ def backfill_plan(discoveries: DataFrame, raw: DataFrame, salons: DataFrame, reg
     )
     conflicts = conflict_report(history).select(*ENTITY, "conflict", "decisions")
     joined = rebuilt.join(existing, list(ENTITY), "left").join(conflicts, list(ENTITY), "left")
-    codes = F.coalesce(
-        F.when(F.size("classifier_reason_codes") > 0, F.col("classifier_reason_codes")), F.col("filter_reasons"),
-        F.array().cast(_NO_TEXTS),
-    )
+    codes = F.coalesce("classifier_reason_codes", "filter_reasons", F.array().cast(_NO_TEXTS))
     profile = F.coalesce(F.nullif("business_profile", F.lit("")), F.lit("unknown"))
     reason = F.nullif(F.trim("rejection_reason"), F.lit(""))
     same = (
@@ -133,6 +131,6 @@ def backfill_counters(plan: DataFrame) -> DataFrame:
 def link_discoveries(discoveries: DataFrame, salons: DataFrame) -> DataFrame:
     """Fill missing `salon_id`s of discoveries from the record with the same id."""
     known = salons.filter("external_id IS NOT NULL").groupBy(*ENTITY).agg(F.min("id").alias("_salon"))
-    return discoveries.join(known, list(ENTITY), "left").withColumn(
+    return lookup(discoveries, known, list(ENTITY), "left").withColumn(
         "salon_id", F.coalesce("salon_id", "_salon")
     ).select(*discoveries.columns)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from placeledger.operators.joins import lookup
+
 KEY = ("salon_id", "contact_type", "normalized_value", "source")
 
 
@@ -18,21 +20,20 @@ def merge_contacts(current: DataFrame, checked: DataFrame, incoming: DataFrame,
     """
     carried = ["display_value", "metadata", "first_seen_at", "last_seen_at", "is_active", "id"]
     old = current.select(
-        *KEY, F.struct(*[c for c in carried if c in current.columns]).alias("old"),
-        F.lit(None).alias("new"), F.lit(None).cast("bigint").alias("pos"),
+        *KEY, F.struct(*[c for c in carried if c in current.columns]).alias("old")
     )
     payload = [c for c in ("display_value", "metadata") if c in incoming.columns and c in current.columns]
     new = incoming.select(
         *KEY, F.struct(*payload).alias("new"), F.col("pos").cast("bigint").alias("pos")
     )
-    rows = old.drop("new", "pos").unionByName(new, allowMissingColumns=True)
+    rows = old.unionByName(new, allowMissingColumns=True)
     paired = rows.groupBy(*KEY).agg(
         F.max("old.is_active").alias("was_active"),
         F.expr("any_value(old) FILTER (WHERE old IS NOT NULL)").alias("old"),
         F.expr("max_by(new, pos) FILTER (WHERE new IS NOT NULL)").alias("new"),
     )
     looked_at = checked.select("salon_id", "source").distinct().withColumn("_checked", F.lit(True))
-    joined = paired.join(looked_at, ["salon_id", "source"], "left")
+    joined = lookup(paired, looked_at, ["salon_id", "source"], "left")
     seen, known = F.col("new").isNotNull(), F.col("old").isNotNull()
     gone = ~seen & F.coalesce("_checked", F.lit(False)) & F.col("was_active")
     state = joined.withColumn(

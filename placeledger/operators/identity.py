@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.functions.geo import coordinate_key
 from placeledger.functions.text import normalize_phone, normalize_text
+from placeledger.operators.joins import lookup
 from placeledger.session import cut_lineage
 
 # Levels of evidence, strongest first. The first is global, the others hold inside a region.
@@ -65,7 +66,7 @@ def match_existing(obs: DataFrame, current: DataFrame) -> DataFrame:
     )
     known = known.groupBy("key").agg(F.min("_id").alias("entity_id"))
     wanted = obs.select("seq", F.inline(sighting_keys(obs)))
-    hits = wanted.join(known, "key").select("seq", F.struct("level", "entity_id").alias("hit"))
+    hits = lookup(wanted, known, "key").select("seq", F.struct("level", "entity_id").alias("hit"))
     # Sightings without any hit keep a row through the aggregate, without a second join.
     everyone = obs.select("seq", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit"))
     best = hits.unionByName(everyone).groupBy("seq").agg(F.min("hit").alias("hit"))
@@ -88,14 +89,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     def large_star(e: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = least(both).select("a", F.least("a", "least").alias("least"))
-        return both.join(low, "a").filter(F.col("b") > F.col("a")).select(
+        return lookup(both, low, "a").filter(F.col("b") > F.col("a")).select(
             F.col("b").alias("a"), F.col("least").alias("b")
         ).filter("a <> b").distinct()
 
     def small_star(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = least(down)
-        rest = down.join(low, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        rest = lookup(down, low, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         own = low.select("a", F.col("least").alias("b"))
         return rest.unionByName(own).filter("a <> b").distinct()
 
@@ -139,8 +140,8 @@ def resolve_batch(obs: DataFrame) -> DataFrame:
     keyless, linked = keyed.filter(F.size("keys") == 0), folded.filter(F.size("keys") > 0)
     per_key = linked.select("node", F.inline("keys")).select("node", "key")
     hubs = per_key.groupBy("key").agg(F.min("node").alias("hub"))
-    edges = per_key.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    edges = lookup(per_key, hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     components = connected_components(edges)
     named = linked.join(components, "node").select("keys", "component")
-    members = keyed.filter(F.size("keys") > 0).join(named, "keys").select("seq", "component")
+    members = lookup(keyed.filter(F.size("keys") > 0), named, "keys").select("seq", "component")
     return members.unionByName(keyless.select("seq", F.col("seq").alias("component")))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from placeledger.operators.classify import classify_entities, decision_columns
 from placeledger.operators.identity import match_existing, resolve_batch, with_identity_texts
+from placeledger.operators.joins import lookup
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,7 @@ def assign_entities(obs: DataFrame, current: DataFrame) -> DataFrame:
         F.coalesce("known_id", F.lit(int(top)) + 1 + F.col("component")).alias("entity_id"),
         F.col("known_id").isNotNull().alias("known"),
     )
-    return groups.join(named, "component").select("seq", "entity_id", "known")
+    return lookup(groups, named, "component").select("seq", "entity_id", "known")
 
 
 def merge_sightings(current: DataFrame, sightings: DataFrame, as_of, words=None) -> tuple[DataFrame, DataFrame]:
@@ -105,7 +106,7 @@ def merge_sightings(current: DataFrame, sightings: DataFrame, as_of, words=None)
     # Whoever arrives first at a new entity creates it, every other one merges.
     located = decided.join(entities, "seq", "left")
     creators = located.filter(~F.col("known")).groupBy("entity_id").agg(F.min("seq").alias("_creator"))
-    located = located.join(creators, "entity_id", "left").withColumn(
+    located = lookup(located, creators, "entity_id", "left").withColumn(
         "merged", F.coalesce(F.col("known") | (F.col("seq") > F.col("_creator")), F.lit(False))
     ).drop("_creator")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.functions.prices import display_price, whole_units
+from placeledger.operators.joins import lookup
 
 _REFRESHED = (
     "service_name_raw", "service_name_normalized", "amount_minor", "currency", "price_type",
@@ -33,7 +34,7 @@ def merge_prices(current: DataFrame, results: DataFrame, as_of: Column) -> DataF
         F.expr("any_value(new) FILTER (WHERE new IS NOT NULL)").alias("new"),
     )
     checked = results.select("salon_id", "service_key", F.lit(True).alias("_checked"))
-    state = paired.join(checked, ["salon_id", "service_key"], "left")
+    state = lookup(paired, checked, ["salon_id", "service_key"], "left")
     seen, known = F.col("new").isNotNull(), F.col("old").isNotNull()
     gone = ~seen & F.coalesce("_checked", F.lit(False)) & F.col("old.is_active")
     state = state.withColumn(

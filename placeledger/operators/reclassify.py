@@ -31,7 +31,9 @@ def classifier_input(salons: DataFrame) -> DataFrame:
     )
     built = read.select(
         "id",
-        F.lower(F.coalesce("external_source", F.lit(PROVIDER))).alias("external_source"),
+        F.coalesce(
+            *[blank_to_null(c) for c in ("external_source", "source") if c in salons.columns], F.lit(PROVIDER)
+        ).alias("external_source"),
         J.nonblank(F.col("external_id")).alias("external_id"),
         F.coalesce(F.when(J.truthy(name), J.scalar_text(name)), F.col("name"), F.lit("")).alias("name"),
         F.col("name").alias("stored_name"),
