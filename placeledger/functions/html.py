@@ -51,16 +51,18 @@ def _code_point(number: Column) -> Column:
 def _named(token: Column) -> Column:
     """Named reference without its ampersand; the old names also count unterminated,
     longest first, with the rest of the token kept."""
-    names = _literal_map(html.entities.html5, "string")
-    partial = [
-        F.concat(F.element_at(names, F.substring(token, 1, n)), F.substring(token, n + 1, 64))
-        for n in range(_LONGEST_BARE_NAME, 1, -1)
-    ]
-    common = (
+    def look_up(names: Column) -> Column:
+        partial = [
+            F.concat(F.element_at(names, F.substring(token, 1, n)), F.substring(token, n + 1, 64))
+            for n in range(_LONGEST_BARE_NAME, 1, -1)
+        ]
+        return F.coalesce(F.element_at(names, token), *partial, F.concat(F.lit("&"), token))
+
+    return (
         F.when(token == "amp;", "&").when(token == "nbsp;", "\u00a0").when(token == "quot;", '"')
         .when(token == "lt;", "<").when(token == "gt;", ">")
+        .otherwise(let(_literal_map(html.entities.html5, "string"), look_up))
     )
-    return F.coalesce(common, F.element_at(names, token), *partial, F.concat(F.lit("&"), token))
 
 
 def _decode(token: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from placeledger.functions.text import blank_to_null, col, strip
+from placeledger.functions.text import blank_to_null, col, let, strip
 
 
 def lenient(text: Column | str) -> Column:
@@ -14,21 +14,20 @@ def lenient(text: Column | str) -> Column:
 
 def lenient_object(text: Column | str) -> Column:
     """Text as VARIANT, NULL unless it is a JSON object."""
-    parsed = lenient(text)
-    return F.when(kind_of(parsed) == "object", parsed)
+    return let(lenient(text), lambda x: F.when(kind_of(x) == "object", x))
 
 
 def kind_of(v: Column) -> Column:
     """object, array, string, number, boolean or null; NULL for a missing value."""
-    schema = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
+    return let(
+        F.schema_of_variant(v),
+        lambda schema: F.when(schema.isNull(), F.lit(None).cast("string"))
         .when(schema.startswith("OBJECT"), "object")
         .when(schema.startswith("ARRAY"), "array")
         .when(schema == "STRING", "string")
         .when(schema == "BOOLEAN", "boolean")
         .when(schema == "VOID", "null")
-        .otherwise("number")
+        .otherwise("number"),
     )
 
 
@@ -43,19 +42,24 @@ def elements(v: Column, path: str = "$") -> Column:
 
 def string_at(v: Column, path: str) -> Column:
     """The value at `path` if it is a string."""
-    value = get(v, path)
-    return F.when(kind_of(value) == "string", get(value, "$", "string"))
+    return let(get(v, path), lambda x: F.when(kind_of(x) == "string", get(x, "$", "string")))
+
+
+def _by_kind(v: Column, body) -> Column:
+    return let(F.struct(v.alias("v"), kind_of(v).alias("kind")), lambda x: body(x["v"], x["kind"]))
 
 
 def scalar_text(v: Column) -> Column:
     """Text of a scalar, JSON of a container (keys sorted); NULL for JSON null."""
-    kind = kind_of(v)
-    return (
-        F.when(kind.isin("object", "array"), F.to_json(v))
-        .when(kind == "boolean", F.initcap(get(v, "$", "string")))
-        .when(kind == "number", number_text(v))
-        .when(kind == "string", get(v, "$", "string"))
-    )
+    def text(x: Column, kind: Column) -> Column:
+        return (
+            F.when(kind == "string", get(x, "$", "string"))
+            .when(kind.isin("object", "array"), F.to_json(x))
+            .when(kind == "boolean", F.initcap(get(x, "$", "string")))
+            .when(kind == "number", number_text(x))
+        )
+
+    return let(v, lambda x: _by_kind(x, text))
 
 
 def number_text(v: Column) -> Column:
@@ -73,19 +77,26 @@ def text_at(v: Column, path: str) -> Column:
 
 def truthy(v: Column) -> Column:
     """False for missing, null, false, zero, empty text and empty containers."""
-    kind = kind_of(v)
-    return F.coalesce(
-        F.when(kind == "number", get(v, "$", "double") != 0)
-        .when(kind == "boolean", get(v, "$", "boolean"))
-        .when(kind == "string", get(v, "$", "string") != "")
-        .when(kind.isin("object", "array"), ~F.to_json(v).isin("{}", "[]")),
-        F.lit(False),
-    )
+    def test(x: Column, kind: Column) -> Column:
+        return F.coalesce(
+            F.when(kind == "number", get(x, "$", "double") != 0)
+            .when(kind == "boolean", get(x, "$", "boolean"))
+            .when(kind == "string", get(x, "$", "string") != "")
+            .when(kind.isin("object", "array"), ~F.to_json(x).isin("{}", "[]")),
+            F.lit(False),
+        )
+
+    return let(v, lambda x: _by_kind(x, test))
+
+
+def if_truthy(v: Column) -> Column:
+    """The VARIANT itself, NULL unless truthy."""
+    return let(v, lambda x: F.when(truthy(x), x))
 
 
 def first_truthy(*values: Column) -> Column:
     """First truthy VARIANT, NULL when none is."""
-    return F.coalesce(*[F.when(truthy(v), v) for v in values])
+    return F.coalesce(*[if_truthy(v) for v in values])
 
 
 def string_list(text: Column | str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from placeledger.fixed_values import ENTITY_WORDS
 from placeledger.functions.labels import salon_type
 from placeledger.functions.text import contains_any, normalize_text
+from placeledger.operators.stage import stage
 
 DECISION_FIELDS = [
     "accepted", "confidence", "reason_codes", "business_profile", "rejection_reason",
@@ -116,12 +117,12 @@ def classify_entities(
 ) -> DataFrame:
     """Add the decision columns (`DECISION_FIELDS`) to every row.
 
-    Texts, word tests and the decision are three stacked projections: the planner
-    keeps each stage's values instead of repeating them in every branch.
+    Texts, word tests and the decision are separate stages, so each text is normalised
+    once and each word list searched once per row, however many rules mention it.
     """
-    texts = df.withColumn(
-        "_norm",
-        F.struct(
+    texts = stage(
+        df,
+        _norm=F.struct(
             normalize_text(name).alias("name"),
             normalize_text(F.array_join(categories, " ")).alias("categories"),
             normalize_text(description).alias("description"),
@@ -129,19 +130,19 @@ def classify_entities(
         ),
     )
     parts = [F.col(f"_norm.{n}") for n in ("name", "categories", "description", "address")]
-    texts = texts.withColumn(
-        "_text",
-        F.struct(
+    texts = stage(
+        texts,
+        _text=F.struct(
             *[F.coalesce(p, F.lit("")).alias(n) for p, n in zip(parts, ("name", "categories", "description"))],
             F.concat_ws(" ", *parts).alias("all"),
         ),
     )
-    signals = texts.withColumn("_signals", _signals(words))
+    signals = stage(texts, _signals=_signals(words))
     chain = None
     for outcome in _decision_table(F.col("_signals")):
         value = _as_struct(outcome)
         chain = F.when(outcome.condition, value) if chain is None else chain.when(outcome.condition, value)
-    decided = signals.withColumn("_decision", chain)
+    decided = stage(signals, _decision=chain)
     kept = [c for c in df.columns if c not in DECISION_FIELDS]
     return decided.select(
         *kept,

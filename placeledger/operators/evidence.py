@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from placeledger.fixed_values import SOURCE_JSON_LD, SOURCE_PROVIDER, SOURCE_TEXT
 from placeledger.functions import jsons as J
 from placeledger.functions.html import candidate_lines, json_ld_blocks, visible_text
-from placeledger.functions.text import blank_to_null, strip
+from placeledger.functions.text import blank_to_null, let, strip
+from placeledger.operators.stage import stage
 
 PRICE_KEYS = ("services", "prices", "service_prices", "menu")
 # Where a piece of evidence stands in reading order, compared field by field.
@@ -36,45 +36,50 @@ def _evidence_columns(df: DataFrame, price: Column, source_type: str) -> DataFra
     `price_kind` is string, number, boolean or container. A boolean counts as a number
     without an amount; a container cannot be read as a price at all.
     """
-    kind = J.kind_of(price)
-    return df.withColumn("_price", price).filter(F.col("_price").isNotNull()).select(
+    value = F.col("_price")
+    priced = stage(df, _price=price)
+    read = stage(
+        priced.filter(value.isNotNull()), _kind=J.kind_of(value), price_text=J.scalar_text(value)
+    )
+    return read.select(
         "salon_id", "place",
         F.col("name").alias("service_name_raw"),
-        J.scalar_text(F.col("_price")).alias("price_text"),
-        F.when(J.kind_of(F.col("_price")) == "number", J.get(F.col("_price"), "$", "double")).alias("price_number"),
-        F.when(J.kind_of(F.col("_price")).isin("object", "array"), "container")
-        .otherwise(J.kind_of(F.col("_price"))).alias("price_kind"),
+        "price_text",
+        F.when(F.col("_kind") == "number", J.get(value, "$", "double")).alias("price_number"),
+        F.when(F.col("_kind").isin("object", "array"), "container").otherwise(F.col("_kind")).alias("price_kind"),
         F.lit(source_type).alias("source_type"),
         "source_url",
-        F.concat_ws(" ", "name", J.scalar_text(F.col("_price"))).alias("evidence_text"),
+        F.concat_ws(" ", "name", "price_text").alias("evidence_text"),
     )
 
 
 def _present(v: Column) -> Column:
     """A value that is neither missing nor JSON null."""
-    return F.when(J.kind_of(v) != "null", v)
+    return let(v, lambda x: F.when(J.kind_of(x) != "null", x))
 
 
 def structured_evidence(payloads: DataFrame) -> DataFrame:
     """Service and price rows inside provider payloads (salon_id, page, source_url,
     payload). The price is the first truthy of price, amount, cost; a zero or empty
     `cost` is kept when nothing else is there."""
-    items = payloads.withColumn("_payload", J.lenient_object("payload")).select(
+    items = stage(payloads, _payload=J.lenient_object("payload")).select(
         "salon_id", "page", "source_url",
         F.posexplode(J.elements(F.col("_payload"), "$.result.items")).alias("item_pos", "item"),
     )
+
+    def ranked(rank: int):
+        return lambda row, pos: F.struct(F.lit(rank).alias("rank"), pos.alias("pos"), row.alias("row"))
+
     per_key = [
-        F.transform(
-            J.elements(F.col("item"), f"$.{key}"),
-            lambda row, pos, rank=rank: F.struct(F.lit(rank).alias("rank"), pos.alias("pos"), row.alias("row")),
-        )
-        for rank, key in enumerate(PRICE_KEYS)
+        F.transform(J.elements(F.col("item"), f"$.{key}"), ranked(rank)) for rank, key in enumerate(PRICE_KEYS)
     ]
     rows = items.select("salon_id", "page", "source_url", "item_pos", F.inline(F.concat(*per_key)))
-    named = rows.select(
-        "salon_id", "source_url", "row",
-        _place(F.col("page"), F.col("item_pos"), F.col("rank"), F.col("pos")).alias("place"),
-        _first_string(F.col("row"), "name", "title", "service").alias("name"),
+    named = stage(
+        rows.select(
+            "salon_id", "source_url", "row",
+            _place(F.col("page"), F.col("item_pos"), F.col("rank"), F.col("pos")).alias("place"),
+        ),
+        name=_first_string(F.col("row"), "name", "title", "service"),
     ).filter("name IS NOT NULL")
     price = F.coalesce(
         J.first_truthy(J.get(F.col("row"), "$.price"), J.get(F.col("row"), "$.amount")),
@@ -83,29 +88,37 @@ def structured_evidence(payloads: DataFrame) -> DataFrame:
     return _evidence_columns(named, price, SOURCE_PROVIDER)
 
 
-def _ld_nodes(text: str) -> list[str]:
-    """JSON objects of one JSON-LD block in reading order, as JSON texts."""
-    try:
-        todo = [json.loads(text)]
-    except (ValueError, RecursionError):
-        return []
-    nodes = []
-    while todo:
-        value = todo.pop()
-        if isinstance(value, list):
-            todo.extend(reversed(value))
-        elif isinstance(value, dict):
-            nodes.append(json.dumps({k: value.get(k) for k in ("name", "title", "offers", "price") if k in value}))
-            todo.extend(value[k] for k in ("itemListElement", "hasOfferCatalog", "@graph") if value.get(k) is not None)
-    return nodes
+def _ld_nodes_udf():
+    """Nodes of JSON-LD blocks at any depth, in reading order, as JSON texts.
 
-
-@F.pandas_udf("array<string>")
-def ld_nodes(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Nodes of JSON-LD blocks at any depth. Nesting has no bound, which no built-in
-    expression covers; only pages that have such a block get here."""
-    for batch in blocks:
-        yield batch.map(_ld_nodes)
+    Nesting has no bound, which no built-in expression covers; only pages that have
+    such a block get here. The functions are local so that they travel by value and
+    executors need no copy of this package.
+    """
+    import json as js
+
+    def nodes_of(text):
+        try:
+            todo = [js.loads(text)]
+        except (ValueError, RecursionError):
+            return []
+        nodes = []
+        while todo:
+            value = todo.pop()
+            if isinstance(value, list):
+                todo.extend(reversed(value))
+            elif isinstance(value, dict):
+                kept = {k: value[k] for k in ("name", "title", "offers", "price") if k in value}
+                nodes.append(js.dumps(kept))
+                children = ("itemListElement", "hasOfferCatalog", "@graph")
+                todo.extend(value[k] for k in children if value.get(k) is not None)
+        return nodes
+
+    def nodes_of_batches(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in blocks:
+            yield batch.map(nodes_of)
+
+    return F.pandas_udf(nodes_of_batches, T.ArrayType(T.StringType()), F.PandasUDFType.SCALAR_ITER)
 
 
 def json_ld_evidence(pages: DataFrame) -> DataFrame:
@@ -114,13 +127,16 @@ def json_ld_evidence(pages: DataFrame) -> DataFrame:
     blocks = pages.select(
         "salon_id", "page_no", "source_url", F.posexplode(json_ld_blocks("html")).alias("block", "body")
     )
-    nodes = blocks.withColumn("_nodes", ld_nodes("body")).select(
+    nodes = blocks.withColumn("_nodes", _ld_nodes_udf()("body")).select(
         "salon_id", "page_no", "source_url", "block", F.posexplode("_nodes").alias("pos", "node")
-    ).withColumn("node", J.lenient("node"))
-    named = nodes.select(
-        "salon_id", "source_url", "node",
-        _place(F.col("page_no"), 0, F.col("block"), F.col("pos")).alias("place"),
-        _first_string(F.col("node"), "name", "title").alias("name"),
+    )
+    nodes = stage(nodes, node=J.lenient("node"))
+    named = stage(
+        nodes.select(
+            "salon_id", "source_url", "node",
+            _place(F.col("page_no"), 0, F.col("block"), F.col("pos")).alias("place"),
+        ),
+        name=_first_string(F.col("node"), "name", "title"),
     ).filter("name IS NOT NULL")
     node, offers = F.col("node"), J.get(F.col("node"), "$.offers")
     of_offers = F.coalesce(J.first_truthy(J.get(offers, "$.price")), _present(J.get(offers, "$.lowPrice")))

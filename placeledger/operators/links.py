@@ -8,6 +8,7 @@ from placeledger.fixed_values import MAX_PAGES_PER_SALON, PRICE_LINK_WORDS
 from placeledger.functions.html import anchor_targets
 from placeledger.functions.text import contains_any
 from placeledger.functions.urls import page_url, redact_url, resolve_link, split_url
+from placeledger.operators.stage import stage
 
 
 def internal_links(pages: DataFrame, key: str, words: list[str] = PRICE_LINK_WORDS,
@@ -18,9 +19,10 @@ def internal_links(pages: DataFrame, key: str, words: list[str] = PRICE_LINK_WOR
     never leaves the scan.
     """
     found = pages.select(key, F.col(url).alias("_base"), F.posexplode(anchor_targets(html)).alias("pos", "href"))
-    resolved = found.filter(F.col("href") != "").withColumn("url", resolve_link("_base", "href"))
-    split = resolved.filter("url IS NOT NULL").withColumn("_u", split_url("url")).withColumn(
-        "_host", F.lower(split_url(page_url("_base"))["host"])
+    resolved = stage(found.filter(F.col("href") != ""), url=resolve_link("_base", "href"))
+    split = stage(
+        resolved.filter("url IS NOT NULL"),
+        _u=split_url("url"), _host=F.lower(split_url(page_url("_base"))["host"]),
     )
     searched = F.lower(F.concat_ws(" ", F.col("_u.path"), F.col("_u.query")))
     same_host = F.lower(F.col("_u.host")) == F.col("_host")

@@ -9,6 +9,7 @@ from placeledger.functions import jsons as J
 from placeledger.functions.contacts import normalize_contact
 from placeledger.functions.text import blank_to_null
 from placeledger.operators.parse_search import address_of, contact_entries, rubric_names
+from placeledger.operators.stage import stage
 
 
 def outcome_status(http_status: Column, body: Column) -> Column:
@@ -45,17 +46,17 @@ def parse_details(responses: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
     Outcomes keep one row per response. Contacts are normalised and unique per
     response by type and normalised value, the first one kept.
     """
-    read = responses.withColumn("_body", J.lenient("body")).withColumn(
-        "status", outcome_status(F.col("http_status"), F.col("_body"))
-    )
+    read = stage(responses, _body=J.lenient("body"))
+    read = stage(read, status=outcome_status(F.col("http_status"), F.col("_body")))
     outcomes = read.select(
         "id", "salon_id", "external_id", "http_status",
         J.get(F.col("_body"), "$.meta.code", "int").alias("payload_code"),
         "status", F.col("source_url").alias("sanitized_source_url"),
         F.col("body").alias("raw_payload_json"),
     )
-    good = read.filter(F.col("status") == "success").select(
-        "id", "salon_id", "external_id", J.get(F.col("_body"), "$.result.items[0]").alias("item")
+    good = stage(
+        read.filter(F.col("status") == "success").select("id", "salon_id", "external_id", "_body"),
+        item=J.get(F.col("_body"), "$.result.items[0]"),
     )
     item = F.col("item")
     updated = J.first_truthy(J.get(item, "$.updated_at"), J.get(item, "$.last_update"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.fixed_values import PROVIDER
 from placeledger.functions import jsons as J
+from placeledger.functions.text import let
+from placeledger.operators.stage import stage
 
 
 def response_status(body: Column) -> Column:
@@ -25,10 +27,11 @@ def response_status(body: Column) -> Column:
 
 def address_of(item: Column) -> Column:
     """Address text: of an object its name, of a text itself, else `address_name`."""
-    address, fallback = J.get(item, "$.address"), J.get(item, "$.address_name")
-    is_object = J.kind_of(address) == "object"
-    primary = F.when(is_object, J.get(address, "$.name")).otherwise(address)
-    return J.scalar_text(F.coalesce(F.when(J.truthy(primary), primary), fallback))
+    primary = let(
+        J.get(item, "$.address"),
+        lambda a: F.when(J.kind_of(a) == "object", J.get(a, "$.name")).otherwise(a),
+    )
+    return J.scalar_text(F.coalesce(J.if_truthy(primary), J.get(item, "$.address_name")))
 
 
 def rubric_names(item: Column) -> Column:
@@ -60,7 +63,7 @@ def contact_entries(item: Column) -> Column:
         lambda c: F.struct(
             F.coalesce(J.text_at(c, "$.type"), F.lit("")).alias("type"),
             J.scalar_text(
-                F.coalesce(F.when(J.truthy(J.get(c, "$.value")), J.get(c, "$.value")), J.get(c, "$.text"))
+                F.coalesce(J.if_truthy(J.get(c, "$.value")), J.get(c, "$.text"))
             ).alias("value"),
             J.text_at(c, "$.comment").alias("comment"),
         ),
@@ -79,12 +82,13 @@ def parse_search(responses: DataFrame, page_size: int = 10) -> tuple[DataFrame,
     pages follow; `sightings` has one row per organisation of a good response. Both
     are narrow steps over the scan, nothing is shuffled.
     """
-    read = responses.withColumn("_body", J.lenient("body")).withColumn("_status", response_status(F.col("_body")))
+    read = stage(responses, _body=J.lenient("body"))
+    read = stage(read, _status=response_status(F.col("_body")))
     ok = F.col("_status") == "ok"
     items = F.when(
         ok, F.filter(J.elements(F.col("_body"), "$.result.items"), lambda i: J.kind_of(i) == "object")
     ).otherwise(F.array().cast("array<variant>"))
-    read = read.withColumn("_items", items)
+    read = stage(read, _items=items)
     n_items = F.size("_items")
     total = F.when(ok, F.coalesce(J.get(F.col("_body"), "$.result.total", "bigint"), n_items)).otherwise(0)
     pages = read.select(
@@ -97,7 +101,8 @@ def parse_search(responses: DataFrame, page_size: int = 10) -> tuple[DataFrame,
     exploded = read.select(
         "region_id", "grid_cell_id", "query", "page", "source_url", "fetched_at",
         F.posexplode("_items").alias("item_pos", "item"),
-    ).withColumn("_contacts", contact_entries(F.col("item")))
+    )
+    exploded = stage(exploded, _contacts=contact_entries(F.col("item")))
     item = F.col("item")
     sightings = exploded.select(
         "region_id", "page", "item_pos",

@@ -10,22 +10,23 @@ from placeledger.functions.text import blank_to_null
 from placeledger.operators.classify import classify_entities
 from placeledger.operators.eligibility import due_for_reclassification
 from placeledger.operators.parse_search import category_names, rubric_names
+from placeledger.operators.stage import stage
 
 _EMPTY = "array<string>"
 
 
 def _payload_first(path: str, column: str) -> Column:
     """Truthy payload value, else the stored column; blank counts as missing."""
-    value = J.get(F.col("_payload"), path)
-    return J.nonblank(F.coalesce(F.when(J.truthy(value), J.scalar_text(value)), F.col(column)))
+    value = J.scalar_text(J.if_truthy(J.get(F.col("_payload"), path)))
+    return J.nonblank(F.coalesce(value, F.col(column)))
 
 
 def classifier_input(salons: DataFrame) -> DataFrame:
     """Stored rows with the classifier's input: payload first, row second; categories
     from the column, else from the payload's rubrics. Adds `reliable`, `issue` and
     `input_snapshot`; previous decision columns get the prefix `previous_`."""
-    read = salons.withColumn("_payload", J.lenient_object("raw_payload"))
-    name = J.get(read["_payload"], "$.name")
+    read = stage(salons, _payload=J.lenient_object("raw_payload"))
+    name = J.scalar_text(J.if_truthy(J.get(F.col("_payload"), "$.name")))
     stored = F.filter(
         F.coalesce("categories", F.array().cast(_EMPTY)), lambda c: c.isNotNull() & (c != "")
     )
@@ -35,7 +36,7 @@ def classifier_input(salons: DataFrame) -> DataFrame:
             *[blank_to_null(c) for c in ("external_source", "source") if c in salons.columns], F.lit(PROVIDER)
         ).alias("external_source"),
         J.nonblank(F.col("external_id")).alias("external_id"),
-        F.coalesce(F.when(J.truthy(name), J.scalar_text(name)), F.col("name"), F.lit("")).alias("name"),
+        F.coalesce(name, F.col("name"), F.lit("")).alias("name"),
         F.col("name").alias("stored_name"),
         F.when(F.size(stored) > 0, stored).otherwise(rubric_names(F.col("_payload"))).alias("categories"),
         _payload_first("$.address_name", "address").alias("address"),
@@ -86,18 +87,18 @@ def organization_of_discovery(discoveries: DataFrame, raw: DataFrame) -> DataFra
         F.col("id").alias("raw_result_id"), F.col("payload").alias("_raw"),
         F.col("name").alias("raw_name"), F.col("fetched_at").alias("raw_fetched_at"),
     )
-    read = discoveries.join(raws, "raw_result_id", "left").withColumn("_payload", J.lenient_object("_raw"))
+    read = stage(discoveries.join(raws, "raw_result_id", "left"), _payload=J.lenient_object("_raw"))
     p = F.col("_payload")
 
     def text(path: str) -> Column:
         return J.nonblank(J.text_at(p, path))
 
-    name = J.get(p, "$.name")
+    name = J.scalar_text(J.if_truthy(J.get(p, "$.name")))
     address = J.first_truthy(J.get(p, "$.address_name"), J.get(p, "$.address"))
     org = F.struct(
         "external_source",
         J.nonblank(F.col("external_id")).alias("external_id"),
-        F.coalesce(F.when(J.truthy(name), J.scalar_text(name)), F.col("raw_name"), F.lit("")).alias("name"),
+        F.coalesce(name, F.col("raw_name"), F.lit("")).alias("name"),
         J.nonblank(J.scalar_text(address)).alias("address"),
         J.get(p, "$.point.lat", "double").alias("latitude"),
         J.get(p, "$.point.lon", "double").alias("longitude"),
@@ -110,4 +111,4 @@ def organization_of_discovery(discoveries: DataFrame, raw: DataFrame) -> DataFra
         F.col("grid_cell_id").alias("discovered_grid_cell_id"),
         F.col("raw_fetched_at").alias("fetched_at"),
     )
-    return read.withColumn("org", org).drop("_payload", "_raw", "raw_name", "raw_fetched_at")
+    return stage(read, org=org).drop("_payload", "_raw", "raw_name", "raw_fetched_at")

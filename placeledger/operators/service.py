@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.fixed_values import SERVICE_WORDS
 from placeledger.functions.text import contains_any, normalize_text
+from placeledger.operators.stage import stage
 
 
 def match_service(df: DataFrame, name: str, context: str | None = None,
@@ -18,9 +19,9 @@ def match_service(df: DataFrame, name: str, context: str | None = None,
     """
     both = F.concat_ws(" ", F.nullif(F.col(name), F.lit("")), *([F.col(context)] if context else []))
     empty = F.lit("")
-    texts = df.withColumn(
-        "_match_text",
-        F.struct(
+    texts = stage(
+        df,
+        _match_text=F.struct(
             F.coalesce(normalize_text(name), empty).alias("service"),
             F.coalesce(normalize_text(both), empty).alias("all"),
         ),
@@ -30,9 +31,9 @@ def match_service(df: DataFrame, name: str, context: str | None = None,
     def has(text: Column, key: str) -> Column:
         return contains_any(text, words[key], normalize=False)
 
-    signals = texts.withColumn(
-        "_match_signals",
-        F.struct(
+    signals = stage(
+        texts,
+        _match_signals=F.struct(
             has(everything, "base").alias("base"),
             has(everything, "coating").alias("coating"),
             has(everything, "strong").alias("strong"),
@@ -55,9 +56,9 @@ def match_service(df: DataFrame, name: str, context: str | None = None,
 
     both_words = s["base"] & s["coating"]
     rescued = F.when(s["negative"], "mens_manicure_equivalent")
-    return signals.withColumn(
-        "match",
-        F.when(everything == "", verdict("unrelated", "low", "empty_service", named=False))
+    return stage(
+        signals,
+        match=F.when(everything == "", verdict("unrelated", "low", "empty_service", named=False))
         .when(s["negative"] & ~(s["men"] & both_words), verdict("excluded", "high", "excluded_service_signal"))
         .when(s["package"], verdict("ambiguous", "low", "package_service_signal"))
         .when(s["strong"] | both_words, verdict("matched", "high", rescued, "manicure_signal", "coating_signal"))

@@ -15,6 +15,7 @@ from placeledger.functions.prices import PRICE_TYPE, price_of_number, price_of_t
 from placeledger.operators.eligibility import accepted_or_unset
 from placeledger.operators.evidence import json_ld_evidence, structured_evidence, text_evidence
 from placeledger.operators.service import match_service
+from placeledger.operators.stage import stage
 
 
 
@@ -47,13 +48,13 @@ def judge_evidence(evidence: DataFrame, words: dict[str, list[str]] = SERVICE_WO
     price = F.when(
         F.col("price_kind").isin("number", "boolean"), price_of_number("price_number")
     ).when(F.col("price_kind") == "string", price_of_text("price_text"))
-    priced = relevant.withColumn("price", price.cast(PRICE_TYPE))
+    priced = stage(relevant, price=price.cast(PRICE_TYPE))
     verdict = (
         F.when(F.col("price_kind") == "container", "error")
         .when((F.col("match.status") == "ambiguous") | F.col("price").isNull(), "ambiguous")
         .otherwise("found")
     )
-    return priced.withColumn("verdict", verdict).withColumn(
+    return stage(priced, verdict=verdict).withColumn(
         "price", F.when(F.col("verdict") == "found", F.col("price"))
     )
 
@@ -121,10 +122,9 @@ def extract_prices(salons: DataFrame, details: DataFrame, pages: DataFrame, as_o
         .when(site & F.col("website").isNotNull(), F.col("website"))
         .otherwise(F.col("provider"))
     )
-    picked = grouped.withColumn("pick", pick).withColumn(
-        "extraction_status",
-        F.when(failed, "error").otherwise(F.coalesce(F.col("pick.verdict"), F.lit("not_found"))),
-    )
+    picked = stage(stage(grouped, failed=failed, pick=pick), extraction_status=(
+        F.when(F.col("failed"), "error").otherwise(F.coalesce("pick.verdict", F.lit("not_found")))
+    ))
     return _result_columns(picked, as_of)
 
 
