@@ -118,7 +118,7 @@ def _ld_nodes_udf():
         for batch in blocks:
             yield batch.map(nodes_of)
 
-    return F.pandas_udf(nodes_of_batches, T.ArrayType(T.StringType()), F.PandasUDFType.SCALAR_ITER)
+    return F.pandas_udf(nodes_of_batches, T.ArrayType(T.StringType()))
 
 
 def json_ld_evidence(pages: DataFrame) -> DataFrame:

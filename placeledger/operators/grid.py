@@ -13,6 +13,7 @@ from placeledger.functions.geo import (
     unwrap_longitude,
 )
 from placeledger.operators.joins import lookup
+from placeledger.operators.stage import stage
 
 
 def longitude_stats(points: DataFrame, by: str = "region_id", lon: str = "lon") -> DataFrame:
@@ -47,6 +48,14 @@ def ring_edges(boundaries: DataFrame, by: str = "region_id") -> DataFrame:
     ).filter((F.col("lon1") != F.col("lon2")) | (F.col("lat1") != F.col("lat2")))
 
 
+def project_points(df: DataFrame, points: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Add x and y columns for (lon, lat, x, y) column names, around lon0 and lat0."""
+    projected = {}
+    for lon, lat, x, y in points:
+        projected[x], projected[y] = project_local(F.col(lon), F.col(lat), F.col("lon0"), F.col("lat0"))
+    return stage(df, **projected)
+
+
 def projected_edges(boundaries: DataFrame, by: str = "region_id") -> tuple[DataFrame, DataFrame]:
     """(edges in local metres, frames). A frame has the projection centre, which is the
     middle of the bounding box, and the bounds of the projected region."""
@@ -63,9 +72,7 @@ def projected_edges(boundaries: DataFrame, by: str = "region_id") -> tuple[DataF
         F.first("unwrap").alias("unwrapped"),
     )
     flat = lookup(placed.drop("mean_lon", "unwrap"), centres, by)
-    for end in ("1", "2"):
-        x, y = project_local(F.col(f"lon{end}"), F.col(f"lat{end}"), F.col("lon0"), F.col("lat0"))
-        flat = flat.withColumn(f"x{end}", x).withColumn(f"y{end}", y)
+    flat = project_points(flat, [("lon1", "lat1", "x1", "y1"), ("lon2", "lat2", "x2", "y2")])
     flat = flat.select(by, "x1", "y1", "x2", "y2")
     bounds = flat.groupBy(by).agg(
         F.min("x1").alias("min_x"), F.min("y1").alias("min_y"), F.max("x1").alias("max_x"), F.max("y1").alias("max_y")
@@ -103,13 +110,15 @@ def grid_cells(boundaries: DataFrame, size: float = GRID_SIZE_METERS, by: str =
     edges, frames = projected_edges(boundaries, by)
     frames = _shape(frames, size)
     local = lookup(edges, frames.select(by, "min_x", "min_y", "max_y", "n_cols", "n_rows"), by)
-    for axis in ("x", "y"):
-        for end in ("1", "2"):
-            local = local.withColumn(f"{axis}{end}", F.col(f"{axis}{end}") - F.col(f"min_{axis}"))
-    local = local.withColumn("height", F.col("max_y") - F.col("min_y"))
+    local = stage(
+        local,
+        height=F.col("max_y") - F.col("min_y"),
+        **{f"{axis}{end}": F.col(f"{axis}{end}") - F.col(f"min_{axis}") for axis in "xy" for end in "12"},
+    )
 
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    by_row = local.select("*", F.explode(_touched(low, high, F.col("n_rows"), size)).alias("row"))
+    rows = F.explode(_touched(low, high, F.col("n_rows"), size)).alias("row")
+    by_row = local.select(by, "x1", "y1", "x2", "y2", "height", "n_cols", rows)
     slope = (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
     level = F.col("y1") == F.col("y2")
 
@@ -120,7 +129,9 @@ def grid_cells(boundaries: DataFrame, size: float = GRID_SIZE_METERS, by: str =
     top = F.least(high, (F.col("row") + 1) * size)
     xa = F.when(level, F.col("x1")).otherwise(x_at(bottom))
     xb = F.when(level, F.col("x2")).otherwise(x_at(top))
-    outline = by_row.select(by, "row", "n_cols", F.least(xa, xb).alias("a"), F.greatest(xa, xb).alias("b")).select(
+    outline = stage(by_row, xa=xa, xb=xb).select(
+        by, "row", "n_cols", F.least("xa", "xb").alias("a"), F.greatest("xa", "xb").alias("b")
+    ).select(
         by, "row", F.explode(_touched(F.col("a"), F.col("b"), F.col("n_cols"), size)).alias("col")
     )
 
@@ -158,21 +169,24 @@ def _place(cells: DataFrame, frames: DataFrame, size: float, by: str) -> DataFra
     placed = lookup(cells, frames, by)
     left = F.col("min_x") + F.col("col") * size
     south = F.col("min_y") + F.col("row") * size
-    right, north = F.least(left + size, F.col("max_x")), F.least(south + size, F.col("max_y"))
-    placed = placed.withColumns({"_l": left, "_r": right, "_s": south, "_n": north})
-
-    def at(x: Column, y: Column) -> tuple[Column, Column]:
-        return unproject_local(x, y, F.col("lon0"), F.col("lat0"))
-
-    corners = [at(F.col(x), F.col(y)) for x in ("_l", "_r") for y in ("_s", "_n")]
-    centre_lon, centre_lat = at((F.col("_l") + F.col("_r")) / 2, (F.col("_s") + F.col("_n")) / 2)
-    lons = [unwrap_longitude(lon, "lon0") for lon, _ in corners]
-    lats = [lat for _, lat in corners]
+    placed = stage(
+        placed,
+        x0=left, x1=F.least(left + size, F.col("max_x")), y0=south, y1=F.least(south + size, F.col("max_y")),
+    )
+    points = [("x0", "y0"), ("x0", "y1"), ("x1", "y0"), ("x1", "y1")]
+    degrees = {}
+    for i, (x, y) in enumerate(points):
+        degrees[f"lon_{i}"], degrees[f"lat_{i}"] = unproject_local(F.col(x), F.col(y), F.col("lon0"), F.col("lat0"))
+    middle = ((F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2)
+    degrees["mid_lon"], degrees["mid_lat"] = unproject_local(*middle, F.col("lon0"), F.col("lat0"))
+    placed = stage(placed, **degrees)
+    lons = [unwrap_longitude(f"lon_{i}", "lon0") for i in range(4)]
+    lats = [F.col(f"lat_{i}") for i in range(4)]
     return placed.select(
         by, "cell_order", "row", "col",
         F.greatest(*lats).alias("north"), F.least(*lats).alias("south"),
         normalize_longitude(F.least(*lons)).alias("west"), normalize_longitude(F.greatest(*lons)).alias("east"),
-        centre_lat.alias("center_lat"), normalize_longitude(centre_lon).alias("center_lon"),
+        F.col("mid_lat").alias("center_lat"), normalize_longitude("mid_lon").alias("center_lon"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from placeledger.operators.classify import classify_entities, decision_columns
 from placeledger.operators.identity import match_existing, resolve_batch, with_identity_texts
 from placeledger.operators.joins import lookup
+from placeledger.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -100,9 +101,13 @@ def merge_sightings(current: DataFrame, sightings: DataFrame, as_of, words=None)
     `decided` is the batch with its decision, entity (NULL for history-only rows) and
     `merged`, ready to be appended as discovery history.
     """
-    decided = classify_entities(with_identity_texts(sightings), **({"words": words} if words else {}))
+    # Written once to the shared folder: the batch is read by the grouping rounds, the
+    # matching and the merge, and none of them should parse and classify it again.
+    decided = cut_lineage(
+        classify_entities(with_identity_texts(sightings), **({"words": words} if words else {}))
+    )
     candidates = canonical_candidates(decided)
-    entities = assign_entities(candidates, current)
+    entities = cut_lineage(assign_entities(candidates, current))
     # Whoever arrives first at a new entity creates it, every other one merges.
     located = decided.join(entities, "seq", "left")
     creators = located.filter(~F.col("known")).groupBy("entity_id").agg(F.min("seq").alias("_creator"))

@@ -58,7 +58,8 @@ def current_version(spark: SparkSession, root: str) -> str | None:
 def drop_repeats(stream: DataFrame, keys: list[str], event_time: str, within: str = "1 day") -> DataFrame:
     """First of equal observations seen within the watermark. State is dropped as the
     watermark passes, so it stays bounded."""
-    return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(keys)
+    timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return timed.withWatermark(event_time, within).dropDuplicatesWithinWatermark(keys)
 
 
 def stale_runs(runs: DataFrame, as_of: Column, minutes: int) -> DataFrame:
@@ -81,7 +82,8 @@ def heartbeat_sessions(heartbeats: DataFrame, minutes: int, run: str = "run_id",
                        watermark: str | None = None) -> DataFrame:
     """Alive spans of runs: beats closer than the gap belong together. In a stream, a
     span comes out once the watermark says that no further beat can extend it."""
-    beats = heartbeats.withWatermark(at, watermark) if watermark else heartbeats
+    beats = heartbeats.withColumn(at, F.col(at).cast("timestamp"))
+    beats = beats.withWatermark(at, watermark) if watermark else beats
     return beats.groupBy(run, F.session_window(at, f"{int(minutes)} minutes").alias("span")).agg(
         F.count("*").alias("beats"), F.min(at).alias("first_beat"), F.max(at).alias("last_beat")
     ).drop("span")
