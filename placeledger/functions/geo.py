@@ -12,7 +12,7 @@ from placeledger.fixed_values import (
     WGS84_ECC2,
     WGS84_SEMI_MAJOR,
 )
-from placeledger.functions.text import col
+from placeledger.functions.text import col, let
 
 
 def _fixed5(x: Column) -> Column:
@@ -84,39 +84,60 @@ def cell_radius_m(cell_size: float = GRID_SIZE_METERS) -> int:
     return math.ceil(cell_size * math.sqrt(2) / 2)
 
 
-def _local_radii(lat0: Column) -> tuple[Column, Column]:
-    """Ellipsoid radii of curvature at a latitude: along the parallel, the meridian."""
-    root = F.sqrt(1 - F.lit(WGS84_ECC2) * F.pow(F.sin(F.radians(lat0)), F.lit(2.0)))
-    prime = F.lit(WGS84_SEMI_MAJOR) / root
-    meridian = F.lit(WGS84_SEMI_MAJOR * (1 - WGS84_ECC2)) / (root * root * root)
-    return prime, meridian
+def _centre(lon0: Column, lat0: Column) -> Column:
+    """Projection centre: its sines and the ellipsoid's radii of curvature there, along
+    the parallel and the meridian."""
+    phi = F.radians(lat0)
+    root = F.sqrt(1 - F.lit(WGS84_ECC2) * F.pow(F.sin(phi), F.lit(2.0)))
+    return F.struct(
+        lon0.alias("lon"), F.sin(phi).alias("sin"), F.cos(phi).alias("cos"),
+        (F.lit(WGS84_SEMI_MAJOR) / root).alias("prime"),
+        (F.lit(WGS84_SEMI_MAJOR * (1 - WGS84_ECC2)) / F.pow(root, F.lit(3.0))).alias("meridian"),
+    )
 
 
-def project_local(lon: Column, lat: Column, lon0: Column, lat0: Column) -> tuple[Column, Column]:
-    """Azimuthal-equidistant metres around (lon0, lat0).
+def project_local(lon: Column, lat: Column, lon0: Column, lat0: Column) -> Column:
+    """struct(x, y): azimuthal-equidistant metres around (lon0, lat0).
 
     Spherical formulas, with each axis scaled by the ellipsoid's radius of curvature
     at the centre. Against an ellipsoidal projection the distances near the centre
     agree, and drift by well under 0.5 % over a region of a few hundred kilometres.
     """
-    phi, phi0, dlon = F.radians(lat), F.radians(lat0), F.radians(lon - lon0)
-    cos_c = F.sin(phi0) * F.sin(phi) + F.cos(phi0) * F.cos(phi) * F.cos(dlon)
-    c = F.acos(F.least(F.greatest(cos_c, F.lit(-1.0)), F.lit(1.0)))
-    k = F.when(F.sin(c) < 1e-12, F.lit(1.0)).otherwise(c / F.sin(c))
-    prime, meridian = _local_radii(lat0)
-    x = prime * k * F.cos(phi) * F.sin(dlon)
-    y = meridian * k * (F.cos(phi0) * F.sin(phi) - F.sin(phi0) * F.cos(phi) * F.cos(dlon))
-    return x, y
-
-
-def unproject_local(x: Column, y: Column, lon0: Column, lat0: Column) -> tuple[Column, Column]:
-    """Inverse of `project_local`; returns (lon, lat), longitude not yet normalised."""
-    prime, meridian = _local_radii(lat0)
-    u, v, phi0 = x / prime, y / meridian, F.radians(lat0)
-    c = F.sqrt(u * u + v * v)
-    scaled = F.when(c < 1e-15, F.lit(1.0)).otherwise(F.sin(c) / c)
-    lat = F.degrees(F.asin(F.cos(c) * F.sin(phi0) + v * scaled * F.cos(phi0)))
-    lon = lon0 + F.degrees(
-        F.atan2(u * scaled, F.cos(phi0) * F.cos(c) - v * scaled * F.sin(phi0))
-    )
-    return lon, lat
+    def angles(o: Column) -> Column:
+        phi, turn = F.radians(lat), F.radians(lon - o["lon"])
+        return F.struct(
+            o.alias("o"), F.sin(phi).alias("sin"), F.cos(phi).alias("cos"),
+            F.sin(turn).alias("sin_turn"), F.cos(turn).alias("cos_turn"),
+        )
+
+    def arc(p: Column) -> Column:
+        cosine = p["o"]["sin"] * p["sin"] + p["o"]["cos"] * p["cos"] * p["cos_turn"]
+        return F.struct(p.alias("p"), F.acos(F.least(F.greatest(cosine, F.lit(-1.0)), F.lit(1.0))).alias("c"))
+
+    def metres(q: Column) -> Column:
+        p, o, c = q["p"], q["p"]["o"], q["c"]
+        k = F.when(F.sin(c) < 1e-12, F.lit(1.0)).otherwise(c / F.sin(c))
+        north = o["cos"] * p["sin"] - o["sin"] * p["cos"] * p["cos_turn"]
+        return F.struct(
+            (o["prime"] * k * p["cos"] * p["sin_turn"]).alias("x"), (o["meridian"] * k * north).alias("y")
+        )
+
+    return let(let(let(_centre(lon0, lat0), angles), arc), metres)
+
+
+def unproject_local(x: Column, y: Column, lon0: Column, lat0: Column) -> Column:
+    """Inverse of `project_local`: struct(lon, lat), longitude not yet normalised."""
+    def scaled(o: Column) -> Column:
+        return F.struct(o.alias("o"), (x / o["prime"]).alias("u"), (y / o["meridian"]).alias("v"))
+
+    def arc(p: Column) -> Column:
+        return F.struct(p.alias("p"), F.sqrt(p["u"] * p["u"] + p["v"] * p["v"]).alias("c"))
+
+    def degrees(q: Column) -> Column:
+        p, o, c = q["p"], q["p"]["o"], q["c"]
+        k = F.when(c < 1e-15, F.lit(1.0)).otherwise(F.sin(c) / c)
+        lat = F.asin(F.cos(c) * o["sin"] + p["v"] * k * o["cos"])
+        turn = F.atan2(p["u"] * k, o["cos"] * F.cos(c) - p["v"] * k * o["sin"])
+        return F.struct((o["lon"] + F.degrees(turn)).alias("lon"), F.degrees(lat).alias("lat"))
+
+    return let(let(let(_centre(lon0, lat0), scaled), arc), degrees)

@@ -31,62 +31,75 @@ def longitude_stats(points: DataFrame, by: str = "region_id", lon: str = "lon")
     )
 
 
-def ring_edges(boundaries: DataFrame, by: str = "region_id") -> DataFrame:
-    """One row per edge of every ring, rings closed: lon1, lat1, lon2, lat2. Each edge
-    comes from its own ring alone, so this is a narrow step."""
-    rings = boundaries.select(by, F.explode("rings").alias("ring"))
-    points = F.col("ring.points")
-    following = F.concat(F.slice(points, F.lit(2), F.size(points)), F.slice(points, 1, 1))
-    edges = rings.select(
-        by, F.col("ring.ring_id").alias("ring_id"), F.col("ring.is_hole").alias("is_hole"),
-        F.explode(F.arrays_zip(points.alias("a"), following.alias("b"))).alias("e"),
-    )
-    return edges.select(
-        by, "ring_id", "is_hole",
-        F.col("e.a.lon").alias("lon1"), F.col("e.a.lat").alias("lat1"),
-        F.col("e.b.lon").alias("lon2"), F.col("e.b.lat").alias("lat2"),
-    ).filter((F.col("lon1") != F.col("lon2")) | (F.col("lat1") != F.col("lat2")))
-
-
-def project_points(df: DataFrame, points: list[tuple[str, str, str, str]]) -> DataFrame:
-    """Add x and y columns for (lon, lat, x, y) column names, around lon0 and lat0."""
-    projected = {}
-    for lon, lat, x, y in points:
-        projected[x], projected[y] = project_local(F.col(lon), F.col(lat), F.col("lon0"), F.col("lat0"))
-    return stage(df, **projected)
-
-
-def projected_edges(boundaries: DataFrame, by: str = "region_id") -> tuple[DataFrame, DataFrame]:
-    """(edges in local metres, frames). A frame has the projection centre, which is the
-    middle of the bounding box, and the bounds of the projected region."""
-    edges = ring_edges(boundaries, by)
-    # Every vertex starts exactly one edge.
-    stats = longitude_stats(edges.select(by, F.col("lon1").alias("lon")), by).select(by, "mean_lon", "unwrap")
-    placed = lookup(edges, stats, by)
-    for lon in ("lon1", "lon2"):
-        placed = placed.withColumn(
-            lon, F.when(F.col("unwrap"), unwrap_longitude(lon, "mean_lon")).otherwise(F.col(lon))
-        )
-    centres = placed.groupBy(by).agg(
-        ((F.min("lon1") + F.max("lon1")) / 2).alias("lon0"), ((F.min("lat1") + F.max("lat1")) / 2).alias("lat0"),
-        F.first("unwrap").alias("unwrapped"),
-    )
-    flat = lookup(placed.drop("mean_lon", "unwrap"), centres, by)
-    flat = project_points(flat, [("lon1", "lat1", "x1", "y1"), ("lon2", "lat2", "x2", "y2")])
-    flat = flat.select(by, "x1", "y1", "x2", "y2")
-    bounds = flat.groupBy(by).agg(
-        F.min("x1").alias("min_x"), F.min("y1").alias("min_y"), F.max("x1").alias("max_x"), F.max("y1").alias("max_y")
-    )
-    return flat, centres.join(bounds, by)
+def _points(rings: Column) -> Column:
+    return F.flatten(F.transform(rings, lambda r: r["points"]))
+
+
+def _span(values: Column) -> Column:
+    return F.array_max(values) - F.array_min(values)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, v: total + v)
+
 
+def _map_points(rings: Column, body) -> Column:
+    return F.transform(rings, lambda r: r.withField("points", F.transform(r["points"], body)))
 
-def _shape(frames: DataFrame, size: float) -> DataFrame:
-    return frames.withColumns(
-        {
-            "n_cols": F.ceil((F.col("max_x") - F.col("min_x")) / size).cast("bigint"),
-            "n_rows": F.ceil((F.col("max_y") - F.col("min_y")) / size).cast("bigint"),
-        }
+
+def framed_boundaries(boundaries: DataFrame, size: float = GRID_SIZE_METERS, by: str = "region_id") -> DataFrame:
+    """Boundaries in local metres: `rings` with x and y, the projection centre (middle
+    of the unwrapped bounding box), bounds, and the grid's size in cells.
+
+    A boundary is one row with its rings, so everything about it is computed inside
+    that row: no shuffle, no join, and the plan stays as long as this function.
+    """
+    def lons(c: str) -> Column:
+        return F.transform(_points(F.col(c)), lambda p: p["lon"])
+
+    df = boundaries.select(by, F.col("rings").alias("_given"))
+    df = stage(df, _lons=lons("_given"))
+    radians = lambda f: F.transform("_lons", lambda v: f(F.radians(v)))
+    df = stage(df, _mean=circular_mean(_sum(radians(F.sin)), _sum(radians(F.cos))))
+    df = stage(df, _turned=F.transform("_lons", lambda v: unwrap_longitude(v, F.col("_mean"))))
+    df = stage(df, unwrapped=(_span(F.col("_lons")) > 180) & (_span(F.col("_turned")) < _span(F.col("_lons"))))
+    turned = _map_points(
+        F.col("_given"), lambda p: p.withField("lon", unwrap_longitude(p["lon"], F.col("_mean")))
     )
+    df = stage(df, _placed=F.when(F.col("unwrapped"), turned).otherwise(F.col("_given")))
+    lats = F.transform(_points(F.col("_placed")), lambda p: p["lat"])
+    df = stage(df, _lons=lons("_placed"), _lats=lats)
+    middle = lambda c: (F.array_min(c) + F.array_max(c)) / 2
+    df = stage(df, lon0=middle("_lons"), lat0=middle("_lats"))
+    df = stage(df, rings=_map_points(
+        F.col("_placed"), lambda p: project_local(p["lon"], p["lat"], F.col("lon0"), F.col("lat0"))
+    ))
+    df = stage(df, _xy=_points(F.col("rings")))
+    bounds = {
+        f"{name}_{axis}": pick(_axis(axis))
+        for axis in "xy" for name, pick in (("min", F.array_min), ("max", F.array_max))
+    }
+    df = stage(df, **bounds).select(by, "rings", "unwrapped", "lon0", "lat0", *bounds)
+    steps = lambda axis: F.ceil((F.col(f"max_{axis}") - F.col(f"min_{axis}")) / size).cast("bigint")
+    return df.withColumns({"n_cols": steps("x"), "n_rows": steps("y")})
+
+
+def _axis(axis: str) -> Column:
+    return F.transform("_xy", lambda p: p[axis])
+
+
+def ring_edges(framed: DataFrame, *keep: str) -> DataFrame:
+    """One row per edge of every ring, rings closed: x1, y1, x2, y2. Each edge comes
+    from its own ring alone, so this is a narrow step; edges without length are left
+    out."""
+    rings = framed.select(*keep, F.explode("rings").alias("ring"))
+    points = F.col("ring.points")
+    following = F.concat(F.slice(points, F.lit(2), F.size(points)), F.slice(points, 1, 1))
+    edges = rings.select(*keep, F.explode(F.arrays_zip(points.alias("a"), following.alias("b"))).alias("e"))
+    ends = edges.select(
+        *keep, *[F.col(f"e.{end}.{axis}").alias(f"{axis}{n}") for n, end in (("1", "a"), ("2", "b")) for axis in "xy"]
+    )
+    return ends.filter((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
 
 
 def _touched(low: Column, high: Column, n: Column, size: float) -> Column:
@@ -107,11 +120,10 @@ def grid_cells(boundaries: DataFrame, size: float = GRID_SIZE_METERS, by: str =
     Shuffles are keyed by region and grid row, so one huge region spreads over many
     tasks; a row has at most the Earth's girth divided by the cell size.
     """
-    edges, frames = projected_edges(boundaries, by)
-    frames = _shape(frames, size)
-    local = lookup(edges, frames.select(by, "min_x", "min_y", "max_y", "n_cols", "n_rows"), by)
+    framed = framed_boundaries(boundaries, size, by)
+    frame = ["min_x", "min_y", "max_x", "max_y", "n_cols", "n_rows"]
     local = stage(
-        local,
+        ring_edges(framed, by, *frame),
         height=F.col("max_y") - F.col("min_y"),
         **{f"{axis}{end}": F.col(f"{axis}{end}") - F.col(f"min_{axis}") for axis in "xy" for end in "12"},
     )
@@ -148,7 +160,7 @@ def grid_cells(boundaries: DataFrame, size: float = GRID_SIZE_METERS, by: str =
     inside = spans.filter(first <= last).select(by, "row", F.explode(F.sequence(first, last)).alias("col"))
 
     cells = outline.unionByName(inside).repartition(F.col(by), F.col("row")).dropDuplicates([by, "row", "col"])
-    return _place(_number(cells, by), frames, size, by)
+    return _place(_number(cells, by), framed.drop("rings"), size, by)
 
 
 def _number(cells: DataFrame, by: str) -> DataFrame:
@@ -173,28 +185,27 @@ def _place(cells: DataFrame, frames: DataFrame, size: float, by: str) -> DataFra
         placed,
         x0=left, x1=F.least(left + size, F.col("max_x")), y0=south, y1=F.least(south + size, F.col("max_y")),
     )
-    points = [("x0", "y0"), ("x0", "y1"), ("x1", "y0"), ("x1", "y1")]
-    degrees = {}
-    for i, (x, y) in enumerate(points):
-        degrees[f"lon_{i}"], degrees[f"lat_{i}"] = unproject_local(F.col(x), F.col(y), F.col("lon0"), F.col("lat0"))
-    middle = ((F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2)
-    degrees["mid_lon"], degrees["mid_lat"] = unproject_local(*middle, F.col("lon0"), F.col("lat0"))
-    placed = stage(placed, **degrees)
-    lons = [unwrap_longitude(f"lon_{i}", "lon0") for i in range(4)]
-    lats = [F.col(f"lat_{i}") for i in range(4)]
-    return placed.select(
+    points = [(F.col(x), F.col(y)) for x in ("x0", "x1") for y in ("y0", "y1")]
+    points.append(((F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2))
+    placed = stage(
+        placed,
+        **{f"p{i}": unproject_local(x, y, F.col("lon0"), F.col("lat0")) for i, (x, y) in enumerate(points)},
+    )
+    lons = stage(placed, **{f"lon_{i}": unwrap_longitude(f"p{i}.lon", "lon0") for i in range(4)})
+    west, east = F.least(*[f"lon_{i}" for i in range(4)]), F.greatest(*[f"lon_{i}" for i in range(4)])
+    lats = [f"p{i}.lat" for i in range(4)]
+    return lons.select(
         by, "cell_order", "row", "col",
         F.greatest(*lats).alias("north"), F.least(*lats).alias("south"),
-        normalize_longitude(F.least(*lons)).alias("west"), normalize_longitude(F.greatest(*lons)).alias("east"),
-        F.col("mid_lat").alias("center_lat"), normalize_longitude("mid_lon").alias("center_lon"),
+        normalize_longitude(west).alias("west"), normalize_longitude(east).alias("east"),
+        F.col("p4.lat").alias("center_lat"), normalize_longitude("p4.lon").alias("center_lon"),
     )
 
 
 def grid_counts(boundaries: DataFrame, cells: DataFrame, size: float = GRID_SIZE_METERS,
                 by: str = "region_id") -> DataFrame:
     """Candidate cells of the bounding box and accepted cells per boundary."""
-    _, frames = projected_edges(boundaries, by)
-    shaped = _shape(frames, size).select(by, (F.col("n_cols") * F.col("n_rows")).alias("candidate_cells"))
+    shaped = framed_boundaries(boundaries, size, by).select(by, (F.col("n_cols") * F.col("n_rows")).alias("candidate_cells"))
     accepted = cells.groupBy(by).agg(F.count("*").alias("accepted_cells"))
     return shaped.join(accepted, by, "left").withColumn(
         "accepted_cells", F.coalesce("accepted_cells", F.lit(0).cast("bigint"))

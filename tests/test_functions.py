@@ -81,9 +81,10 @@ def test_local_projection_matches_ellipsoidal_distance(spark):
     for lat0, lon0 in ((54.7, 20.5), (75.0, 100.0), (10.0, -60.0)):
         points = [(lat0 + dy, lon0 + dx) for dy in (-1.5, 0.2, 1.5) for dx in (-2.0, 0.3, 2.0)]
         df = spark.createDataFrame(points, "lat double, lon double")
-        x, y = geo.project_local(F.col("lon"), F.col("lat"), F.lit(lon0), F.lit(lat0))
-        lon, lat = geo.unproject_local(F.col("x"), F.col("y"), F.lit(lon0), F.lit(lat0))
-        rows = df.withColumns({"x": x, "y": y}).withColumns({"lon2": lon, "lat2": lat}).collect()
+        p = geo.project_local(F.col("lon"), F.col("lat"), F.lit(lon0), F.lit(lat0))
+        back = geo.unproject_local(F.col("p.x"), F.col("p.y"), F.lit(lon0), F.lit(lat0))
+        rows = df.withColumn("p", p).withColumn("b", back).select(
+            "lon", "lat", "p.x", "p.y", F.col("b.lon").alias("lon2"), F.col("b.lat").alias("lat2")).collect()
         for r in rows:
             true = ellipsoid_distance(lat0, lon0, r["lat"], r["lon"])
             assert abs(math.hypot(r["x"], r["y"]) / true - 1) < 5e-4
