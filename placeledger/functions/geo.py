@@ -22,25 +22,30 @@ def _fixed5(x: Column) -> Column:
     there the product's exact rounding error (x split into two short halves, each
     multiplied without error) decides, and a true tie goes to the even digit.
     """
-    a = F.abs(x)
-    wide = a * F.lit(134217729.0)
-    high = wide - (wide - a)
-    low = a - high
-    product = a * F.lit(1e5)
-    error = (high * F.lit(1e5) - product) + low * F.lit(1e5)
-    floor = F.floor(product)
-    half = product - floor == 0.5
-    units = (
-        F.when(half & (error > 0), floor + 1)
-        .when(half & (error < 0), floor)
-        .otherwise(F.rint(product).cast("long"))
-    )
-    return F.concat(
-        F.when(x < 0, "-").otherwise(""),
-        F.floor(units / 100000).cast("string"),
-        F.lit("."),
-        F.lpad(F.pmod(units, F.lit(100000)).cast("string"), 5, "0"),
-    )
+    def product(a: Column) -> Column:
+        wide = a * F.lit(134217729.0)
+        high = wide - (wide - a)
+        return F.struct((a * F.lit(1e5)).alias("p"), high.alias("high"), (a - high).alias("low"))
+
+    def units(s: Column) -> Column:
+        error = (s["high"] * F.lit(1e5) - s["p"]) + s["low"] * F.lit(1e5)
+        floor = F.floor(s["p"])
+        half = s["p"] - floor == 0.5
+        return (
+            F.when(half & (error > 0), floor + 1)
+            .when(half & (error < 0), floor)
+            .otherwise(F.rint(s["p"]).cast("long"))
+        )
+
+    def written(n: Column) -> Column:
+        return F.concat(
+            F.when(x < 0, "-").otherwise(""),
+            F.floor(n / 100000).cast("string"),
+            F.lit("."),
+            F.lpad(F.pmod(n, F.lit(100000)).cast("string"), 5, "0"),
+        )
+
+    return let(let(let(F.abs(x), product), units), written)
 
 
 def coordinate_key(lat: Column | str, lon: Column | str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from placeledger.functions.geo import coordinate_key
 from placeledger.functions.text import normalize_phone, normalize_text
 from placeledger.operators.joins import lookup
+from placeledger.operators.stage import stage
 from placeledger.session import cut_lineage
 
 # Levels of evidence, strongest first. The first is global, the others hold inside a region.
@@ -24,31 +25,26 @@ def with_identity_texts(df: DataFrame) -> DataFrame:
     )
 
 
-def _keys(source: Column, external_id: Column, phone: Column) -> Column:
-    """array<struct<level, key>> of the identity keys a row has.
+def with_keys(df: DataFrame, phone: str = "normalized_phone") -> DataFrame:
+    """Add `keys`: array<struct<level, key>> of the identity keys a row has.
 
     A key carries its scope, so one equality compares level, region and value.
     """
-    def key(level: int, *parts: Column) -> Column:
+    def key(level: int, *parts: str) -> Column:
         # concat is NULL as soon as one part is missing, which drops the key.
-        texts = [F.nullif(p.cast("string"), F.lit("")) for p in parts]
-        joined = [F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]
-        return F.struct(
-            F.lit(level).alias("level"), F.concat(F.lit(f"{level}|"), *joined).alias("key")
-        )
+        joined = [piece for part in parts for piece in (F.lit("\x1f"), F.col(part).cast("string"))]
+        return F.struct(F.lit(level).alias("level"), F.concat(F.lit(str(level)), *joined).alias("key"))
 
-    region, name = F.col("region_id"), F.col("normalized_name")
+    ready = stage(
+        df, _point=coordinate_key("latitude", "longitude"), _external=F.nullif("external_id", F.lit(""))
+    )
     every = F.array(
-        key(0, source, external_id),
-        key(1, region, name, F.col("normalized_address")),
-        key(2, region, name, phone),
-        key(3, region, name, coordinate_key("latitude", "longitude")),
+        key(0, "external_source", "_external"),
+        key(1, "region_id", "normalized_name", "normalized_address"),
+        key(2, "region_id", "normalized_name", phone),
+        key(3, "region_id", "normalized_name", "_point"),
     )
-    return F.filter(every, lambda k: k["key"].isNotNull())
-
-
-def sighting_keys(obs: DataFrame) -> Column:
-    return _keys(F.col("external_source"), F.col("external_id"), F.col("normalized_phone"))
+    return stage(ready, keys=F.filter(every, lambda k: k["key"].isNotNull())).drop("_point", "_external")
 
 
 def match_existing(obs: DataFrame, current: DataFrame) -> DataFrame:
@@ -60,12 +56,9 @@ def match_existing(obs: DataFrame, current: DataFrame) -> DataFrame:
     a key shared by very many sightings is split by adaptive skew handling, and the
     final minimum combines on the map side.
     """
-    known = current.select(
-        F.col("id").alias("_id"),
-        F.inline(_keys(F.col("external_source"), F.col("external_id"), F.col("phone"))),
-    )
+    known = with_keys(current, "phone").select(F.col("id").alias("_id"), F.inline("keys"))
     known = known.groupBy("key").agg(F.min("_id").alias("entity_id"))
-    wanted = obs.select("seq", F.inline(sighting_keys(obs)))
+    wanted = with_keys(obs).select("seq", F.inline("keys"))
     hits = lookup(wanted, known, "key").select("seq", F.struct("level", "entity_id").alias("hit"))
     # Sightings without any hit keep a row through the aggregate, without a second join.
     everyone = obs.select("seq", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit"))
@@ -81,7 +74,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     larger neighbours, then for its smaller ones, until the edges are stars. Edges
     never multiply, path lengths shrink by a factor per round, and a node with very
     many edges is only ever on the many side of a join against one row. Rounds are
-    cut by a checkpoint in the shared folder, so a lost executor repeats one round.
+    cut by a table written to the shared folder, so a lost executor repeats one round.
     """
     def least(e: DataFrame) -> DataFrame:
         return e.groupBy("a").agg(F.min("b").alias("least"))
@@ -100,25 +93,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
         own = low.select("a", F.col("least").alias("b"))
         return rest.unionByName(own).filter("a <> b").distinct()
 
-    def fingerprint(e: DataFrame) -> tuple:
-        # Order-free: a count and two sums over hashed rows.
-        return tuple(
-            e.agg(
-                F.count("*"),
-                F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-                F.sum(F.xxhash64("b", "a", F.lit(7)).cast("decimal(38,0)")),
-            ).first()
-        )
+    def open_nodes(e: DataFrame) -> int:
+        # In a star every leaf points once, and no root points anywhere.
+        ends = e.select(F.inline(F.array(
+            F.struct(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+            F.struct(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")),
+        )))
+        degrees = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        return degrees.filter("out > 1 OR (out > 0 AND into > 0)").count()
 
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    links = cut_lineage(edges.filter("a <> b").distinct())
-    before = fingerprint(links)
-    while True:
+    links = cut_lineage(small_star(edges.filter("a <> b")))
+    while open_nodes(links):
         links = cut_lineage(small_star(large_star(links)))
-        after = fingerprint(links)
-        if after == before:
-            break
-        before = after
     return nodes.join(links.select(F.col("a").alias("node"), F.col("b").alias("_root")), "node", "left").select(
         "node", F.coalesce("_root", "node").alias("component")
     )
@@ -134,7 +121,7 @@ def resolve_batch(obs: DataFrame) -> DataFrame:
     leaves the other), and when a merge would have overwritten a key that a later
     sighting needs.
     """
-    keyed = obs.select("seq", sighting_keys(obs).alias("keys"))
+    keyed = cut_lineage(with_keys(obs).select("seq", "keys"))
     folded = keyed.groupBy("keys").agg(F.min("seq").alias("node"))
     # A sighting without any key is an entity of its own.
     keyless, linked = keyed.filter(F.size("keys") == 0), folded.filter(F.size("keys") > 0)

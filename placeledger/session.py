@@ -53,7 +53,10 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder, so a lost executor costs no recomputation
-    of earlier rounds."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """`df` written to the shared folder and read back, so a lost executor costs no
+    recomputation of earlier steps. Unlike a plain checkpoint, the planner then knows
+    the size of what it reads."""
+    spark = df.sparkSession
+    path = run_dir(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
