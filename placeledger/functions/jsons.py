@@ -14,11 +14,12 @@ def lenient(text: Column | str) -> Column:
 
 def lenient_object(text: Column | str) -> Column:
     """Text as VARIANT, NULL unless it is a JSON object."""
-    return let(lenient(text), lambda x: F.when(kind_of(x) == "object", x))
+    return let(lenient(text), lambda x: F.when(is_object(x), x))
 
 
 def kind_of(v: Column) -> Column:
-    """object, array, string, number, boolean or null; NULL for a missing value."""
+    """object, array, string, number, boolean or null; NULL for a missing value. Reads
+    the whole value, so containers of any size are asked `is_object` or `is_array`."""
     return let(
         F.schema_of_variant(v),
         lambda schema: F.when(schema.isNull(), F.lit(None).cast("string"))
@@ -31,6 +32,15 @@ def kind_of(v: Column) -> Column:
     )
 
 
+def is_object(v: Column) -> Column:
+    """Looks at the value's own level only, whatever it contains."""
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
+def is_array(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "array<variant>").isNotNull()
+
+
 def get(v: Column, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 

@@ -14,7 +14,8 @@ PRICE_TYPE = (
 
 
 def _minor(major: Column) -> Column:
-    return F.when(major > 0, F.rint(major * 100).cast("long"))
+    # An amount beyond 64 bits is no price.
+    return F.when(major > 0, F.rint(major * 100).try_cast("long"))
 
 
 def amount_to_minor(text: Column | str) -> Column:

@@ -17,11 +17,7 @@ def outcome_status(http_status: Column, body: Column) -> Column:
     code = J.get(body, "$.meta.code", "int")
     result, items = J.get(body, "$.result"), J.get(body, "$.result.items")
     first = J.get(body, "$.result.items[0]")
-    malformed = (
-        F.coalesce(J.kind_of(result) != "object", F.lit(True))
-        | F.coalesce(J.kind_of(items) != "array", F.lit(True))
-        | F.coalesce(J.kind_of(first) != "object", F.lit(True))
-    )
+    malformed = ~J.is_object(result) | ~J.is_array(items) | ~J.is_object(first)
     by_http = (
         F.when(http_status == 404, "not_found")
         .when(http_status.isin(401, 403), "unauthorized")

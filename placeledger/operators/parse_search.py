@@ -20,7 +20,7 @@ def response_status(body: Column) -> Column:
         .when(code == 404, "empty")
         .when(code >= 400, "error")
         .when(result.isNull(), "error")
-        .when(items.isNotNull() & (J.kind_of(items) != "array"), "error")
+        .when(items.isNotNull() & ~J.is_array(items), "error")
         .otherwise("ok")
     )
 
@@ -29,7 +29,7 @@ def address_of(item: Column) -> Column:
     """Address text: of an object its name, of a text itself, else `address_name`."""
     primary = let(
         J.get(item, "$.address"),
-        lambda a: F.when(J.kind_of(a) == "object", J.get(a, "$.name")).otherwise(a),
+        lambda a: F.when(J.is_object(a), J.get(a, "$.name")).otherwise(a),
     )
     return J.scalar_text(F.coalesce(J.if_truthy(primary), J.get(item, "$.address_name")))
 
@@ -47,7 +47,7 @@ def category_names(item: Column) -> Column:
 
     def label(entry: Column) -> Column:
         named = J.first_truthy(J.get(entry, "$.name"), J.get(entry, "$.alias"))
-        return F.when(J.kind_of(entry) == "object", J.scalar_text(named)).when(
+        return F.when(J.is_object(entry), J.scalar_text(named)).when(
             J.truthy(entry), J.scalar_text(entry)
         )
 
@@ -86,7 +86,7 @@ def parse_search(responses: DataFrame, page_size: int = 10) -> tuple[DataFrame,
     read = stage(read, _status=response_status(F.col("_body")))
     ok = F.col("_status") == "ok"
     items = F.when(
-        ok, F.filter(J.elements(F.col("_body"), "$.result.items"), lambda i: J.kind_of(i) == "object")
+        ok, F.filter(J.elements(F.col("_body"), "$.result.items"), J.is_object)
     ).otherwise(F.array().cast("array<variant>"))
     read = stage(read, _items=items)
     n_items = F.size("_items")

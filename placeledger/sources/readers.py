@@ -15,6 +15,13 @@ def _reader(spark: SparkSession, stream: bool):
     return spark.readStream if stream else spark.read
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the files gave fewer splits than there are cores. Worth
+    its shuffle only ahead of parsing, and a no-op for inputs of many splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def search_responses(spark: SparkSession, path: str, fmt: str = "json", stream: bool = False) -> DataFrame:
     """Landed search responses: request columns plus the response text in `body`."""
     return _reader(spark, stream).schema(schemas.SEARCH_RESPONSE).format(fmt).load(path)

@@ -18,6 +18,7 @@ from placeledger.operators.salon_state import apply_classification, apply_detail
 from placeledger.plans.pricing import extract_prices, latest_payloads
 from placeledger.sources.dimensions import region_keys, sync_regions
 from placeledger.sources.evolve import union_evolved
+from placeledger.sources.readers import spread
 from placeledger.operators.resolve import resolve_keys
 from workload.registry import query
 from workload.views import table, view
@@ -55,7 +56,7 @@ def _search_bodies(spark, sf):
             F.struct(F.lit(200).alias("code")).alias("meta"),
             F.struct(F.array(item, item).alias("items"), (i % 50).alias("total")).alias("result"))))
     )
-    return table(spark, sf, "orders").select(
+    return spread(table(spark, sf, "orders")).select(
         i.alias("grid_cell_id"), (F.col("o_custkey") % 5).alias("region_id"), F.col("o_orderpriority").alias("query"),
         (i % 3 + 1).cast("int").alias("page"), F.lit("u").alias("source_url"),
         F.lit(None).cast("timestamp_ntz").alias("fetched_at"), body.alias("body"))
@@ -122,7 +123,7 @@ def _details_bodies(spark, sf):
         .when(i % 10 == 2, F.lit('{"meta":{"code":200},"result":{"items":[]}}')).otherwise(ok)
     )
     http = F.when(i % 10 == 3, 429).when(i % 10 == 4, 503).otherwise(200).cast("int")
-    return table(spark, sf, "customer").select(
+    return spread(table(spark, sf, "customer")).select(
         i.alias("id"), i.alias("salon_id"), c.alias("external_id"), http.alias("http_status"), F.lit("u").alias("source_url"),
         body.alias("body"))
 

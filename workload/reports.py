@@ -113,10 +113,11 @@ def run_metrics(spark, sf):
 
 
 @query("""
-    SELECT id, scan_order FROM v_regions WHERE status IN ('in_progress', 'pending') ORDER BY CASE WHEN status = 'in_progress' THEN 0 ELSE 1 END, scan_order LIMIT 3
+    SELECT id, cell_order AS scan_order FROM v_cells WHERE status IN ('in_progress', 'pending') ORDER BY CASE WHEN status = 'in_progress' THEN 0 ELSE 1 END, cell_order LIMIT 30
 """)
 def next_open_regions(spark, sf):
-    return next_regions(view(spark, sf, "v_regions"), 3).select("id", "scan_order")
+    regions = view(spark, sf, "v_cells").withColumnRenamed("cell_order", "scan_order")
+    return next_regions(regions, 30).select("id", "scan_order")
 
 
 @query("""

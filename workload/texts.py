@@ -12,6 +12,7 @@ from placeledger.operators.links import crawl_frontier, internal_links
 from placeledger.operators.progress_log import log_counts
 from placeledger.operators.service import match_service
 from placeledger.plans.pricing import best_evidence, judge_evidence
+from placeledger.sources.readers import spread
 from workload.registry import any_of, query
 from workload.views import table, view
 
@@ -24,7 +25,7 @@ def norm(expr: str) -> str:
 
 @query(f"SELECT doc_id, {norm('text')} AS key FROM documents")
 def normalize_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.normalize_text("text").alias("key"))
+    return spread(table(spark, sf, "documents")).select("doc_id", text.normalize_text("text").alias("key"))
 
 
 @query("""
@@ -66,7 +67,7 @@ URL_SQL = r"""
            || CASE WHEN query = '' THEN '' ELSE '?' || query END AS url FROM ({URL_SQL})
 """)
 def url_normalize(spark, sf):
-    return table(spark, sf, "pages").select("page_id", urls.normalize_url("url").alias("url"))
+    return spread(table(spark, sf, "pages")).select("page_id", urls.normalize_url("url").alias("url"))
 
 
 HOSTS = ["spam-farm.example.org", "www.cheap-pills.example.com"]
@@ -78,7 +79,7 @@ HOSTS = ["spam-farm.example.org", "www.cheap-pills.example.com"]
 """)
 def url_host_class(spark, sf):
     kind = contacts.link_type(urls.normalize_url("url"), HOSTS)
-    return table(spark, sf, "pages").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    return spread(table(spark, sf, "pages")).groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
 @query("""
@@ -93,7 +94,7 @@ def url_redact(spark, sf):
     built = F.when(
         F.col("page_id") % 2 == 0, F.concat(F.lit("https://h.example.com/p?apiKey="), i, F.lit("&q="), i, F.lit("%20x#f"))
     ).otherwise(F.concat(F.lit("https://h.example.com/p?q="), i, F.lit("&x_token=t")))
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages")).select(
         "page_id", urls.redact_url(built).alias("redacted"),
         urls.drop_query_keys(built, ("apiKey",)).alias("without_key"))
 
@@ -138,14 +139,14 @@ LINES = r"""
 
 @query(LINES)
 def visible_lines(spark, sf):
-    return page_lines(table(spark, sf, "pages"), "page_id")
+    return page_lines(spread(table(spark, sf, "pages")), "page_id")
 
 
 PRICED = rf"""
     SELECT page_id, pos, line, CASE WHEN rng <> '' THEN 'range' ELSE 'exact' END AS price_type,
-           CASE WHEN rng = '' THEN CAST(round_even(a * 100, 0) AS BIGINT) END AS amount_minor,
-           CASE WHEN rng <> '' THEN CAST(round_even(least(f, s) * 100, 0) AS BIGINT) END AS range_min_minor,
-           CASE WHEN rng <> '' THEN CAST(round_even(greatest(f, s) * 100, 0) AS BIGINT) END AS range_max_minor
+           CASE WHEN rng = '' THEN TRY_CAST(round_even(a * 100, 0) AS BIGINT) END AS amount_minor,
+           CASE WHEN rng <> '' THEN TRY_CAST(round_even(least(f, s) * 100, 0) AS BIGINT) END AS range_min_minor,
+           CASE WHEN rng <> '' THEN TRY_CAST(round_even(greatest(f, s) * 100, 0) AS BIGINT) END AS range_max_minor
     FROM (SELECT *, TRY_CAST(replace(replace(trim(r1), ' ', ''), ',', '.') AS DOUBLE) AS f,
                  TRY_CAST(replace(replace(trim(r2), ' ', ''), ',', '.') AS DOUBLE) AS s,
                  TRY_CAST(replace(replace(trim(single), ' ', ''), ',', '.') AS DOUBLE) AS a
@@ -154,12 +155,12 @@ PRICED = rf"""
                    regexp_extract(line, '([0-9][0-9\s]*(?:[,.][0-9]+)?)\s*(?:-|–|—|до)\s*([0-9][0-9\s]*(?:[,.][0-9]+)?)', 2) AS r2,
                    regexp_extract(line, '[0-9][0-9\s]*(?:[,.][0-9]+)?', 0) AS single
             FROM ({LINES}) WHERE regexp_matches(line, '[0-9]')))
-    WHERE (rng <> '' AND f > 0 AND s > 0) OR (rng = '' AND a > 0)
+    WHERE (rng <> '' AND f > 0 AND s > 0 AND greatest(f, s) < 9e16) OR (rng = '' AND a > 0 AND a < 9e16)
 """
 
 
 def _as_pages(spark, sf):
-    return table(spark, sf, "pages").select(
+    return spread(table(spark, sf, "pages")).select(
         F.col("page_id").alias("salon_id"), F.lit(1).alias("page_no"), F.col("url").alias("source_url"), "html")
 
 
@@ -232,7 +233,7 @@ LINKS = rf"""
 
 @query(f"SELECT page_id, pos, base || href AS url FROM ({LINKS})")
 def page_links(spark, sf):
-    return internal_links(table(spark, sf, "pages"), "page_id", LINK_WORDS, url="url")
+    return internal_links(spread(table(spark, sf, "pages")), "page_id", LINK_WORDS, url="url")
 
 
 @query(f"""
@@ -245,7 +246,7 @@ def page_links(spark, sf):
     WHERE rn <= 4
 """)
 def crawl_pages(spark, sf):
-    return crawl_frontier(table(spark, sf, "pages"), "page_id", words=LINK_WORDS, url="url")
+    return crawl_frontier(spread(table(spark, sf, "pages")), "page_id", words=LINK_WORDS, url="url")
 
 
 @query("""
@@ -319,7 +320,7 @@ def classify_sql(w: dict) -> str:
 
 
 def _decided_documents(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents")).select(
         "doc_id", F.split("text", "\n")[0].alias("name"), F.array("lang", "source").alias("categories"),
         F.col("text").alias("description"), F.lit(None).cast("string").alias("address"))
     return classify_entities(docs, DOC_WORDS)
