@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeledger.functions import contacts, geo, labels, prices, text, times, urls
-from placeledger.functions.html import candidate_lines, visible_text
 from placeledger.operators.classify import classify_entities
 from placeledger.operators.evidence import page_lines, text_evidence
 from placeledger.operators.links import crawl_frontier, internal_links
