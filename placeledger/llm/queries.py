@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placeledger.llm.packing import piece_digests
+from placeledger.llm.shards import shard_digests
 from placeledger.llm.simhash import simhash_components
+from placeledger.llm.token_file import token_digests
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -20,6 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
