@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placeledger.llm.langid import identify_languages
 from placeledger.llm.packing import piece_digests
 from placeledger.llm.shards import shard_digests
 from placeledger.llm.simhash import simhash_components
 from placeledger.llm.token_file import token_digests
+from placeledger.llm.toxicity import classify_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,6 +40,16 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
