@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from placeledger.llm.langid import identify_languages
+from placeledger.llm.lm import score_texts
 from placeledger.llm.packing import piece_digests
 from placeledger.llm.shards import shard_digests
 from placeledger.llm.simhash import simhash_components
@@ -25,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(table(spark, sf_dir, "documents"))
