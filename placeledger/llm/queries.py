@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placeledger.llm.decontaminate import contained_items
 from placeledger.llm.langid import identify_languages
 from placeledger.llm.lm import score_texts
 from placeledger.llm.packing import piece_digests
+from placeledger.llm.preferences import preference_digests
 from placeledger.llm.shards import shard_digests
 from placeledger.llm.simhash import simhash_components
 from placeledger.llm.token_file import token_digests
 from placeledger.llm.toxicity import classify_toxicity
+from placeledger.llm.vectors import vector_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,11 +34,22 @@ def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with a stale last reply: the table has no judged pairs."""
+    return preference_digests(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op3_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op5_power_of_two_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"))
@@ -46,6 +60,11 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_vector_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_components(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -2,4 +2,71 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_preference_format": """
+WITH marked AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    last_value(CASE WHEN role = 'assistant' THEN coalesce(text, '') END IGNORE NULLS) OVER (
+      PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier,
+    count(CASE WHEN role = 'assistant' THEN 1 END) OVER (
+      PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after
+  FROM conversations
+), sides AS (
+  SELECT conv_id, turn, role, text AS chosen,
+    CASE WHEN role = 'assistant' AND after = 0 THEN coalesce(earlier, '') ELSE text END AS rejected
+  FROM marked
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, chosen) AS place,
+    '<|' || role || '|>' || chr(10) AS head, chosen || '<|end|>' || chr(10) AS chosen_body,
+    rejected || '<|end|>' || chr(10) AS rejected_body,
+    CASE WHEN role = 'assistant' THEN ':1' ELSE ':0' END AS flag
+  FROM sides
+), cut AS (
+  SELECT *, coalesce(min(CASE WHEN chosen <> rejected THEN place END) OVER (PARTITION BY conv_id) - 1,
+    count(*) OVER (PARTITION BY conv_id)) AS n
+  FROM placed
+)
+SELECT conv_id, CAST(max(n) AS INTEGER) AS n_prompt_turns,
+  coalesce(string_agg(CASE WHEN place <= n THEN head || chosen_body END, '' ORDER BY place), '') AS prompt,
+  coalesce(string_agg(CASE WHEN place > n THEN head || chosen_body END, '' ORDER BY place), '') AS chosen,
+  coalesce(string_agg(CASE WHEN place > n THEN head || rejected_body END, '' ORDER BY place), '') AS rejected,
+  coalesce(string_agg(CASE WHEN place > n THEN length(head) || ':0,' || length(chosen_body) || flag END, ',' ORDER BY place), '') AS chosen_mask,
+  coalesce(string_agg(CASE WHEN place > n THEN length(head) || ':0,' || length(rejected_body) || flag END, ',' ORDER BY place), '') AS rejected_mask
+FROM cut GROUP BY conv_id
+""",
+    "op4_decontamination": """
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE doc_id IS NOT NULL
+), item_words AS (
+  SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark WHERE item_id IS NOT NULL
+), doc_shingles AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM doc_words WHERE len(w) >= 5
+), item_shingles AS (
+  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+  FROM item_words WHERE len(w) >= 5
+), sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
+FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= ceil(n_shingles * 0.8 - 1e-9)
+""",
+    "op7_vector_range_join": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, v FROM vectors
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM vectors
+  UNION
+  SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), components AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
+counted AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM components c LEFT JOIN counted USING (vec_id)
+""",
+}
