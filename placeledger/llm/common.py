@@ -20,6 +20,12 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """Names a row by its id and a hash of its text: rows without an id or with a repeated one
+    can be told apart, and only equal rows are not. Rows with an id come first."""
+    return F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+
+
 def tasks(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -171,6 +171,17 @@ def fit_languages(
     return train(features, np.array([languages.index(r["lang"]) for r in rows]), languages)
 
 
+def judged(model: LanguageModel | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and rejection of each text."""
+    lettered = np.array([bool(t and LETTER.search(t)) for t in texts], dtype=bool)
+    if model is None:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
+    chances = model.scores(texts)
+    best = np.where(lettered, chances.max(axis=1), 0.0)
+    named = [model.languages[k] if ok else UNDETERMINED for k, ok in zip(chances.argmax(axis=1), lettered)]
+    return named, best, ~lettered | (best < model.threshold)
+
+
 def predict_languages(
     docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -185,16 +196,7 @@ def predict_languages(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            lettered = np.array([bool(t and LETTER.search(t)) for t in texts], dtype=bool)
-            if model is None:
-                named, best = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-                rejected = np.ones(len(texts), dtype=bool)
-            else:
-                chances = model.scores(texts)
-                best = np.where(lettered, chances.max(axis=1), 0.0)
-                named = [model.languages[k] if ok else UNDETERMINED for k, ok in zip(chances.argmax(axis=1), lettered)]
-                rejected = ~lettered | (best < model.threshold)
+            named, best, rejected = judged(model, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(named, type=pa.string()), pa.array(best), pa.array(rejected)],
                 ["doc_id", "lang_pred", "score", "rejected"],
@@ -208,3 +210,12 @@ def identify_languages(docs: DataFrame, **options) -> DataFrame:
     return predict_languages(docs, fit_languages(docs, **options)).select(
         "doc_id", (fold(F.col("doc_id"), LEARN_FOLDS) == 0).alias("held_out"), "lang_pred", "score", "rejected",
     )
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose text is not rejected; nothing is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(~judged(model, batch.column(text_col).to_pylist())[2]))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -227,3 +227,14 @@ def classify_toxicity(docs: DataFrame, labels: DataFrame, **options) -> DataFram
     return score_toxicity(docs, fit_toxicity(docs, labels, **options)).select(
         "doc_id", (fold(F.col("doc_id"), LEARN_FOLDS) == 0).alias("held_out"), "score", "predicted",
     )
+
+
+def keep_civil(docs: DataFrame, model: ToxicityModel | None, text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, that are not predicted toxic; nothing is shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if model is not None:
+                batch = batch.filter(pa.array(model.scores(batch.column(text_col).to_pylist()) < 0.5))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)
