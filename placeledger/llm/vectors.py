@@ -31,14 +31,17 @@ def usable(v: str) -> Column:
     return F.col(v).isNotNull() & finite & F.exists(v, lambda x: x != 0)
 
 
-def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+def units(rows: np.ndarray) -> np.ndarray:
     """Unit vectors; scaled by the largest component first, so that no square overflows."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    rows = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return units(column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
+
+
 def with_cells(classes: DataFrame, pivots: dict[int, np.ndarray], radius: float) -> DataFrame:
     """Classes once for their home and once for each cell they visit. Cells are numbered within
     a width; a width without pivots is one cell."""
@@ -119,8 +122,7 @@ def range_links(classes: DataFrame, cosine: float, rows_per_cell: int, chunk: in
     # At most MOST_PIVOTS vectors, drawn by hash; they only set the cells, never a result.
     for row in classes.orderBy("k1", "k2").select("width", "v").limit(wanted).collect() if wanted > 1 else []:
         pivots.setdefault(row["width"], []).append(row["v"])
-    units = {w: np.array(p) / np.linalg.norm(p, axis=1, keepdims=True) for w, p in pivots.items()}
-    placed = with_cells(classes, units, radius)
+    placed = with_cells(classes, {w: units(np.array(p)) for w, p in pivots.items()}, radius)
     # A row a cell: the pivots bound it.
     cells = placed.groupBy("width", "cell").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))
     own = placed.join(F.broadcast(cells), ["width", "cell"]).withColumn("own", F.pmod(F.xxhash64("cls"), "chunks").cast("int"))
