@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from placeledger.session import run_dir
 
@@ -26,16 +27,44 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.struct(F.col(id_col).isNull().alias("nameless"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
 
 
+def drawn(df: DataFrame, by: str, key: str, rows: int) -> DataFrame:
+    """At most `rows` rows of each value of `by`, those with the lowest hashes of `key`.
+
+    A bound set by the value's count lets about twice as many through before they are
+    ranked, so that a common value never brings all its rows to one task.
+    """
+    sizes = df.groupBy(by).agg(F.count("*").alias("_rows"))
+    part = F.pmod(F.xxhash64(key), F.lit(1 << 40)) / float(1 << 40)
+    # One row for each value of `by`: languages, or labels.
+    few = df.join(F.broadcast(sizes), by).filter(part * F.col("_rows") < 2 * rows + 50)
+    ranked = Window.partitionBy(by).orderBy(F.xxhash64(key), key)
+    return few.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= rows).drop("_rows", "_rank")
+
+
 def tasks(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go when it is written, not when the driver's
+    memory happens to be collected."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a table in the shared folder, read again: a lost executor repeats nothing before it."""
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,9 +16,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from placeledger.llm.common import fold, records, slices
+from placeledger.llm.common import drawn, fold, records, slices
 
 GRAMS = (2, 3, 4)
 BITS = 13
@@ -144,11 +144,9 @@ def fit_languages(
     known = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), LEARN_FOLDS) != 0))
-    ranked = Window.partitionBy("lang").orderBy("order", "doc_id")
-    drawn = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("order")).distinct()
-    drawn = drawn.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= rows_per_language)
+    ids = drawn(known.select("doc_id", "lang").distinct(), "lang", "doc_id", rows_per_language)
     # At most rows_per_language ids a language.
-    chosen = known.join(F.broadcast(drawn.select("doc_id", "lang")), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
+    chosen = known.join(F.broadcast(ids), ["doc_id", "lang"]).dropDuplicates(["doc_id", "lang"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,9 +14,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from placeledger.llm.common import fold, records, slices
+from placeledger.llm.common import drawn, fold, records, slices
 from placeledger.llm.langid import MIX, words_only
 
 BITS = 20
@@ -177,10 +177,9 @@ def fit_toxicity(
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter(
         F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), LEARN_FOLDS) != 0)
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ranked = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    drawn = known.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= rows_per_class)
+    ids = drawn(known, "toxic", "doc_id", rows_per_class)
     # At most 2 * rows_per_class ids.
-    chosen = records(docs, id_col, text_col).join(F.broadcast(drawn.select("doc_id", "toxic")), "doc_id")
+    chosen = records(docs, id_col, text_col).join(F.broadcast(ids), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
