@@ -8,7 +8,8 @@ from placeledger.functions.text import blank_to_null, col, let, strip
 
 
 def lenient(text: Column | str) -> Column:
-    """Text as VARIANT, NULL when it is no JSON."""
+    """Text as VARIANT, NULL when it is no JSON. Documents that repeat a key need the
+    session's `spark.sql.variant.allowDuplicateKeys` (see `placeledger.session`)."""
     return F.try_parse_json(col(text))
 
 
@@ -73,10 +74,20 @@ def scalar_text(v: Column) -> Column:
 
 
 def number_text(v: Column) -> Column:
-    """A JSON number as written by most encoders: no exponent, no padding zeros."""
-    whole = F.schema_of_variant(v) == "BIGINT"
-    return F.when(whole, get(v, "$", "bigint").cast("string")).otherwise(
-        get(v, "$", "double").cast("string")
+    """A JSON number in plain notation: no exponent, no padding zeros.
+
+    Whole numbers of up to 38 digits and fractions of up to 18 places keep every digit;
+    only a number beyond those is shown as the nearest double.
+    """
+    whole = get(v, "$", "decimal(38,0)")
+    fraction = get(v, "$", "decimal(38,18)")
+    double = get(v, "$", "double")
+    plain = F.regexp_replace(fraction.cast("string"), r"0+$", "")
+    tiny = (fraction == 0) & (double != 0)
+    return (
+        F.when(whole == double, whole.cast("string"))
+        .when(fraction.isNotNull() & ~tiny, plain)
+        .otherwise(double.cast("string"))
     )
 
 

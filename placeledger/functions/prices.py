@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, functions as F
 
 from placeledger.fixed_values import CURRENCY_WORDS, DEFAULT_CURRENCY, PRICE_RANGE, PRICE_SINGLE
@@ -13,6 +16,17 @@ PRICE_TYPE = (
 )
 
 
+# Decimal digits of all scripts, and the same in ASCII.
+_DIGITS = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.decimal(chr(c), None) is not None]
+_ASCII = "".join(str(unicodedata.decimal(d)) for d in _DIGITS)
+
+
+def ascii_digits(text: Column) -> Column:
+    """Digits of any script as 0 to 9. Most texts have ASCII only and skip the lookup."""
+    foreign = F.rlike(text, F.lit(r"(?U)(?![0-9])\d"))
+    return F.when(foreign, F.translate(text, "".join(_DIGITS), _ASCII)).otherwise(text)
+
+
 def _minor(major: Column) -> Column:
     # An amount beyond 64 bits is no price.
     return F.when(major > 0, F.rint(major * 100).try_cast("long"))
@@ -22,7 +36,7 @@ def amount_to_minor(text: Column | str) -> Column:
     """Minor units of a written amount, halves to even. Only plain spaces may group
     digits; NULL when not positive or not a number."""
     plain = F.replace(F.replace(col(text), F.lit(" "), F.lit("")), F.lit(","), F.lit("."))
-    plain = strip(plain)
+    plain = ascii_digits(strip(plain))
     number = F.when(F.rlike(plain, F.lit(r"^\d+(\.\d+)?$")), plain.try_cast("double"))
     return _minor(number)
 

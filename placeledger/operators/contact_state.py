@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.operators.joins import lookup
+from placeledger.operators.numbering import oldest_first, with_ids
 
 KEY = ("salon_id", "contact_type", "normalized_value", "source")
 
@@ -16,12 +17,14 @@ def merge_contacts(current: DataFrame, checked: DataFrame, incoming: DataFrame,
     `checked` lists the (salon_id, source) pairs that were looked at, so that one whose
     contact list came back empty still loses its contacts. `incoming` has `pos`, its
     order; the last of equal contacts wins. Old and new rows meet in one aggregate on
-    the contact key, which folds repeated rows before the shuffle; no outer join.
+    the contact key, which folds repeated rows before the shuffle; no outer join. New
+    contacts get the next ids by salon and first arrival; that numbering runs when this
+    is called.
     """
-    carried = ["display_value", "metadata", "first_seen_at", "last_seen_at", "is_active", "id"]
-    old = current.select(
-        *KEY, F.struct(*[c for c in carried if c in current.columns]).alias("old")
-    )
+    carried = [
+        c for c in ("display_value", "metadata", "first_seen_at", "last_seen_at", "is_active", "id") if c in current.columns
+    ]
+    old = current.select(*KEY, F.struct(*carried).alias("old"))
     payload = [c for c in ("display_value", "metadata") if c in incoming.columns and c in current.columns]
     new = incoming.select(
         *KEY, F.struct(*payload).alias("new"), F.col("pos").cast("bigint").alias("pos")
@@ -29,8 +32,9 @@ def merge_contacts(current: DataFrame, checked: DataFrame, incoming: DataFrame,
     rows = old.unionByName(new, allowMissingColumns=True)
     paired = rows.groupBy(*KEY).agg(
         F.max("old.is_active").alias("was_active"),
-        F.expr("any_value(old) FILTER (WHERE old IS NOT NULL)").alias("old"),
+        F.min_by("old", F.when(F.col("old").isNotNull(), oldest_first("old.", carried))).alias("old"),
         F.expr("max_by(new, pos) FILTER (WHERE new IS NOT NULL)").alias("new"),
+        F.min("pos").alias("_arrival"),
     )
     looked_at = checked.select("salon_id", "source").distinct().withColumn("_checked", F.lit(True))
     joined = lookup(paired, looked_at, ["salon_id", "source"], "left")
@@ -51,7 +55,10 @@ def merge_contacts(current: DataFrame, checked: DataFrame, incoming: DataFrame,
     if "id" in current.columns:
         out["id"] = F.col("old.id")
     columns = [c for c in current.columns if c in out or c in KEY]
-    return state.select(*[out[c].alias(c) if c in out else F.col(c) for c in columns], "change")
+    table = state.select(*[out[c].alias(c) if c in out else F.col(c) for c in columns], "change", "_arrival")
+    if "id" in columns:
+        table = with_ids(table, current, "salon_id", "_arrival", "contact_type", "normalized_value", "source")
+    return table.drop("_arrival")
 
 
 def contact_change_counts(merged: DataFrame, *by: str) -> DataFrame:

@@ -122,6 +122,9 @@ def resolve_batch(obs: DataFrame) -> DataFrame:
     sighting needs.
     """
     keyed = cut_lineage(with_keys(obs).select("seq", "keys"))
+    # Two sightings under one number would silently become one entity.
+    if keyed.groupBy("seq").agg(F.count("*").alias("n")).filter("n > 1 OR seq IS NULL").limit(1).count():
+        raise ValueError("every sighting needs a seq of its own")
     folded = keyed.groupBy("keys").agg(F.min("seq").alias("node"))
     # A sighting without any key is an entity of its own.
     keyless, linked = keyed.filter(F.size("keys") == 0), folded.filter(F.size("keys") > 0)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from placeledger.operators.classify import classify_entities, decision_columns
 from placeledger.operators.identity import match_existing, resolve_batch, with_identity_texts
 from placeledger.operators.joins import lookup
+from placeledger.operators.numbering import number_rows
 from placeledger.session import cut_lineage
 
 
@@ -67,6 +68,10 @@ def merge_entities(rows: DataFrame, policy: MergePolicy, key: str = "entity_id",
     return merged.select(*spread)
 
 
+# Order of sightings that no caller has numbered; equal rows of it are numbered by chance.
+ARRIVAL = ("fetched_at", "discovered_grid_cell_id", "discovered_query", "page", "item_pos", "external_id", "raw_payload")
+
+
 def canonical_candidates(decided: DataFrame) -> DataFrame:
     """Sightings that get a canonical record: accepted, or known by an external id.
     The others stay in the history only."""
@@ -86,26 +91,30 @@ def assign_entities(obs: DataFrame, current: DataFrame) -> DataFrame:
         F.min_by("entity_id", F.when(F.col("entity_id").isNotNull(), F.col("seq"))).alias("known_id")
     )
     top = current.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
+    of_group = cut_lineage(of_group)
+    known = of_group.filter("known_id IS NOT NULL").select("component", F.col("known_id").alias("entity_id"), F.lit(True).alias("known"))
     # `component` is the first sighting's seq: unique and in arrival order already.
-    named = of_group.select(
-        "component",
-        F.coalesce("known_id", F.lit(int(top)) + 1 + F.col("component")).alias("entity_id"),
-        F.col("known_id").isNotNull().alias("known"),
-    )
+    fresh = number_rows(of_group.filter("known_id IS NULL").select("component"), "entity_id", "component", start=int(top) + 1)
+    named = known.unionByName(fresh.select("component", "entity_id", F.lit(False).alias("known")))
     return lookup(groups, named, "component").select("seq", "entity_id", "known")
 
 
 def merge_sightings(current: DataFrame, sightings: DataFrame, as_of, words=None) -> tuple[DataFrame, DataFrame]:
     """Classify a batch and merge it into the current table: (new table, decided).
 
+    Sightings without `seq` are numbered by arrival: fetch time, then request, then the
+    item's place in its response. The grouping and the numbering run when this is called.
+
     `decided` is the batch with its decision, entity (NULL for history-only rows) and
     `merged`, ready to be appended as discovery history.
     """
     # Written once to the shared folder: the batch is read by the grouping rounds, the
     # matching and the merge, and none of them should parse and classify it again.
-    decided = cut_lineage(
-        classify_entities(with_identity_texts(sightings), **({"words": words} if words else {}))
-    )
+    classified = classify_entities(with_identity_texts(sightings), **({"words": words} if words else {}))
+    if "seq" in sightings.columns:
+        decided = cut_lineage(classified)
+    else:
+        decided = number_rows(classified, "seq", *[c for c in ARRIVAL if c in classified.columns])
     candidates = canonical_candidates(decided)
     entities = cut_lineage(assign_entities(candidates, current))
     # Whoever arrives first at a new entity creates it, every other one merges.

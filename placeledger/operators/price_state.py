@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.functions.prices import display_price, whole_units
 from placeledger.operators.joins import lookup
+from placeledger.operators.numbering import oldest_first, with_ids
 
 _REFRESHED = (
     "service_name_raw", "service_name_normalized", "amount_minor", "currency", "price_type",
@@ -18,7 +19,8 @@ def merge_prices(current: DataFrame, results: DataFrame, as_of: Column) -> DataF
 
     `results` has one row per salon and service. A found or ambiguous result makes its
     own evidence the only active row, any other result leaves none active. Missing
-    source types and evidence compare as empty texts.
+    source types and evidence compare as empty texts. New rows get the next ids, by salon,
+    service and evidence; that numbering runs when this is called.
     """
     key = ["salon_id", "service_key", "_source", "_evidence"]
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
@@ -30,7 +32,7 @@ def merge_prices(current: DataFrame, results: DataFrame, as_of: Column) -> DataF
     new = usable.select(*key, F.struct(*fresh).alias("new"))
     paired = old.unionByName(new, allowMissingColumns=True).groupBy(*key).agg(
         # Several old rows on one key (NULL and '' evidence) fold into the oldest.
-        F.expr("min_by(old, old.id) FILTER (WHERE old IS NOT NULL)").alias("old"),
+        F.min_by("old", F.when(F.col("old").isNotNull(), oldest_first("old.", stored))).alias("old"),
         F.expr("any_value(new) FILTER (WHERE new IS NOT NULL)").alias("new"),
     )
     checked = results.select("salon_id", "service_key", F.lit(True).alias("_checked"))
@@ -57,9 +59,10 @@ def merge_prices(current: DataFrame, results: DataFrame, as_of: Column) -> DataF
             return F.when(seen, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}"))
         return F.col(f"old.{c}")
 
-    return state.select(
+    table = state.select(
         "salon_id", "service_key", *[value(c).alias(c) for c in stored], "change"
     ).select(*current.columns, "change")
+    return with_ids(table, current, "salon_id", "service_key", "source_type", "evidence_text") if "id" in stored else table
 
 
 def summarize_prices(salons: DataFrame, results: DataFrame, as_of: Column) -> DataFrame:

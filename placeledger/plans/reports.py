@@ -20,6 +20,19 @@ from placeledger.functions.times import latest, parse_datetime
 PRICED = ("exact", "from", "range")
 
 
+def contact_rows(contacts: DataFrame) -> DataFrame:
+    """One row per distinct active contact value: salon_id, list (phones, links or NULL),
+    value and place, by which a salon's values are ordered. The unbounded form of the
+    lists, for exports that do not need a salon in one row."""
+    active = contacts.filter("is_active").select("salon_id", "contact_type", "id", strip("display_value").alias("value"))
+    listed = F.when(F.col("contact_type") == "phone", "phones").when(
+        F.col("contact_type").isin("website", "social"), "links"
+    )
+    return active.withColumn("list", listed).groupBy("salon_id", "list", "value").agg(
+        F.min(F.struct("contact_type", "id")).alias("place")
+    )
+
+
 def contact_lists(contacts: DataFrame) -> DataFrame:
     """Per salon its active phones and links (distinct, by type and arrival) and
     whether it has any active contact.
@@ -27,20 +40,13 @@ def contact_lists(contacts: DataFrame) -> DataFrame:
     Equal values fold into one row before lists are built, so a list is as long as
     the distinct values the report shows, not as the contact history.
     """
-    active = contacts.filter("is_active").select("salon_id", "contact_type", "id", strip("display_value").alias("value"))
-    listed = F.when(F.col("contact_type") == "phone", "phones").when(
-        F.col("contact_type").isin("website", "social"), "links"
-    )
-    distinct = active.withColumn("list", listed).groupBy("salon_id", "list", "value").agg(
-        F.min(F.struct("contact_type", "id")).alias("place")
-    )
 
     def values(name: str) -> Column:
         wanted = (F.col("list") == name) & (F.col("value") != "")
         rows = F.array_sort(F.collect_list(F.when(wanted, F.struct("place", "value"))))
         return F.transform(rows, lambda r: r["value"]).alias(name)
 
-    return distinct.groupBy("salon_id").agg(values("phones"), values("links"), F.lit(True).alias("has_contact"))
+    return contact_rows(contacts).groupBy("salon_id").agg(values("phones"), values("links"), F.lit(True).alias("has_contact"))
 
 
 def newest_prices(prices: DataFrame, service: str = TARGET_SERVICE) -> DataFrame:
@@ -50,7 +56,9 @@ def newest_prices(prices: DataFrame, service: str = TARGET_SERVICE) -> DataFrame
         "service_name_raw", "source_type", "source_url",
     ]
     active = prices.filter(F.col("is_active") & (F.col("service_key") == service))
-    return active.groupBy("salon_id").agg(F.max_by(F.struct(*columns), "id").alias("price"))
+    # Rows without an id count as older than any with one, and still count.
+    return active.groupBy("salon_id").agg(
+        F.max_by(F.struct(*columns), F.struct(F.col("id").isNotNull(), F.col("id"))).alias("price"))
 
 
 def _in_region(df: DataFrame, region_id: int | None, column: str = "region_id") -> DataFrame:

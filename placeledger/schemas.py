@@ -31,7 +31,7 @@ GRID_METADATA = """
 """
 
 BOUNDARY = """
-    region_id bigint, rings array<struct<ring_id:int,is_hole:boolean,
+    region_id bigint, rings array<struct<ring_id:bigint,is_hole:boolean,
     points:array<struct<lon:double,lat:double>>>>
 """
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -13,6 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A repeated key of a JSON object has its last value, as in most parsers.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # Parsing is what costs: splits well under the default 128 MB spread it over the cores.
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 
 
@@ -41,12 +47,26 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if current.nonEmpty():
         return current.get()
-    if not context.master.startswith("local"):
+    # Only here are driver and executors one process; local-cluster's are not.
+    if not (context.master == "local" or context.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="placeledger-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where nothing else does: it goes to them as a
+    zip, once a session. Not needed where it is installed, on PYTHONPATH, or run in place."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if root in map(os.path.abspath, filter(None, paths)) or getattr(spark.sparkContext, "_placeledger_shipped", False):
+        return
+    name = os.path.join(tempfile.mkdtemp(prefix="placeledger-"), "placeledger")
+    # The driver serves the file; no executor reads the driver's folder.
+    spark.sparkContext.addPyFile(shutil.make_archive(name, "zip", root, "placeledger"))
+    spark.sparkContext._placeledger_shipped = True
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder, for one run of a job."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -15,13 +15,6 @@ def _reader(spark: SparkSession, stream: bool):
     return spark.readStream if stream else spark.read
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the files gave fewer splits than there are cores. Worth
-    its shuffle only ahead of parsing, and a no-op for inputs of many splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def search_responses(spark: SparkSession, path: str, fmt: str = "json", stream: bool = False) -> DataFrame:
     """Landed search responses: request columns plus the response text in `body`."""
     return _reader(spark, stream).schema(schemas.SEARCH_RESPONSE).format(fmt).load(path)
@@ -59,14 +52,15 @@ def rings_from_geojson(documents: DataFrame) -> DataFrame:
         F.col("geometry.type") == "Polygon",
         F.array(F.try_variant_get(coordinates, "$", f"array<array<{_POINT}>>")),
     ).otherwise(F.try_variant_get(coordinates, "$", nested))
-    # Rings are numbered over the whole geometry: the n-th polygon's ring m.
+    # Rings are numbered over the whole geometry: the n-th polygon's ring m. Array positions
+    # are 32 bits wide, so both fit one number.
     numbered = F.flatten(
         F.transform(
             polygons,
             lambda rings, n: F.transform(
                 rings,
                 lambda ring, m: F.struct(
-                    (n * 100000 + m).cast("int").alias("ring_id"),
+                    F.shiftleft(n.cast("bigint"), 32).bitwiseOR(m.cast("bigint")).alias("ring_id"),
                     (m > 0).alias("is_hole"),
                     F.transform(
                         ring, lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))

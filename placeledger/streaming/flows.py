@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from placeledger.operators.classify import classify_entities
 from placeledger.operators.merge import merge_sightings
 from placeledger.operators.parse_search import parse_search
-from placeledger.sources.sinks import read_snapshot, write_snapshot
+from placeledger.sources.sinks import read_snapshot, versions, write_snapshot
 
 
 def decided_sightings(responses: DataFrame, words: dict | None = None, page_size: int = 10) -> DataFrame:
@@ -31,18 +31,24 @@ def append_available(stream: DataFrame, path: str, checkpoint: str, fmt: str = "
 
 
 def merge_available(stream: DataFrame, root: str, checkpoint: str, as_of: Column,
-                    words: dict | None = None) -> StreamingQuery:
+                    words: dict | None = None, history: str | None = None) -> StreamingQuery:
     """Merge each micro-batch of sightings into the snapshot table under `root`.
 
-    The new version is named by the batch, and a batch whose version is already the
-    current one is skipped, so a restart cannot merge it twice.
+    A version is named by the stream (the id in its checkpoint) and the batch, and a batch
+    whose version was ever current is skipped: a restart cannot merge it twice, and another
+    stream, whose batches are numbered from 0 too, is not mistaken for it. With `history`,
+    the batch's decided sightings are kept there, each batch in a folder of its own that a
+    replay replaces; discoveries are never changed later.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if current_version(spark, root) == f"batch-{batch_id}":
+        name = f"{stream_id(spark, checkpoint)}-{batch_id}"
+        if versions(spark, root).filter(F.col("version") == name).limit(1).count():
             return
-        table, _ = merge_sightings(read_snapshot(spark, root), batch, as_of, words)
-        write_snapshot(table, root, f"batch-{batch_id}")
+        table, located = merge_sightings(read_snapshot(spark, root), batch, as_of, words)
+        if history:
+            located.write.mode("overwrite").parquet(f"{history}/batch={name}")
+        write_snapshot(table, root, name)
 
     return (
         stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -50,9 +56,9 @@ def merge_available(stream: DataFrame, root: str, checkpoint: str, as_of: Column
     )
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    pointers = spark.read.parquet(f"{root}/_pointers")
-    return pointers.agg(F.max_by("version", "written_at").alias("v")).first()["v"]
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream keeps in its checkpoint across restarts."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
 def drop_repeats(stream: DataFrame, keys: list[str], event_time: str, within: str = "1 day") -> DataFrame:
@@ -87,5 +93,3 @@ def heartbeat_sessions(heartbeats: DataFrame, minutes: int, run: str = "run_id",
     return beats.groupBy(run, F.session_window(at, f"{int(minutes)} minutes").alias("span")).agg(
         F.count("*").alias("beats"), F.min(at).alias("first_beat"), F.max(at).alias("last_beat")
     ).drop("span")
-
-

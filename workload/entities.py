@@ -18,7 +18,6 @@ from placeledger.operators.salon_state import apply_classification, apply_detail
 from placeledger.plans.pricing import extract_prices, latest_payloads
 from placeledger.sources.dimensions import region_keys, sync_regions
 from placeledger.sources.evolve import union_evolved
-from placeledger.sources.readers import spread
 from placeledger.operators.resolve import resolve_keys
 from workload.registry import query
 from workload.views import table, view
@@ -56,7 +55,7 @@ def _search_bodies(spark, sf):
             F.struct(F.lit(200).alias("code")).alias("meta"),
             F.struct(F.array(item, item).alias("items"), (i % 50).alias("total")).alias("result"))))
     )
-    return spread(table(spark, sf, "orders")).select(
+    return table(spark, sf, "orders").select(
         i.alias("grid_cell_id"), (F.col("o_custkey") % 5).alias("region_id"), F.col("o_orderpriority").alias("query"),
         (i % 3 + 1).cast("int").alias("page"), F.lit("u").alias("source_url"),
         F.lit(None).cast("timestamp_ntz").alias("fetched_at"), body.alias("body"))
@@ -123,7 +122,7 @@ def _details_bodies(spark, sf):
         .when(i % 10 == 2, F.lit('{"meta":{"code":200},"result":{"items":[]}}')).otherwise(ok)
     )
     http = F.when(i % 10 == 3, 429).when(i % 10 == 4, 503).otherwise(200).cast("int")
-    return spread(table(spark, sf, "customer")).select(
+    return table(spark, sf, "customer").select(
         i.alias("id"), i.alias("salon_id"), c.alias("external_id"), http.alias("http_status"), F.lit("u").alias("source_url"),
         body.alias("body"))
 
@@ -307,18 +306,123 @@ def price_state(spark, sf):
 
 @query(f"""
     WITH {RESULTS}
-    SELECT s.id, CASE WHEN st = 'found' THEN 'price_found' ELSE coalesce(st, verification_status) END AS verification_status,
+    SELECT s.id, k.service_key, CASE WHEN st = 'found' THEN 'price_found' ELSE coalesce(st, verification_status) END AS verification_status,
       CASE WHEN st = 'found' THEN CASE price_type WHEN 'range' THEN (range_min_minor // 100) || '-' || (range_max_minor // 100)
         WHEN 'from' THEN 'от ' || (amount_minor // 100) ELSE CAST(amount_minor // 100 AS VARCHAR) END END AS service_price,
       CASE WHEN st = 'found' THEN CASE WHEN price_type = 'range' THEN range_min_minor // 100 ELSE amount_minor // 100 END END AS price_min,
       CASE WHEN st = 'found' THEN CASE WHEN price_type = 'range' THEN range_max_minor // 100 ELSE amount_minor // 100 END END AS price_max
-    FROM v_salons s LEFT JOIN (SELECT * FROM res WHERE service_key = 'basic_manicure_with_coating') r ON r.salon_id = s.id
+    FROM v_salons s CROSS JOIN (SELECT unnest(['basic_manicure_with_coating', 'N', 'R']) AS service_key) k
+    LEFT JOIN res r ON r.salon_id = s.id AND r.service_key = k.service_key
 """)
 def price_summary(spark, sf):
+    """The summary of every service in turn: a salon table shows one service."""
     salons = view(spark, sf, "v_salons").select("id", "verification_status").withColumns({
         "service_price": F.lit(None).cast("string"), "price_min": F.lit(None).cast("bigint"), "price_max": F.lit(None).cast("bigint")})
-    results = _price_results(spark, sf).filter(F.col("service_key") == "basic_manicure_with_coating")
-    return summarize_prices(salons, results, as_of())
+    results = _price_results(spark, sf)
+    each = [
+        summarize_prices(salons, results.filter(F.col("service_key") == service), as_of()).withColumn("service_key", F.lit(service))
+        for service in ("basic_manicure_with_coating", "N", "R")
+    ]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query(f"""
+    WITH {RESULTS},
+    one AS (SELECT salon_id, service_key, evidence_text, amount_minor FROM res WHERE st <> 'not_found')
+    SELECT salon_id, service_key, evidence_text, CASE WHEN salon_id % 4 = 2 THEN amount_minor + 100 ELSE amount_minor END AS amount_minor,
+      salon_id % 4 <> 0 AS is_active, CASE WHEN salon_id % 2 = 1 THEN 'unchanged' WHEN salon_id % 4 = 2 THEN 'updated' ELSE 'deactivated' END AS change,
+      '2024-05-01' AS first_seen, row_number() OVER (ORDER BY salon_id, service_key, evidence_text) AS id FROM one
+    UNION ALL
+    SELECT salon_id, service_key, evidence_text || ' new', amount_minor + 100, true, 'created', '2024-06-01',
+      (SELECT count(*) FROM one) + row_number() OVER (ORDER BY salon_id, service_key, evidence_text) FROM one WHERE salon_id % 4 = 0
+""")
+def price_state_two_runs(spark, sf):
+    """A first run on an empty table, then one that checks the even salons only and finds
+    higher prices, every fourth salon's in another place."""
+    results = _price_results(spark, sf)
+    first = F.lit(datetime(2024, 5, 1)).cast("timestamp_ntz")
+    before = merge_prices(_stored_prices(spark, sf).filter("false"), results, first).drop("change")
+    again = results.filter("salon_id % 2 = 0").withColumns({
+        "amount_minor": F.col("amount_minor") + 100,
+        "evidence_text": F.when(F.col("salon_id") % 4 == 0, F.concat("evidence_text", F.lit(" new"))).otherwise(F.col("evidence_text"))})
+    merged = merge_prices(before, again, as_of())
+    return merged.select(
+        "salon_id", "service_key", "evidence_text", "amount_minor", "is_active", "change",
+        F.date_format("first_seen_at", "yyyy-MM-dd").alias("first_seen"), "id")
+
+
+@query("""
+    WITH k AS (SELECT salon_id, contact_type, normalized_value, min(id) AS pos, bool_or(id % 2 = 0) AS again FROM v_contacts GROUP BY ALL)
+    SELECT salon_id, contact_type, normalized_value, salon_id % 2 = 1 OR again AS is_active,
+      CASE WHEN salon_id % 2 = 1 THEN 'unchanged' WHEN again THEN 'updated' ELSE 'deactivated' END AS change,
+      row_number() OVER (ORDER BY salon_id, pos) AS id FROM k
+""")
+def contact_state_two_runs(spark, sf):
+    """A first run on an empty table, then one that looks at the even salons and finds some."""
+    return _two_contact_runs(spark, sf).select("salon_id", "contact_type", "normalized_value", "is_active", "change", "id")
+
+
+def _two_contact_runs(spark, sf):
+    v = view(spark, sf, "v_contacts")
+    incoming = v.select(
+        "salon_id", "contact_type", "normalized_value", "source", F.col("normalized_value").alias("display_value"), F.col("id").alias("pos"))
+    empty = v.select("salon_id", "contact_type", "normalized_value", "source", "id", "is_active").withColumns({
+        "display_value": F.lit(""), "first_seen_at": as_of(), "last_seen_at": as_of()}).filter("false")
+    before = merge_contacts(empty, v.select("salon_id", "source"), incoming, as_of()).drop("change")
+    even = F.col("salon_id") % 2 == 0
+    return merge_contacts(before, v.filter(even).select("salon_id", "source"), incoming.filter(even & (F.col("pos") % 2 == 0)), as_of())
+
+
+@query(f"""
+    WITH {RESULTS},
+    k AS (SELECT salon_id, contact_type, normalized_value, min(id) AS pos, bool_or(id % 2 = 0) AS again FROM v_contacts GROUP BY ALL),
+    lists AS (SELECT salon_id, coalesce(string_agg(normalized_value, '|' ORDER BY pos) FILTER (WHERE contact_type = 'phone'), '') AS phones
+      FROM k WHERE salon_id % 2 = 1 OR again GROUP BY 1),
+    price AS (SELECT *, CASE price_type WHEN 'range' THEN (range_min_minor // 100) || '–' || (range_max_minor // 100)
+        WHEN 'from' THEN 'от ' || (amount_minor // 100) WHEN 'exact' THEN CAST(amount_minor // 100 AS VARCHAR) END AS shown
+      FROM res WHERE st <> 'not_found' AND service_key = 'basic_manicure_with_coating')
+    SELECT s.id, coalesce(phones, '') AS phones, shown AS price, coalesce(price_type, 'not_checked') AS price_type
+    FROM v_salons s JOIN v_regions r ON r.id = s.region_id LEFT JOIN lists l ON l.salon_id = s.id LEFT JOIN price p ON p.salon_id = s.id
+    WHERE filter_status = 'accepted'
+""")
+def report_after_merge(spark, sf):
+    """The accepted report over contacts and prices that the merges themselves made."""
+    from placeledger.plans.reports import accepted_report
+    from workload.reports import _salons
+
+    prices = merge_prices(_stored_prices(spark, sf).filter("false"), _price_results(spark, sf), as_of()).drop("change")
+    contacts = _two_contact_runs(spark, sf).drop("change")
+    return accepted_report(_salons(spark, sf), view(spark, sf, "v_regions"), contacts, prices).select(
+        "id", F.array_join("phones", "|").alias("phones"), "price", "price_type")
+
+
+@query("""
+    WITH items AS (SELECT 'u' || user_id AS external_id, event_type AS name, ts, event_id, 0 AS pos FROM events
+      UNION ALL SELECT 'p' || event_id % 50, event_type || ' ' || user_id % 7, ts, event_id, 1 FROM events)
+    SELECT external_id, name AS last_name, CASE WHEN event_id % 2 = 0 THEN 'accepted' ELSE 'rejected' END AS filter_status, n_seen, id
+    FROM (SELECT *, row_number() OVER (PARTITION BY external_id ORDER BY ts DESC, event_id DESC) AS rn,
+        count(*) OVER (PARTITION BY external_id) AS n_seen FROM items) JOIN
+      (SELECT external_id, row_number() OVER (ORDER BY min((ts, event_id, pos))) AS id FROM items GROUP BY 1) USING (external_id)
+    WHERE rn = 1
+""")
+def merge_many_items(spark, sf):
+    """Responses of two organisations each, numbered by arrival and merged into an empty table."""
+    from placeledger import schemas
+    from placeledger.operators.merge import merge_sightings
+
+    kind = F.array(F.struct(F.when(F.col("event_id") % 2 == 0, "Маникюр").otherwise("Кафе").alias("name")))
+    one = F.struct(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"), F.concat(F.lit("Студия "), "event_type").alias("name"), kind.alias("rubrics"))
+    two = F.struct(
+        F.concat(F.lit("p"), (F.col("event_id") % 50).cast("string")).alias("id"),
+        F.concat(F.lit("Студия "), "event_type", F.lit(" "), (F.col("user_id") % 7).cast("string")).alias("name"), kind.alias("rubrics"))
+    responses = table(spark, sf, "events").select(
+        F.col("event_id").alias("grid_cell_id"), F.lit(1).cast("bigint").alias("region_id"), F.lit("q").alias("query"), F.lit(1).alias("page"),
+        F.lit("u").alias("source_url"), F.col("ts").cast("timestamp_ntz").alias("fetched_at"),
+        F.to_json(F.struct(F.struct(F.array(one, two).alias("items")).alias("result"))).alias("body"))
+    merged, decided = merge_sightings(spark.createDataFrame([], schemas.SALON), parse_search(responses)[0], as_of())
+    seen = decided.groupBy(F.col("entity_id").alias("id")).agg(F.count("*").alias("n_seen"))
+    return merged.join(seen, "id").select(
+        "external_id", F.regexp_replace("name", "^Студия ", "").alias("last_name"), "filter_status", "n_seen", "id")
 
 
 @query("""
@@ -479,8 +583,8 @@ def discovery_backlink(spark, sf):
     WITH w AS (SELECT c_custkey AS name, unnest([0, 1, 2]) AS priority FROM customer),
     k AS (SELECT name, priority, CASE priority WHEN 0 THEN 'iso' ELSE CASE priority WHEN 1 THEN 'name:ru' ELSE 'name' END END AS kind,
         CASE priority WHEN 0 THEN 'i' || name % 700 ELSE 'n' || name % 900 END AS key FROM w),
-    c AS (SELECT 'iso' AS kind, 'i' || o_custkey % 2000 AS key, o_orderkey AS id FROM orders WHERE o_orderkey % 97 = 0
-      UNION ALL SELECT 'name', 'n' || o_custkey % 1000, o_orderkey FROM orders WHERE o_orderkey % 31 = 0),
+    c AS (SELECT 'iso' AS kind, 'i' || o_orderkey % 20011 AS key, o_orderkey AS id FROM orders
+      UNION ALL SELECT 'name', 'n' || o_orderkey % 15013, o_orderkey FROM orders),
     n AS (SELECT kind, key, count(DISTINCT id) AS n, min(id) AS id FROM c GROUP BY ALL),
     h AS (SELECT k.name, k.priority, n.n, n.id FROM k JOIN n USING (kind, key)),
     b AS (SELECT name, arg_min(n, priority) AS n, arg_min(id, priority) AS id FROM h GROUP BY name)
@@ -496,8 +600,8 @@ def key_resolution(spark, sf):
         F.split("name", r"\|")[0].alias("name"), "priority", "kind",
         F.when(F.col("kind") == "iso", F.col("key")).otherwise(F.split("key", r"\|")[1]).alias("key"))
     o, k = table(spark, sf, "orders"), F.col("o_orderkey")
-    candidates = o.filter(k % 97 == 0).select(F.lit("iso").alias("kind"), text("i", F.col("o_custkey") % 2000).alias("key"), k.alias("id")).unionByName(
-        o.filter(k % 31 == 0).select(F.lit("name").alias("kind"), text("n", F.col("o_custkey") % 1000).alias("key"), k.alias("id")))
+    candidates = o.select(F.lit("iso").alias("kind"), text("i", k % 20011).alias("key"), k.alias("id")).unionByName(
+        o.select(F.lit("name").alias("kind"), text("n", k % 15013).alias("key"), k.alias("id")))
     return resolve_keys(wanted, candidates).select("name", "status", "id")
 
 

@@ -425,28 +425,67 @@ def stream_ingest(spark, sf):
     return spark.read.parquet(out).select(F.col("discovered_grid_cell_id").alias("cell"), "external_id", "accepted")
 
 
-@query("""
-    SELECT CAST(user_id AS VARCHAR) AS external_id, arg_max(event_type, event_id) AS last_type, CASE WHEN max(event_id) % 2 = 0 THEN 'accepted' ELSE 'rejected' END AS filter_status
-    FROM events GROUP BY user_id
-""")
-def stream_merge(spark, sf):
+def _landed_events(spark, sf):
+    """Events landed file by file, later files later, and read back one file a micro-batch."""
+    events, landing = table(spark, sf, "events"), run_dir(spark, "landing")
+    for part in range(3):
+        events.filter(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(landing)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+
+
+LANDED = """
+    seen AS (SELECT CAST(user_id AS VARCHAR) AS external_id, event_type, event_id,
+        row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3, ts, event_id) AS nth,
+        row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 DESC, ts DESC, event_id DESC) AS back FROM events)
+"""
+
+
+def _stream_merged(spark, sf):
+    """Three micro-batches merged into a table that knows every tenth user already; then the
+    same stream started again, which must add nothing."""
     from placeledger import schemas
     from placeledger.operators.parse_search import parse_search
-    from placeledger.sources.sinks import read_snapshot, write_snapshot
+    from placeledger.sources.sinks import write_snapshot
+
+    root, state, history = (run_dir(spark, name) for name in ("salons", "salons-state", "discoveries"))
+    known = table(spark, sf, "events").select("user_id").distinct().filter("user_id % 10 = 0").select(
+        F.col("user_id").alias("id"), F.lit("2GIS").alias("external_source"), F.col("user_id").cast("string").alias("external_id"),
+        F.lit(1).cast("bigint").alias("region_id"), F.lit("known").alias("name"), F.lit("kept").alias("city"))
+    empty = spark.createDataFrame([], schemas.SALON)
+    write_snapshot(empty.unionByName(known, allowMissingColumns=True), root, "known")
+    sightings, _ = parse_search(_as_response(_landed_events(spark, sf)))
+    for _ in range(2):
+        flows.merge_available(sightings, root, state, as_of(), history=history).awaitTermination()
+    return root, history
+
 
-    root, state = run_dir(spark, "salons"), run_dir(spark, "salons-state")
-    write_snapshot(spark.createDataFrame([], schemas.SALON), root, "empty")
-    sightings, _ = parse_search(_as_response(_event_stream(spark, sf)))
-    stream = sightings.withColumn("seq", F.col("discovered_grid_cell_id"))
-    flows.merge_available(stream, root, state, as_of()).awaitTermination()
+@query(f"""
+    WITH {LANDED}
+    SELECT external_id, event_type AS last_type, CASE WHEN event_id % 2 = 0 THEN 'accepted' ELSE 'rejected' END AS filter_status,
+      CASE WHEN CAST(external_id AS BIGINT) % 10 = 0 THEN 'kept' END AS city
+    FROM seen WHERE back = 1
+""")
+def stream_merge(spark, sf):
+    from placeledger.sources.sinks import read_snapshot
+
+    root, _ = _stream_merged(spark, sf)
     return read_snapshot(spark, root).select(
-        "external_id", F.regexp_replace("name", "^Студия ", "").alias("last_type"), "filter_status")
+        "external_id", F.regexp_replace("name", "^Студия ", "").alias("last_type"), "filter_status", "city")
+
+
+@query(f"""
+    WITH {LANDED}
+    SELECT external_id, event_id AS cell, event_id % 2 = 0 AS accepted, nth > 1 OR CAST(external_id AS BIGINT) % 10 = 0 AS merged FROM seen
+""")
+def stream_history(spark, sf):
+    _, history = _stream_merged(spark, sf)
+    return spark.read.parquet(history).select("external_id", F.col("discovered_grid_cell_id").alias("cell"), "accepted", "merged")
 
 
 @query("SELECT DISTINCT user_id, event_type, props FROM events")
 def stream_dedupe(spark, sf):
     out, state = run_dir(spark, "dedupe"), run_dir(spark, "dedupe-state")
-    unique = flows.drop_repeats(_event_stream(spark, sf), ["user_id", "event_type", "props"], "ts", "60 days")
+    unique = flows.drop_repeats(_landed_events(spark, sf), ["user_id", "event_type", "props"], "ts", "60 days")
     flows.append_available(unique.select("user_id", "event_type", "props"), out, state).awaitTermination()
     return spark.read.parquet(out)
 
