@@ -17,12 +17,12 @@ from placeledger.sources.evolve import add_missing_columns, union_evolved
 from placeledger.sources.readers import boundaries, search_responses
 
 ITEM = {
-    "id": 70000001, "name": "Лак", "address": {"x": 1}, "address_name": "Тестовая, 1",
+    "id": 90210, "name": "Заря", "address": {"x": 1}, "address_name": "Дальняя, 7",
     "point": {"lat": 54.7, "lon": 20.5}, "rubrics": [{"name": "Маникюр"}, {"name": ""}, "x", {"name": "Педикюр"}],
     "contact_groups": [
         {"contacts": [
-            {"type": "phone", "value": "+7 4012 11-22-33", "text": "t"}, {"type": "phone", "value": "2"},
-            {"type": "website", "value": "", "text": "example.ru/beauty"}, {"type": "vk", "value": "vk.com/beauty"},
+            {"type": "phone", "value": "+7 900 000-00-01", "text": "t"}, {"type": "phone", "value": "2"},
+            {"type": "website", "value": "", "text": "place.example/nails"}, {"type": "vk", "value": "vk.com/zarya"},
         ]},
         "broken", {"contacts": [{"type": "instagram", "value": "insta"}, {"type": "email", "value": None}]},
     ],
@@ -40,10 +40,10 @@ def test_search_items(frame):
     r = sightings.collect()
     assert len(r) == 1
     r = r[0]
-    assert (r["external_id"], r["name"], r["address"]) == ("70000001", "Лак", "Тестовая, 1")
+    assert (r["external_id"], r["name"], r["address"]) == ("90210", "Заря", "Дальняя, 7")
     assert r["categories"] == ["Маникюр", "Педикюр"]
     assert (r["phone"], r["website"], r["social_links"]) == (
-        "+7 4012 11-22-33", "example.ru/beauty", ["vk.com/beauty", "insta"])
+        "+7 900 000-00-01", "place.example/nails", ["vk.com/zarya", "insta"])
     assert (r["latitude"], r["longitude"], r["working_hours"]) == (54.7, 20.5, '{"a":2,"b":1}')
     p = pages.first()
     assert (p["status"], p["n_items"], p["total"], p["has_next_page"]) == ("ok", 1, 30, True)
@@ -95,8 +95,8 @@ def test_scan_coverage(frame):
 
 def test_details_contacts(frame):
     contacts = [
-        {"type": "phone", "value": "+7 4012 11-22-33"}, {"type": "phone", "value": "+7 (4012) 11-22-33"},
-        {"type": "website", "value": "example.ru/beauty"}, {"type": "social", "value": "vk.com/beauty"},
+        {"type": "phone", "value": "+7 900 000-00-01"}, {"type": "phone", "value": "8 (900) 000-00-01"},
+        {"type": "website", "value": "place.example/nails"}, {"type": "social", "value": "vk.com/zarya"},
         {"type": "email", "value": "hello@example.ru", "comment": "c"}, {"type": "email", "value": "bad"},
     ]
     item = {"id": "b1", "name": "N", "full_address_name": "", "address_name": "A", "org": {"id": 5, "a": 1},
@@ -111,7 +111,7 @@ def test_details_contacts(frame):
         "A", "5", "b1", "2024")
     assert d["branch_info"] == '{"a":1,"id":5}'
     rows = [(r["contact_type"], r["display_value"]) for r in found.collect()]
-    assert rows == [("phone", "+7 4012 11-22-33"), ("website", "example.ru/beauty"), ("social", "vk.com/beauty"),
+    assert rows == [("phone", "+7 900 000-00-01"), ("website", "place.example/nails"), ("social", "vk.com/zarya"),
                     ("email", "hello@example.ru")]
 
 

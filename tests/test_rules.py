@@ -1,79 +1,88 @@
-"""Golden rows of the entity classifier and the service matcher."""
+"""The entity classifier and the service matcher: one own example for each line of their tables.
+
+Examples are put together from the word tables, so they follow a table that changes.
+"""
 
 import pytest
 
+from placeledger.fixed_values import ENTITY_WORDS, SERVICE_WORDS
 from placeledger.operators.classify import classify_entities
 from placeledger.operators.service import match_service
 
+ENTITY = "id int, name string, categories array<string>, description string, address string"
+
+
+def word(key, k=0):
+    return ENTITY_WORDS[key][k]
+
+
+NAILS, SALONS, OTHER = word("strong_category"), word("allowed_category"), word("unrelated", 6)
+
+# what it shows, name, categories, description, accepted, profile, rejection
 ENTITIES = [
-    ("Ногтевая студия Лак", ["Маникюр", "Салоны красоты"], "Маникюр и педикюр", True, "nail_specialist", None),
-    ("Маникюр на дому Анна", ["Маникюр"], None, False, "unknown", "home_or_private_master"),
-    ("Beauty coworking", [], "Аренда рабочего места для мастеров маникюра", False, "unknown", "coworking_or_rental"),
-    ("Магазин материалов для маникюра", ["Товары для салонов красоты"], None, False, "unknown",
-     "beauty_supply_without_service"),
-    ("Xfit, фитнес-клуб", ["Ногтевые студии", "Фитнес-клубы", "Массажист"], None, False, "mixed_non_salon",
-     "mixed_non_salon"),
-    ("Балтика, отель", ["Отели", "Ногтевые студии"], "Маникюр в spa-зоне", False, "mixed_non_salon",
-     "mixed_non_salon"),
-    ("Beauty Studio, студия красоты", ["Отели", "Ногтевые студии", "Косметолог"], None, True, "mixed_beauty_salon",
-     None),
-    ("Чуб&Чёлка, салон красоты", ["Ногтевые студии", "Парикмахерские", "Косметолог"], None, True,
+    ("a rented place", "Точка А", [NAILS], word("coworking", 3), False, "unknown", "coworking_or_rental"),
+    ("a rented place outweighs a home", "Точка Б", [NAILS], f"{word('coworking')} {word('home_master')}", False, "unknown",
+     "coworking_or_rental"),
+    ("a private master", "Точка В", [NAILS], word("home_master"), False, "unknown", "home_or_private_master"),
+    ("no sign of the service", f"{word('generic_name')} Заря", [SALONS], None, False, "unknown", "no_manicure_signal"),
+    ("another trade by name and category", f"{OTHER} Заря", [NAILS, OTHER], None, False, "mixed_non_salon", "mixed_non_salon"),
+    ("a beauty name outweighs the other trade", f"{OTHER} {word('beauty_name')}", [NAILS, OTHER], None, True,
      "mixed_beauty_salon", None),
-    ("K-Studio, студия маникюра и педикюра", ["Ногтевые студии", "Обучение мастеров для салонов красоты"], None,
-     True, "nail_specialist", None),
-    ("Beauty Space 107, студия красоты", ["Ногтевые студии", "Косметолог", "Оформление бровей и ресниц"], None,
-     True, "mixed_beauty_salon", None),
-    ("Old Boy, барбершоп", ["Барбершопы", "Ногтевые студии"], None, False, "mixed_non_salon", "mixed_non_salon"),
-    ("Лак", ["Ногтевые студии"], None, True, "nail_specialist", None),
-    ("Салон красоты Волна", ["Парикмахерские", "Косметолог"], None, False, "unknown", "no_manicure_signal"),
-    ("Only nails, салон", ["Ногтевые студии", "Косметолог"], None, True, "nail_specialist", None),
-    ("Обучение мастеров", [], "курсы маникюра", False, "unknown", "training_only"),
-    ("Ромашка", [], "делаем маникюр", False, "unknown", "no_salon_or_studio_signal"),
-    ("Ромашка", ["Косметолог", "Отели"], "маникюр", False, "mixed_non_salon", "mixed_non_salon"),
-    ("Ромашка", ["Косметолог"], "маникюр", True, "mixed_beauty_salon", None),
+    ("teaching only", "Заря", [NAILS], word("training", 1), False, "unknown", "training_only"),
+    ("teaching beside an allowed category", "Заря", [NAILS, SALONS], word("training", 1), True, "mixed_beauty_salon", None),
+    ("supplies, though the name has nails", f"{word('supply', 2)} {word('nail_name')}", [NAILS], None, False, "unknown",
+     "beauty_supply_without_service"),
+    ("a nail name", f"Заря {word('nail_name', 2)}", ["Разное"], None, True, "nail_specialist", None),
+    ("a generic name", f"{word('generic_name', 1)} Заря", [NAILS], None, True, "mixed_beauty_salon", None),
+    ("an allowed category", "Заря", [NAILS, SALONS], None, True, "mixed_beauty_salon", None),
+    ("an allowed category beside another trade", "Заря", [NAILS, SALONS, OTHER], None, False, "mixed_non_salon", "mixed_non_salon"),
+    ("only the nail category", "Заря", [NAILS], None, True, "nail_specialist", None),
+    ("only the description", "Заря", ["Разное"], word("nail_name", 3), False, "unknown", "no_salon_or_studio_signal"),
 ]
 
 
-def test_entity_goldens(frame):
-    rows = [{"id": i, "name": e[0], "categories": e[1], "description": e[2]} for i, e in enumerate(ENTITIES)]
-    df = frame(rows, "id int, name string, categories array<string>, description string, address string")
-    got = {r["id"]: r for r in classify_entities(df).collect()}
-    for i, (name, _, _, accepted, profile, rejection) in enumerate(ENTITIES):
+def test_entity_lines(frame):
+    rows = [{"id": i, "name": e[1], "categories": e[2], "description": e[3]} for i, e in enumerate(ENTITIES)]
+    got = {r["id"]: r for r in classify_entities(frame(rows, ENTITY)).collect()}
+    for i, (shows, name, _, _, accepted, profile, rejection) in enumerate(ENTITIES):
         r = got[i]
-        assert (r["accepted"], r["business_profile"], r["rejection_reason"]) == (accepted, profile, rejection), name
+        assert (r["accepted"], r["business_profile"], r["rejection_reason"]) == (accepted, profile, rejection), shows
         assert r["decision_name"] == name
 
 
-def test_reason_codes_and_confidence(frame):
-    rows = [
-        {"id": 0, "name": "Отель Маяк", "categories": ["Отели", "Маникюр"]},
-        {"id": 1, "name": "Дом", "categories": ["Маникюр"], "address": "на дому"},
-    ]
-    df = frame(rows, "id int, name string, categories array<string>, description string, address string")
-    got = {r["id"]: r for r in classify_entities(df).collect()}
-    assert got[0]["reason_codes"] == [
-        "manicure_signal", "unrelated_primary_name_signal", "unrelated_primary_category_signal"]
+def test_reasons_and_confidence(frame):
+    rows = [{"id": 0, "name": f"{OTHER} Заря", "categories": [OTHER, NAILS]},
+            {"id": 1, "name": "Заря", "categories": [NAILS], "address": word("home_master", 2)}]
+    got = {r["id"]: r for r in classify_entities(frame(rows, ENTITY)).collect()}
+    assert got[0]["reason_codes"] == ["manicure_signal", "unrelated_primary_name_signal", "unrelated_primary_category_signal"]
     assert got[0]["confidence"] == 0.9
     assert got[1]["rejection_reason"] == "home_or_private_master"
 
 
+def needle(key, k=0):
+    return SERVICE_WORDS[key][k]
+
+
+BASE, COATING = needle("base"), needle("coating", 1)
+
+
 @pytest.mark.parametrize(
     "name, context, status, confidence, reason",
     [
-        ("Маникюр с покрытием гель-лак", None, "matched", "high", "manicure_signal"),
-        ("Маникюр классический", None, "excluded", "high", "manicure_without_coating_signal"),
-        ("Покрытие гель лак", None, "ambiguous", "medium", "coating_without_manicure_signal"),
-        ("Педикюр с покрытием", None, "excluded", "high", "excluded_service_signal"),
-        ("Комплекс руки", None, "ambiguous", "low", "package_service_signal"),
-        ("Мужской маникюр с покрытием", None, "matched", "high", "mens_manicure_equivalent"),
-        ("Работаем с 9 до 21 каждый день", None, "unrelated", "low", "no_target_signal"),
-        ("Массаж спины", None, "excluded", "high", "unrelated_service"),
-        ("treatment with gel polish manicure", None, "excluded", "high", "excluded_service_signal"),
-        ("Покрытие", "маникюр и покрытие 1500", "matched", "high", "manicure_signal"),
-        ("!!!", None, "unrelated", "low", "empty_service"),
+        (f"{BASE} и {COATING}", None, "matched", "high", "manicure_signal"),
+        (BASE, f"у нас есть {COATING}", "matched", "high", "manicure_signal"),
+        (needle("strong", 6), None, "matched", "high", "manicure_signal"),
+        (f"{BASE} быстро", None, "excluded", "high", "manicure_without_coating_signal"),
+        (COATING, None, "ambiguous", "medium", "coating_without_manicure_signal"),
+        (f"{needle('negative')} {BASE} {COATING}", None, "excluded", "high", "excluded_service_signal"),
+        (f"{needle('men')} {BASE} {COATING}", None, "matched", "high", "mens_manicure_equivalent"),
+        (f"{needle('package', 1)} {BASE} {COATING}", None, "ambiguous", "low", "package_service_signal"),
+        (needle("unrelated", 1), None, "excluded", "high", "unrelated_service"),
+        (f"{BASE} {COATING} documents", None, "excluded", "high", "excluded_service_signal"),
+        ("вход со двора", None, "unrelated", "low", "no_target_signal"),
+        ("...", None, "unrelated", "low", "empty_service"),
     ],
 )
-def test_service_goldens(frame, name, context, status, confidence, reason):
-    df = frame([{"n": name, "c": context}], "n string, c string")
-    m = match_service(df, "n", "c").first()["match"]
+def test_service_lines(frame, name, context, status, confidence, reason):
+    m = match_service(frame([{"n": name, "c": context}], "n string, c string"), "n", "c").first()["match"]
     assert (m["status"], m["confidence"], m["reason_codes"][0]) == (status, confidence, reason)
