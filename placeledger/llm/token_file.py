@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from placeledger.llm.common import records, tasks
+from placeledger.llm.common import records, shuffles_freed, tasks
 from placeledger.llm.tokens import token_ids, vocabulary as load
 from placeledger.session import run_dir
 
@@ -133,7 +133,8 @@ def write_token_file(
         f"part int, block long, first_token long, doc_ids array<{kind}>, n_tokens long, width int, ids binary, "
         "low_bits int, low binary, high binary, ranks binary"
     ))
-    blocks.write.option("compression", "zstd").parquet(path)
+    with shuffles_freed(docs.sparkSession):
+        blocks.write.option("compression", "zstd").parquet(path)
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:

@@ -8,16 +8,16 @@ a worker keeps the ids of those it met; two bounded dictionaries let the rare on
 from __future__ import annotations
 
 import re
+from array import array
 from functools import cache
 
-import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 # Characters that a Unicode-aware pattern may or may not call white space.
 ODD = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-KEPT = 300_000
+KEPT = 1_000_000
 
 
 class ChunkIds(dict):
@@ -31,9 +31,11 @@ class ChunkIds(dict):
         super().__init__()
         self.tokenizer = tokenizer
         self.once: dict[str, bytes] = {}
+        # Some vocabularies see neither white space nor the case of ASCII letters.
+        self.plain = self.encode(" \nA") == self.encode("a")
 
     def encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.once.pop(chunk, None)
@@ -66,4 +68,8 @@ def token_ids(text: str | None, name: str) -> bytes:
     known = vocabulary(name)
     if ODD.search(text):
         return known.encode(text)
-    return b"".join(map(known.__getitem__, CHUNK.findall(text)))
+    if known.plain and "<|" not in text:  # else a special token might be made or unmade
+        chunks = (text.lower() if text.isascii() else text).split()
+    else:
+        chunks = CHUNK.findall(text)
+    return b"".join(map(known.__getitem__, chunks))
