@@ -172,3 +172,10 @@ def run_metrics(rollup: DataFrame, completed_before: int = 0, completed_after: i
     return sums.withColumn("salons_created", created).withColumn(
         "cells_completed", F.lit(max(0, completed_after - completed_before)).cast("bigint")
     )
+
+
+def attempt_errors(pages: DataFrame) -> DataFrame:
+    """Per cell whether its scan failed: the first failed page ends a cell's scan, so a cell
+    counts one error at most."""
+    return pages.groupBy("grid_cell_id").agg(
+        F.max(F.when(F.col("status") == "error", 1).otherwise(0)).cast("bigint").alias("errors"))

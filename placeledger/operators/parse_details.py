@@ -104,3 +104,17 @@ def detail_contacts(item: Column, source: str = PROVIDER) -> Column:
             ).alias("metadata"),
         ),
     )
+
+
+def enrichment_counters(outcomes: DataFrame, contacts: DataFrame) -> DataFrame:
+    """Counters of one enrichment run: responses by outcome, and what `merge_contacts`
+    (its `change` column) made of their contacts. Both are one row, side by side."""
+    ok = F.col("status") == "success"
+    answered = outcomes.agg(
+        F.count("*").alias("processed"), F.count_if(ok).alias("succeeded"),
+        F.count_if(F.col("status") == "not_found").alias("not_found"),
+        F.count_if(~ok & (F.col("status") != "not_found")).alias("failed"),
+    )
+    changed = contacts.agg(*[
+        F.count_if(F.col("change") == c).alias(f"contacts_{c}") for c in ("created", "updated", "deactivated")])
+    return answered.withColumn("_one", F.lit(1)).join(changed.withColumn("_one", F.lit(1)), "_one").drop("_one")
