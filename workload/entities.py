@@ -443,10 +443,11 @@ def latest_payloads_per_salon(spark, sf):
     prov AS (SELECT s, arg_min(floor(p), rn) FILTER (WHERE id % 3 = 0) AS amount, count(*) FILTER (WHERE id % 3 = 1) > 0 AS amb FROM latest WHERE rn <= 3 GROUP BY s)
     SELECT id AS salon_id,
       CASE WHEN prov.amount IS NOT NULL THEN 'found' WHEN website IS NULL THEN CASE WHEN amb THEN 'ambiguous' ELSE 'not_found' END
-           WHEN id % 6 = 0 THEN 'error' WHEN id % 6 = 2 THEN 'found' WHEN amb THEN 'ambiguous' ELSE 'not_found' END AS status,
-      CAST(CASE WHEN prov.amount IS NOT NULL THEN prov.amount * 100 WHEN website IS NOT NULL AND id % 6 = 2 THEN (500 + id) * 100 END AS BIGINT) AS amount_minor,
+           WHEN id % 6 = 0 THEN 'error' ELSE 'found' END AS status,
+      CAST(CASE WHEN prov.amount IS NOT NULL THEN prov.amount * 100 WHEN website IS NOT NULL AND id % 6 = 2 THEN (500 + id) * 100
+        WHEN website IS NOT NULL AND id % 6 = 4 THEN 70000 END AS BIGINT) AS amount_minor,
       CASE WHEN prov.amount IS NOT NULL THEN 'provider_structured' WHEN website IS NULL THEN CASE WHEN amb THEN 'provider_structured' ELSE 'none' END
-           WHEN id % 6 = 0 THEN NULL WHEN id % 6 = 2 THEN 'website_json_ld' WHEN amb THEN 'provider_structured' ELSE 'none' END AS source_type
+           WHEN id % 6 = 0 THEN NULL WHEN id % 6 = 2 THEN 'website_json_ld' ELSE 'website_text' END AS source_type
     FROM v_salons LEFT JOIN prov ON prov.s = id WHERE coalesce(filter_status, 'accepted') = 'accepted'
 """)
 def extracted_prices(spark, sf):
@@ -462,9 +463,13 @@ def extracted_prices(spark, sf):
     ld = F.concat(
         F.lit('<p>Часы 9-21</p><script type="application/ld+json">{"@graph":[{"name":"Маникюр с покрытием","offers":{"price":"'),
         (F.col("id") + 500).cast("string"), F.lit('"}}]}</script>'))
-    pages = salons.filter("website IS NOT NULL").select(
+    # A third of the sites are pages of the table, with one priced line put before their text.
+    line = F.concat(F.lit("<p>Маникюр с покрытием 700 руб</p>"), F.coalesce("_html", F.lit("")))
+    real = table(spark, sf, "pages").select(F.col("page_id").alias("_page"), F.col("html").alias("_html"))
+    sites = salons.filter("website IS NOT NULL").withColumn("_page", F.col("id") % 200).join(real, "_page", "left")
+    pages = sites.select(
         F.col("id").alias("salon_id"), F.lit(1).alias("page_no"), F.col("website").alias("source_url"),
-        F.when(F.col("id") % 6 == 2, ld).when(F.col("id") % 6 == 4, "<p>Массаж спины 500</p>").alias("html"),
+        F.when(F.col("id") % 6 == 2, ld).when(F.col("id") % 6 == 4, line).alias("html"),
         F.when(F.col("id") % 6 == 0, "timeout").alias("fetch_error"))
     return extract_prices(salons, details, pages, as_of()).select(
         "salon_id", F.col("extraction_status").alias("status"), "amount_minor", "source_type")

@@ -81,17 +81,19 @@ def url_host_class(spark, sf):
 
 
 @query("""
-    SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://h.example.com/p?apiKey=REDACTED&q=' || CAST(page_id AS VARCHAR)
-        || '+x' ELSE 'https://h.example.com/p?q=' || CAST(page_id AS VARCHAR) || '&x_token=REDACTED' END AS redacted,
-        'https://h.example.com/p?q=' || CAST(page_id AS VARCHAR) || CASE WHEN page_id % 2 = 0 THEN '+x' ELSE '' END
-        || CASE WHEN page_id % 2 = 0 THEN '' ELSE '&x_token=t' END AS without_key
-    FROM pages
+    WITH b AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages),
+    s AS (SELECT *, u || CASE WHEN contains(u, '?') THEN '&' ELSE '?' END AS start, CAST(page_id AS VARCHAR) AS i FROM b)
+    SELECT page_id, start || CASE WHEN page_id % 2 = 0 THEN 'apiKey=REDACTED&q=' || i || '+x' ELSE 'q=' || i || '&x_token=REDACTED' END AS redacted,
+      start || 'q=' || i || CASE WHEN page_id % 2 = 0 THEN '+x' ELSE '&x_token=t' END AS without_key
+    FROM s
 """)
 def url_redact(spark, sf):
-    i = F.col("page_id").cast("string")
-    built = F.when(
-        F.col("page_id") % 2 == 0, F.concat(F.lit("https://h.example.com/p?apiKey="), i, F.lit("&q="), i, F.lit("%20x#f"))
-    ).otherwise(F.concat(F.lit("https://h.example.com/p?q="), i, F.lit("&x_token=t")))
+    """The pages' own addresses with secret keys added."""
+    i, plain = F.col("page_id").cast("string"), F.regexp_replace("url", "#.*$", "")
+    keys = F.when(
+        F.col("page_id") % 2 == 0, F.concat(F.lit("apiKey="), i, F.lit("&q="), i, F.lit("%20x#f"))
+    ).otherwise(F.concat(F.lit("q="), i, F.lit("&x_token=t")))
+    built = F.concat(plain, F.when(F.contains(plain, F.lit("?")), "&").otherwise("?"), keys)
     return table(spark, sf, "pages").select(
         "page_id", urls.redact_url(built).alias("redacted"),
         urls.drop_query_keys(built, ("apiKey",)).alias("without_key"))
