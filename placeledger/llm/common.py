@@ -6,6 +6,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from placeledger.session import run_dir
@@ -103,3 +105,11 @@ def slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
             start, total = i + 1, 0
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def text_slices(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str | None]]:
+    """The texts of a batch, a megabyte or little more at a time: the batch itself may hold
+    thousands of long texts."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    for lo, hi in slices(sizes, most):
+        yield column.slice(lo, hi - lo).to_pylist()

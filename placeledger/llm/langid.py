@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from placeledger.llm.common import drawn, fold, records, slices
+from placeledger.llm.common import drawn, fold, records, text_slices
 
 GRAMS = (2, 3, 4)
 BITS = 13
@@ -77,18 +77,15 @@ class LanguageModel:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Calibrated probabilities, text by language."""
         parts = [words_only(t) for t in texts]
-        sizes = np.array([len(p) for p in parts])
-        logits = np.empty((len(texts), len(self.languages)))
-        for lo, hi in slices(sizes, 1 << 20):
-            text = np.frombuffer(b"".join(parts[lo:hi]), dtype=np.uint8)
-            starts = np.concatenate([[0], np.cumsum(sizes[lo:hi])[:-1]])
-            sums, found = np.zeros((hi - lo, len(self.languages))), np.zeros(hi - lo)
+        sums, found = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        if texts:
+            text = np.frombuffer(b"".join(parts), dtype=np.uint8)
+            starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
             for rows in subwords(text):
                 rows = np.concatenate([rows, np.full(len(text) - len(rows), len(self.rows) - 1)])
                 sums += np.add.reduceat(self.rows[rows], starts, axis=0, dtype=np.float64)
                 found += np.add.reduceat(rows != len(self.rows) - 1, starts, dtype=np.int64)
-            logits[lo:hi] = sums / np.maximum(found, 1)[:, None] + self.bias
-        return softmax(logits / self.temperature)
+        return softmax((sums / np.maximum(found, 1)[:, None] + self.bias) / self.temperature)
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -100,9 +97,11 @@ def train(
     features: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 20, rate: float = 3.0,
     batch: int = 32, seed: int = 5, rejected_share: float = REJECTED_SHARE,
 ) -> LanguageModel:
-    """Fit on four fifths of the rows of `features` (counts); calibrate on the others."""
+    """Fit on four fifths of the rows of `features` (counts, turned into shares in place);
+    calibrate on the others."""
     rng = np.random.default_rng(seed)
-    means = (features / np.maximum(features.sum(axis=1, keepdims=True), 1)).astype(np.float32)
+    features /= np.maximum(features.sum(axis=1, keepdims=True), 1)
+    means = features
     order = rng.permutation(len(means))
     apart = max(1, len(order) // 5) if len(order) > 1 else 0
     held, used = order[:apart], order[apart:]
@@ -180,6 +179,11 @@ def judged(model: LanguageModel | None, texts: list[str | None]) -> tuple[list[s
     return named, best, ~lettered | (best < model.threshold)
 
 
+def judged_batch(model: LanguageModel | None, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    parts = [judged(model, texts) for texts in text_slices(column)] or [judged(model, [])]
+    return [n for p in parts for n in p[0]], np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+
+
 def predict_languages(
     docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -194,7 +198,7 @@ def predict_languages(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named, best, rejected = judged(model, batch.column("text").to_pylist())
+            named, best, rejected = judged_batch(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(named, type=pa.string()), pa.array(best), pa.array(rejected)],
                 ["doc_id", "lang_pred", "score", "rejected"],
@@ -214,6 +218,6 @@ def keep_identified(docs: DataFrame, model: LanguageModel | None, text_col: str
     """The rows of `docs`, all columns, whose text is not rejected; nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(~judged(model, batch.column(text_col).to_pylist())[2]))
+            yield batch.filter(pa.array(~judged_batch(model, batch.column(text_col))[2]))
 
     return docs.mapInArrow(run, docs.schema)

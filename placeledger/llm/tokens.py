@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 # Characters that a Unicode-aware pattern may or may not call white space.
 ODD = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
-KEPT = 1_000_000
+KEPT = 600_000
 
 
 class ChunkIds(dict):

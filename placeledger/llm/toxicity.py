@@ -16,13 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from placeledger.llm.common import drawn, fold, records, slices
+from placeledger.llm.common import drawn, fold, records, text_slices
 from placeledger.llm.langid import MIX, words_only
 
 BITS = 20
 PREFIXES = (4, 5, 6)
 ROWS_PER_CLASS = 4000
-FEATURES = 3000
+FEATURES = 2000
 LEARN_FOLDS = 5
 SWAP_PENALTY = 4.0
 # Names of groups that a neutral text may mention; a parameter of `fit_toxicity`.
@@ -75,17 +75,16 @@ class ToxicityModel:
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         parts = [words_only(t) for t in texts]
-        sizes = np.array([len(p) for p in parts], dtype=np.int64)
         slot = np.full(1 << BITS, -1, dtype=np.int32)
         slot[self.features] = np.arange(len(self.features))
         total = np.full(len(texts), self.bias)
-        for lo, hi in slices(sizes, 1 << 20):
-            at, found = word_features(np.frombuffer(b"".join(parts[lo:hi]), dtype=np.uint8))
+        if texts and len(self.features):
+            at, found = word_features(np.frombuffer(b"".join(parts), dtype=np.uint8))
             own = slot[found]
             at, own = at[own >= 0], own[own >= 0]
-            doc = np.searchsorted(np.cumsum(sizes[lo:hi]), at, side="right")
-            seen = np.unique(doc * len(self.features) + own) if len(self.features) else np.zeros(0, dtype=np.int64)
-            np.add.at(total, lo + seen // max(len(self.features), 1), self.weights[seen % max(len(self.features), 1)])
+            doc = np.searchsorted(np.cumsum([len(p) for p in parts]), at, side="right")
+            seen = np.unique(doc * len(self.features) + own)
+            np.add.at(total, seen // len(self.features), self.weights[seen % len(self.features)])
         return 1 / (1 + np.exp(-np.clip(total, -500, 500)))
 
 
@@ -200,6 +199,12 @@ def fit_toxicity(
     )
 
 
+def batch_scores(model: ToxicityModel | None, column: pa.Array) -> np.ndarray:
+    if model is None:
+        return np.zeros(len(column))
+    return np.concatenate([np.zeros(0), *[model.scores(texts) for texts in text_slices(column)]])
+
+
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel | None, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
@@ -213,8 +218,7 @@ def score_toxicity(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            scores = np.zeros(len(texts)) if model is None else model.scores(texts)
+            scores = batch_scores(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
     scored = source.mapInArrow(run, f"doc_id {kind}, score double")
@@ -232,8 +236,6 @@ def keep_civil(docs: DataFrame, model: ToxicityModel | None, text_col: str = "te
     """The rows of `docs`, all columns, that are not predicted toxic; nothing is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if model is not None:
-                batch = batch.filter(pa.array(model.scores(batch.column(text_col).to_pylist()) < 0.5))
-            yield batch
+            yield batch.filter(pa.array(batch_scores(model, batch.column(text_col)) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
