@@ -63,11 +63,6 @@ def contains_any(text: Column, words: list[str], normalize: bool = True) -> Colu
     return reduce(Column.__or__, tests, F.lit(False))
 
 
-def first_nonblank(*cols: Column | str) -> Column:
-    """First value that is not blank, trimmed."""
-    return F.coalesce(*[blank_to_null(strip(c)) for c in cols])
-
-
 def ordered_unique(values: Column | str) -> Column:
     """Trimmed, non-blank values of an array in order of first occurrence."""
     trimmed = F.transform(col(values), strip)

@@ -1,7 +1,5 @@
 """Schemas of the records that flow between operators (Spark DDL)."""
 
-CONTACT_ITEM = "struct<type:string,value:variant,text:variant,comment:variant>"
-
 SIGHTING = """
     seq bigint, region_id bigint, external_source string, external_id string, name string,
     address string, latitude double, longitude double, phone string, website string,
@@ -19,17 +17,6 @@ DETAILS_RESPONSE = """
     id bigint, salon_id bigint, external_id string, http_status int, source_url string, body string
 """
 
-GRID_CELL = """
-    id bigint, region_id bigint, cell_order int, north double, south double, west double,
-    east double, center_lat double, center_lon double, status string, attempts int,
-    organizations_found int
-"""
-
-GRID_METADATA = """
-    region_id bigint, status string, cell_size_meters int, expected_cells bigint,
-    persisted_cells bigint, generator_version string
-"""
-
 BOUNDARY = """
     region_id bigint, rings array<struct<ring_id:bigint,is_hole:boolean,
     points:array<struct<lon:double,lat:double>>>>

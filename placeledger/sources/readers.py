@@ -25,11 +25,6 @@ def details_responses(spark: SparkSession, path: str, fmt: str = "json", stream:
     return _reader(spark, stream).schema(schemas.DETAILS_RESPONSE).format(fmt).load(path)
 
 
-def web_pages(spark: SparkSession, path: str, fmt: str = "parquet", stream: bool = False) -> DataFrame:
-    """Fetched pages of entities; a failed fetch has `fetch_error` and no html."""
-    return _reader(spark, stream).schema(schemas.WEB_PAGE).format(fmt).load(path)
-
-
 _POINT = "array<double>"
 _BOUNDARY_FILE = f"""
     region_id bigint, region_name string, source string, fetched_at string,

@@ -1,4 +1,4 @@
-"""Writers: append-only history, versioned current state, report datasets."""
+"""Writers: versioned current state and report datasets."""
 
 from __future__ import annotations
 
@@ -7,13 +7,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-def append_history(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                   fmt: str = "parquet") -> None:
-    """Append to an audit table; rows already there are never touched."""
-    writer = df.write.mode("append").format(fmt)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
-
-
 def write_snapshot(df: DataFrame, root: str, version: str | None = None,
                    partition_by: list[str] | None = None) -> str:
     """Write a new version of a current-state table and make it the current one.
