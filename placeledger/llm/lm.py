@@ -25,8 +25,8 @@ from placeledger.llm.common import fold, records, slices, tasks, written
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 LEARN_FOLDS = 10
-BATCH_BYTES = 16 << 20
-BUCKET_BYTES = 64 << 20
+BATCH_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 DELETED = 10
 CONTEXT_BUCKETS = 24
 BASE_ADD = 0.1
@@ -37,12 +37,23 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def packed(numbers: np.ndarray) -> bytes:
     """Bytes of the numbers, all first bytes, then all second ones...: equal bytes stand together."""
-    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes()
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T).tobytes()
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(width, len(data) // width).T).view(kind).ravel()
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Counts in the fewest bytes that hold the largest of them; the width comes first."""
+    top = int(counts.max()) if len(counts) else 0
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    return bytes([width]) + packed(counts.astype(f"<u{width}"))
+
+
+def unpacked_counts(data: bytes) -> np.ndarray:
+    return unpacked(data[1:], f"<u{data[0]}").astype(np.uint64)
 
 
 class Batch:
@@ -71,7 +82,7 @@ class Batch:
         for k in range(1, pad + 1):
             self.is_token[self.first - k] = False
         tokens[self.is_token] = np.concatenate(hashes) if hashes else np.zeros(0, dtype=np.uint64)
-        self.doc = np.repeat(np.arange(len(texts)), self.sizes + pad)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.int32), self.sizes + pad)
         # keys[k][p]: the n-gram of k + 1 tokens that ends at p.
         self.keys = [tokens]
         for _ in range(1, order):
@@ -103,7 +114,7 @@ def dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int,
 
 
 def asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
-    """(order, bucket, batch, keys, kept, deleted): what batches have of each n-gram."""
+    """(order, bucket, batch, keys, seen): what batches have of each n-gram."""
     def run(table: pa.Table) -> pa.Table:
         batch = table["batch"][0].as_py()
         own = Batch(table["text"].to_pylist(), order)
@@ -114,18 +125,16 @@ def asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
             if level == 0:
                 weight = np.tile(weight, own.order - 1)
             keys, inverse = np.unique(keys, return_inverse=True)
-            seen = np.bincount(inverse, weights=weight, minlength=len(keys)).astype("<u4")
-            none = np.zeros_like(seen)
-            kept, deleted = (none, seen) if batch % DELETED == 0 else (seen, none)
+            seen = np.bincount(inverse, weights=weight, minlength=len(keys)).astype(np.uint64)
             bucket = bucket_of(keys, buckets)
             cuts = np.flatnonzero(np.diff(bucket)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(keys)]):
                 if hi > lo:
-                    rows.append((level, int(bucket[lo]), batch, *map(packed, (keys[lo:hi], kept[lo:hi], deleted[lo:hi]))))
-        return as_table(rows, ["order", "bucket", "batch", "keys", "kept", "deleted"])
+                    rows.append((level, int(bucket[lo]), batch, packed(keys[lo:hi]), packed_counts(seen[lo:hi])))
+        return as_table(rows, ["order", "bucket", "batch", "keys", "seen"])
 
     return docs.groupBy("batch").applyInArrow(
-        run, "order long, bucket long, batch long, keys binary, kept binary, deleted binary")
+        run, "order long, bucket long, batch long, keys binary, seen binary")
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -134,51 +143,50 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def as_table(rows: list[tuple], names: list[str]) -> pa.Table:
-    kinds = [pa.binary() if n in ("keys", "kept", "deleted") else pa.int64() for n in names]
+    kinds = [pa.binary() if n in ("keys", "seen", "all", "kept") else pa.int64() for n in names]
     columns = list(zip(*rows)) or [()] * len(names)
     return pa.table([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=names)
 
 
 def answered(requests: DataFrame) -> DataFrame:
-    """The totals of each request's n-grams, in the request's order; one more row a bucket, with
-    batch null, has the number of types and tokens of order 1 (of all, and without the deleted)."""
-    names = ["order", "bucket", "batch", "kept", "deleted", "types", "tokens", "kept_types", "kept_tokens"]
+    """The totals of each request's n-grams, in the request's order, and for a deleted batch also
+    those without the deleted; one more row a bucket, with batch null, has the number of types
+    and tokens of order 1 (of all, and without the deleted)."""
+    names = ["order", "bucket", "batch", "all", "kept", "types", "tokens", "kept_types", "kept_tokens"]
 
     def run(table: pa.Table) -> pa.Table:
         order, bucket = table["order"][0].as_py(), table["bucket"][0].as_py()
         keys = [unpacked(k.as_py(), "<u8") for k in table["keys"]]
         unique, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = []
-        for name in ("kept", "deleted"):
-            seen = np.concatenate([unpacked(c.as_py(), "<u4") for c in table[name]])
-            totals.append(np.bincount(inverse, weights=seen, minlength=len(unique)).astype("<u8"))
+        seen = np.concatenate([unpacked_counts(c.as_py()) for c in table["seen"]])
+        deleted = np.repeat(table["batch"].to_numpy() % DELETED == 0, [len(k) for k in keys])
+        whole, kept = (np.bincount(inverse, weights=w, minlength=len(unique)).astype(np.uint64) for w in (seen, seen * ~deleted))
         rows, at = [], 0
         for batch, own in zip(table["batch"].to_pylist(), keys):
             part = inverse[at:at + len(own)]
             at += len(own)
-            rows.append((order, bucket, batch, packed(totals[0][part]), packed(totals[1][part]), 0, 0, 0, 0))
+            without = packed_counts(kept[part]) if batch % DELETED == 0 else None
+            rows.append((order, bucket, batch, packed_counts(whole[part]), without, 0, 0, 0, 0))
         if order == 1:
-            whole = totals[0] + totals[1]
             rows.append((order, bucket, None, None, None, int((whole > 0).sum()), int(whole.sum()),
-                         int((totals[0] > 0).sum()), int(totals[0].sum())))
+                         int((kept > 0).sum()), int(kept.sum())))
         return as_table(rows, names)
 
     return requests.groupBy("order", "bucket").applyInArrow(run, (
-        "order long, bucket long, batch long, kept binary, deleted binary, types long, tokens long, "
+        "order long, bucket long, batch long, all binary, kept binary, types long, tokens long, "
         "kept_types long, kept_tokens long"))
 
 
 def counts_of(own: Batch, answers: pa.Table, held_out: bool) -> list[np.ndarray]:
     """For each order the count of the n-gram that ends at each place, with or without the deleted."""
+    column = "kept" if held_out else "all"
     out = [np.zeros(len(own.is_token)) for _ in own.keys]
-    answers = answers.select(["order", "bucket", "kept", "deleted"]).sort_by([("order", "ascending"), ("bucket", "ascending")])
+    answers = answers.select(["order", "bucket", column]).sort_by([("order", "ascending"), ("bucket", "ascending")])
     orders = answers["order"].to_numpy()
     for level, places, keys in own.requests():
         _, inverse = np.unique(keys, return_inverse=True)
         mine = answers.filter(pa.array(orders == level))
-        totals = np.concatenate([
-            unpacked(r["kept"], "<u8") + (0 if held_out else unpacked(r["deleted"], "<u8")) for r in mine.to_pylist()])
-        found = totals[inverse].astype(float)
+        found = np.concatenate([unpacked_counts(c.as_py()) for c in mine[column]])[inverse].astype(float)
         if level:
             out[level - 1][places] = found
         else:
@@ -199,8 +207,8 @@ def estimates(own: Batch, counts: list[np.ndarray], types: int, tokens: int) ->
     return np.minimum(bucket, CONTEXT_BUCKETS - 1), np.stack(columns, axis=1)
 
 
-def with_answers(docs: DataFrame, answers: DataFrame, run: Callable, schema: str) -> DataFrame:
-    named = answers.filter("batch IS NOT NULL").select("batch", "order", "bucket", "kept", "deleted")
+def with_answers(docs: DataFrame, answers: DataFrame, column: str, run: Callable, schema: str) -> DataFrame:
+    named = answers.filter("batch IS NOT NULL").select("batch", "order", "bucket", column)
     return docs.groupBy("batch").cogroup(named.groupBy("batch")).applyInArrow(run, schema)
 
 
@@ -218,13 +226,13 @@ def deleted_tokens(docs: DataFrame, answers: DataFrame, order: int, types: int,
             step = np.where(columns[:, k] > 0, np.round(np.log10(np.maximum(columns[:, k], 1e-15)) * 16) + 241, 0)
             cell = cell * 256 + step.astype(np.int64)
         both, inverse = np.unique(np.stack([bucket, cell]), axis=1, return_inverse=True)
-        sums = [np.bincount(inverse, weights=columns[:, k], minlength=both.shape[1]) for k in range(1, order + 1)]
+        sums = [np.bincount(inverse, weights=columns[:, k], minlength=both.shape[1]).astype(float) for k in range(1, order + 1)]
         number = np.bincount(inverse, minlength=both.shape[1]).astype(float)
         names = ["bucket", "cell", "n", *[f"sum{k}" for k in range(order)]]
         return pa.table([pa.array(both[0]), pa.array(both[1]), pa.array(number), *map(pa.array, sums)], names=names)
 
     sums = ", ".join(f"sum{k} double" for k in range(order))
-    cells = with_answers(docs, answers, run, f"bucket long, cell long, n double, {sums}")
+    cells = with_answers(docs, answers, "kept", run, f"bucket long, cell long, n double, {sums}")
     return cells.groupBy("bucket", "cell").agg(F.sum("n").alias("n"), *[F.sum(f"sum{k}").alias(f"sum{k}") for k in range(order)])
 
 
@@ -290,7 +298,7 @@ def score_texts(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_co
             pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(score, starts)),
         ], names=["doc_id", "learned", "n_tokens", "n_known", "base_score", "score"])
 
-    scored = with_answers(source, answers, run, (
+    scored = with_answers(source, answers, "all", run, (
         f"doc_id {kind}, learned boolean, n_tokens long, n_known long, base_score double, score double"))
     return scored.select(
         "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known",

@@ -12,8 +12,8 @@ from tokenizers import Tokenizer
 
 from placeledger.llm import tokens
 from placeledger.llm.common import slices, smallest_reachable
-from placeledger.llm.langid import LanguageModel, counts, judged, train as train_languages
-from placeledger.llm.lm import Batch, learn_weights, packed, unpacked
+from placeledger.llm.langid import BITS, LanguageModel, counts, judged, train as train_languages
+from placeledger.llm.lm import Batch, learn_weights, packed, packed_counts, unpacked, unpacked_counts
 from placeledger.llm.packing import piece_lengths
 from placeledger.llm.simhash import bucket_keys, bucket_links, fingerprint, near_pairs
 from placeledger.llm.token_file import EliasFano
@@ -117,6 +117,8 @@ def test_packed_numbers_return():
         numbers = np.array([0, 1, 255, 256, 1 << 31], dtype=kind)
         assert unpacked(packed(numbers), kind).tolist() == numbers.tolist()
     assert unpacked(packed(np.array([], dtype="<u8")), "<u8").tolist() == []
+    for counts in ([], [0, 255], [256, 1], [1 << 16], [1 << 40, 7]):
+        assert unpacked_counts(packed_counts(np.array(counts, dtype=np.uint64))).tolist() == counts
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])
@@ -159,7 +161,7 @@ def test_language_model_learns_and_rejects():
 
 
 def test_scores_do_not_depend_on_neighbours_or_length():
-    model = LanguageModel(["x", "y"], np.random.default_rng(0).normal(size=((1 << 13) + 1, 2)).astype(np.float32), np.zeros(2), 1.0, 0.1)
+    model = LanguageModel(["x", "y"], np.random.default_rng(0).normal(size=((1 << BITS) + 1, 2)).astype(np.float32), np.zeros(2), 1.0, 0.1)
     model.rows[-1] = 0
     texts = ["one two", "", "drei vier fünf", "long " * 500_000]
     together = model.scores(texts)
@@ -168,7 +170,7 @@ def test_scores_do_not_depend_on_neighbours_or_length():
 
 
 def test_a_rejection_threshold_applies():
-    model = LanguageModel(["x", "y"], np.zeros(((1 << 13) + 1, 2), dtype=np.float32), np.zeros(2), 1.0, 0.6)
+    model = LanguageModel(["x", "y"], np.zeros(((1 << BITS) + 1, 2), dtype=np.float32), np.zeros(2), 1.0, 0.6)
     assert judged(model, ["abc"])[2].tolist() == [True]
     assert judged(None, ["abc"])[0] == ["und"]
 
