@@ -8,7 +8,7 @@ from placeledger.functions.geo import coordinate_key
 from placeledger.functions.text import normalize_phone, normalize_text
 from placeledger.operators.joins import lookup
 from placeledger.operators.stage import stage
-from placeledger.session import cut_lineage
+from placeledger.session import cut_lineage, drop_step, write_step
 
 # Levels of evidence, strongest first. The first is global, the others hold inside a region.
 LEVELS = ("external_id", "name_address", "name_phone", "name_point")
@@ -74,7 +74,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     larger neighbours, then for its smaller ones, until the edges are stars. Edges
     never multiply, path lengths shrink by a factor per round, and a node with very
     many edges is only ever on the many side of a join against one row. Rounds are
-    cut by a table written to the shared folder, so a lost executor repeats one round.
+    cut by a table written to the shared folder, so a lost executor repeats one round; a
+    round's table goes when the next one is written.
     """
     def least(e: DataFrame) -> DataFrame:
         return e.groupBy("a").agg(F.min("b").alias("least"))
@@ -103,9 +104,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         return degrees.filter("out > 1 OR (out > 0 AND into > 0)").count()
 
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    links = cut_lineage(small_star(edges.filter("a <> b")))
+    links, step = write_step(small_star(edges.filter("a <> b")))
     while open_nodes(links):
-        links = cut_lineage(small_star(large_star(links)))
+        after, next_step = write_step(small_star(large_star(links)))
+        drop_step(edges.sparkSession, step)
+        links, step = after, next_step
     return nodes.join(links.select(F.col("a").alias("node"), F.col("b").alias("_root")), "node", "left").select(
         "node", F.coalesce("_root", "node").alias("component")
     )

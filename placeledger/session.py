@@ -76,7 +76,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read back, so a lost executor costs no
     recomputation of earlier steps. Unlike a plain checkpoint, the planner then knows
     the size of what it reads."""
+    return write_step(df)[0]
+
+
+def write_step(df: DataFrame) -> tuple[DataFrame, str]:
+    """`cut_lineage`, with the folder, for whoever drops it later."""
     spark = df.sparkSession
     path = run_dir(spark, "step")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def drop_step(spark: SparkSession, path: str) -> None:
+    """Delete a step that nothing will read again, in whatever store the shared folder is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
