@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, functions as F
 def lookup(many: DataFrame, one: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """Join `many` rows to at most one row of `one` per key.
 
-    Adaptive execution splits a partition that a hot key has filled, but only where
-    both inputs come straight from a shuffle. `one` is usually an aggregate by the same
-    key whose partitioning the planner would reuse. A derived second key column rules
-    that reuse out: the small side is shuffled once more, and the hot key's rows are
-    spread over as many tasks as they need. A side that turns out to be small is
-    broadcast at run time, by its measured size, instead.
+    Adaptive execution splits a partition that a hot key has filled beyond its skew
+    threshold, but only where both inputs come straight from a shuffle. `one` is usually an
+    aggregate by the same key whose partitioning the planner would reuse. The second key
+    column, itself derived from the key, spreads nothing; it only rules that reuse out, so
+    that the small side is shuffled once more and splitting stays possible. A side that
+    turns out to be small is broadcast at run time, by its measured size, instead.
     """
     keys = [on] if isinstance(on, str) else list(on)
     spread = F.pmod(F.hash(*keys), F.lit(1024))
