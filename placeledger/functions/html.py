@@ -99,9 +99,9 @@ def visible_text(page: Column | str) -> Column:
     return unescape(F.regexp_replace(text, "<[^>]+>", " "))
 
 
-def candidate_lines(text: Column | str) -> Column:
-    """Array of the lines of a text, white space collapsed, 8 to 220 characters long."""
-    shortest, longest = LINE_LENGTH_RANGE
+def candidate_lines(text: Column | str, length: tuple[int, int] = LINE_LENGTH_RANGE) -> Column:
+    """Array of the lines of a text, white space collapsed, of a length in the range."""
+    shortest, longest = length
     lines = F.transform(F.split(col(text), r"[\n\r]+"), collapse_spaces)
     return F.filter(lines, lambda line: F.length(line).between(shortest, longest))
 

@@ -87,9 +87,22 @@ def stale_runs(runs: DataFrame, as_of: Column, minutes: int) -> DataFrame:
 def heartbeat_sessions(heartbeats: DataFrame, minutes: int, run: str = "run_id", at: str = "ts",
                        watermark: str | None = None) -> DataFrame:
     """Alive spans of runs: beats closer than the gap belong together. In a stream, a
-    span comes out once the watermark says that no further beat can extend it."""
+    span comes out once the watermark says that no further beat can extend it.
+
+    In a batch, beats are first folded where they lie: those of one half gap's length are
+    closer than the gap, so a busy run sends a row for each such stretch, not for each beat.
+    """
     beats = heartbeats.withColumn(at, F.col(at).cast("timestamp"))
-    beats = beats.withWatermark(at, watermark) if watermark else beats
-    return beats.groupBy(run, F.session_window(at, f"{int(minutes)} minutes").alias("span")).agg(
-        F.count("*").alias("beats"), F.min(at).alias("first_beat"), F.max(at).alias("last_beat")
+    if heartbeats.isStreaming:
+        beats = beats.withWatermark(at, watermark) if watermark else beats
+        return beats.groupBy(run, F.session_window(at, f"{int(minutes)} minutes").alias("span")).agg(
+            F.count("*").alias("beats"), F.min(at).alias("first_beat"), F.max(at).alias("last_beat")
+        ).drop("span")
+    stretch = F.floor(F.unix_micros(at) / (int(minutes) * 30_000_000))
+    folded = beats.filter(F.col(at).isNotNull()).groupBy(run, stretch.alias("_stretch")).agg(
+        F.count("*").alias("_beats"), F.min(at).alias("_first"), F.max(at).alias("_last"))
+    # A stretch lasts from its first beat to a gap after its last.
+    lasts = (F.unix_micros("_last") - F.unix_micros("_first")) / 1_000_000 + int(minutes) * 60
+    return folded.groupBy(run, F.session_window("_first", F.make_interval(secs=lasts)).alias("span")).agg(
+        F.sum("_beats").alias("beats"), F.min("_first").alias("first_beat"), F.max("_last").alias("last_beat")
     ).drop("span")
