@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from placeledger.llm.common import drawn, fold, records, text_slices
 
 GRAMS = (2, 3, 4)
-BITS = 13
+BITS = 12
 DIMENSIONS = 16
 ROWS_PER_LANGUAGE = 800
 LEARN_FOLDS = 5
@@ -162,10 +162,12 @@ def fit_languages(
         return None
     rows.sort(key=lambda r: (r["lang"], r["doc_id"] or ""))
     languages = sorted({r["lang"] for r in rows})
+    labels = np.array([languages.index(r["lang"]) for r in rows])
     features = np.zeros((len(rows), 1 << BITS), dtype=np.float32)
-    for i, r in enumerate(rows):
-        features[i, np.frombuffer(r["at"], dtype="<i4")] = np.frombuffer(r["n"], dtype="<f4")
-    return train(features, np.array([languages.index(r["lang"]) for r in rows]), languages)
+    while rows:
+        r = rows.pop()
+        features[len(rows), np.frombuffer(r["at"], dtype="<i4")] = np.frombuffer(r["n"], dtype="<f4")
+    return train(features, labels, languages)
 
 
 def judged(model: LanguageModel | None, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -90,21 +90,19 @@ class ToxicityModel:
 
 def telling(docs: list[np.ndarray], labels: np.ndarray, most: int) -> np.ndarray:
     """The features with the largest chi-square between presence and label, over a floor
-    that single documents and chance do not reach."""
+    that chance seldom reaches."""
     n = np.array([(labels == 0).sum(), (labels == 1).sum()], dtype=float)
     seen = np.zeros((2, 1 << BITS))
-    for y in (0, 1):
-        held = [d for d, label in zip(docs, labels) if label == y]
-        if held:
-            seen[y] = np.bincount(np.concatenate(held), minlength=1 << BITS)
-    both = seen.sum(axis=0)
+    for d, label in zip(docs, labels):
+        seen[label, d] += 1
+    # A feature of a single text is chance.
+    often = np.flatnonzero(seen.sum(axis=0) > 1)
+    toxic, both = seen[1, often], seen[:, often].sum(axis=0)
     share = n[1] / max(n.sum(), 1)
-    expected = both * share
     spread = np.maximum(both * share * (1 - share) * (1 - both / max(n.sum(), 1)), 1e-9)
-    chi = np.where(both > 1, (seen[1] - expected) ** 2 / spread, 0)
-    # A feature that is in nearly every text of both classes says nothing about either.
+    chi = (toxic - both * share) ** 2 / spread
     best = np.argsort(-chi, kind="stable")[:most]
-    return np.sort(best[chi[best] > 6.6])
+    return np.sort(often[best[chi[best] > 6.6]])
 
 
 def train(
@@ -114,7 +112,7 @@ def train(
     """Accelerated gradient descent on logistic loss + ridge + penalty * mean squared swap change.
 
     `docs`: distinct features of each labelled text; `prior`: share of toxic texts among all
-    labelled ones, which the sample's own share is corrected to.
+    labelled ones, towards which the balanced fit is moved.
     """
     named = {t: features_of(t) for t in terms}
     kept = np.unique(np.concatenate([telling(docs, labels, most), *named.values()]).astype(np.int64))
@@ -162,6 +160,7 @@ def train(
         g, gb = slope(at, bat)
         wp, bp = w, b
         w, b = (at - step * g).astype(np.float32), bat - step * gb
+    # Fitted on balanced labels; half of the labels' own odds keeps rare toxic texts in reach.
     odds = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)) if 0 < prior < 1 else 0.0
     return ToxicityModel(kept, w.astype(np.float64), float(b + odds * 0.5))
 
@@ -194,7 +193,7 @@ def fit_toxicity(
         return None
     rows.sort(key=lambda r: r["doc_id"])
     return train(
-        [np.frombuffer(r["at"], dtype="<i4").astype(np.int64) for r in rows], np.array([r["toxic"] for r in rows]),
+        [np.frombuffer(r["at"], dtype="<i4") for r in rows], np.array([r["toxic"] for r in rows]),
         shares[1] / (shares[0] + shares[1]), terms, penalty,
     )
 

@@ -419,7 +419,7 @@ def test_pipeline_equals_the_operators(spark):
     before, after = out["toxicity"]
     assert ids(after) == ids(classify_toxicity(before, table(spark, "labels")).filter("predicted = 0"))
     before, after = out["near_duplicates"]
-    assert ids(after) == ids(simhash_components(before).filter("doc_id = component_id"))
+    assert ids(after) == ids(simhash_components(before, corpus_pipeline.RADIUS).filter("doc_id = component_id"))
     before, after = out["decontamination"]
     held = ids(contained_items(before, table(spark, "benchmark")))
     assert ids(after) == sorted(set(ids(before)) - set(held)) and held
