@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from placeledger.llm.common import records, written
+from placeledger.llm.common import records, shuffles_freed, written
 from placeledger.session import run_dir
 
 SHARDS = 40
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 16 << 20
 RECORD_BYTES = 16
 
 
@@ -73,7 +73,8 @@ def external_shuffle(
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
     """A folder per shard; each file holds whole buckets in slot order."""
-    shuffled.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    with shuffles_freed(shuffled.sparkSession):
+        shuffled.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
 
 
 def read_shards(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
