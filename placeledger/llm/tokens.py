@@ -18,13 +18,14 @@ CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 # Characters that a Unicode-aware pattern may or may not call white space.
 ODD = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 KEPT = 600_000
+KEPT_ONCE = 200_000
 
 
 class ChunkIds(dict):
     """Little-endian 32-bit ids of a chunk, as bytes.
 
     A chunk starts in `once`; when it comes again it moves up. Each dictionary is emptied
-    when it holds `KEPT` chunks, which bounds a worker's memory whatever it reads.
+    when it is full, which bounds a worker's memory whatever it reads.
     """
 
     def __init__(self, tokenizer: Tokenizer):
@@ -49,7 +50,7 @@ class ChunkIds(dict):
             ids = self[chunk[:-1]] + self[chunk[-1]]
         else:
             ids = self.encode(chunk)
-        if len(self.once) >= KEPT:
+        if len(self.once) >= KEPT_ONCE:
             self.once.clear()
         self.once[chunk] = ids
         return ids

@@ -80,6 +80,7 @@ PARTS = [*"aAbB é ñ,.'\"!?() 1234-_\n\n\t", "\r\n", "'s", "'ll", "<|endoftext|
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_chunked_ids_equal_whole_texts(name, monkeypatch):
     monkeypatch.setattr(tokens, "KEPT", 50)
+    monkeypatch.setattr(tokens, "KEPT_ONCE", 20)
     whole, rng = Tokenizer.from_file(public_tokenizers.path(name)), random.Random(4)
     for _ in range(3000):
         text = "".join(rng.choices(PARTS, k=rng.randint(0, 16)))
