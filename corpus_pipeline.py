@@ -8,15 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from placeledger.llm.common import row_key, written
+from placeledger.llm.copies import first_copies
 from placeledger.llm.decontaminate import contained_items
 from placeledger.llm.langid import fit_languages, keep_identified
 from placeledger.llm.packing import pack
-from placeledger.llm.simhash import simhash_components
 from placeledger.llm.toxicity import fit_toxicity, keep_civil
 
 
-# Bits that near duplicates may differ in: copies with a word in thirty replaced differ in
-# four to six, unrelated texts in about 32.
+# Bits that one of the fingerprints of near duplicates may differ in: copies with a word in
+# thirty replaced differ in four to six, unrelated texts in about 32. The texts decide.
 RADIUS = 6
 
 
@@ -31,11 +31,11 @@ def civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near duplicates; of equal rows one.
+    """The document with the smallest doc_id of each group of near duplicates (five-word shingles
+    with a Jaccard similarity of 0.8 or more); of equal rows one.
     A document without an id stays only where its group has none with one."""
     keyed = docs.withColumn("_key", row_key())
-    groups = simhash_components(keyed, RADIUS, id_col="_key")
-    first = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("_key")).distinct()
+    first = first_copies(keyed, RADIUS, id_col="_key").withColumnRenamed("doc_id", "_key")
     again = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))
     return keyed.join(first, "_key").withColumn("_copy", again).filter("_copy = 1").select(*docs.columns)
 

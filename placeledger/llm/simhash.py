@@ -32,17 +32,31 @@ NO_WORD = np.uint64(0)
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def fingerprint(text: str | None, words: int) -> int:
-    """Majority bits of the XXH64 values of all shingles, repeats included."""
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """XXH64 values of all shingles, repeats included; fewer words than a shingle are the one."""
     tokens = (text or "").encode().translate(LOWER).split()
     if not tokens:
-        return 0
+        return np.zeros(0, dtype="<u8")
     if len(tokens) < words:
         shingles = [b" ".join(tokens)]
     else:
         shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+    return np.array([digest(s, SEED) for s in shingles], dtype="<u8")
+
+
+def reseeded(hashes: np.ndarray, seed: int) -> np.ndarray:
+    """The hashes as another hash function would give them (splitmix64); seed 0 leaves them."""
+    if not seed:
+        return hashes
+    x = hashes + np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in more than half of the hashes."""
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 15):
         part = hashes[at:at + (1 << 15)].view(np.uint8).reshape(-1, 8)
@@ -50,6 +64,11 @@ def fingerprint(text: str | None, words: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int) -> int:
+    """Majority bits of the XXH64 values of all shingles, repeats included."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long. Null and wordless texts have 0."""
     source = records(docs, id_col, text_col)
@@ -156,9 +175,10 @@ def bucket_keys(radius: int) -> list[tuple[int, int]]:
     return [(m - (1 << 64) if m >> 63 else m, n) for n, m in enumerate(masks)]
 
 
-def links(codes: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame:
-    """(a, b): links between different fingerprints of column `fp`, enough of them to join
-    all that are within the radius, directly or through others.
+def links(codes: DataFrame, radius: int = 3, chunk: int = CHUNK, node: str = "fp", within: tuple[str, ...] = ()) -> DataFrame:
+    """(a, b): links between different nodes (longs; by default the fingerprints themselves),
+    enough of them to join all whose fingerprints in column `fp` are within the radius,
+    directly or through others. Only rows that agree in the columns `within` are compared.
 
     A bucket with more than `chunk` fingerprints is cut into chunks, and every two of its
     chunks meet in a task of their own.
@@ -166,17 +186,18 @@ def links(codes: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame:
     keys = F.explode(F.array(*[
         F.struct(F.lit(n).alias("n"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for m, n in bucket_keys(radius)
     ])).alias("key")
-    dealt = codes.select("fp", keys).select("fp", F.xxhash64("key.n", "key.part").alias("bucket"))
+    dealt = codes.select(F.col(node).alias("node"), "fp", *within, keys).select(
+        "node", "fp", F.xxhash64(*within, "key.n", "key.part").alias("bucket"))
     filled = dealt.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     rows = hot_free_join(dealt, filled, "bucket").withColumn("chunks", F.ceil(F.col("members") / chunk).cast("int"))
-    own = F.pmod(F.xxhash64("fp", F.lit(7)), F.col("chunks")).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")
     meets = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: F.struct(
         F.least(F.col("own"), x).alias("low"), F.greatest(F.col("own"), x).alias("high"),
         F.when(F.col("own") > x, 1).otherwise(0).alias("side"),
     ))
     # Equal hashes of different keys only put more rows side by side; distances decide.
-    tiles = rows.withColumn("own", own).select("bucket", "fp", F.inline(meets)).select(
-        F.xxhash64("bucket", "low", "high").alias("bucket"), "side", "fp",
+    tiles = rows.withColumn("own", own).select("bucket", "node", "fp", F.inline(meets)).select(
+        F.xxhash64("bucket", "low", "high").alias("bucket"), "side", "node", "fp",
     )
     ordered = tiles.repartition("bucket").sortWithinPartitions("bucket", "side", "fp")
 
@@ -184,8 +205,8 @@ def links(codes: DataFrame, radius: int = 3, chunk: int = CHUNK) -> DataFrame:
         def edges(table: pa.Table) -> pa.RecordBatch:
             code = table["fp"].to_numpy().view("<u8")
             i, j = bucket_links(table["bucket"].to_numpy(), table["side"].to_numpy(), code, radius)
-            signed = code.view("<i8")
-            return pa.RecordBatch.from_arrays([pa.array(signed[i]), pa.array(signed[j])], ["a", "b"])
+            nodes = table["node"].to_numpy()
+            return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], ["a", "b"])
 
         held = None
         for batch in batches:

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from placeledger.llm import lm
+from placeledger.llm.copies import first_copies, shingle_set, similar_groups
 from placeledger.llm.decontaminate import contained_items
 from placeledger.llm.langid import identify_languages, predict_languages
 from placeledger.llm.packing import pack, piece_digests, write_buckets
@@ -402,6 +403,44 @@ def test_stages_take_odd_rows_and_empty_tables(spark, frame):
     assert corpus_pipeline.known_language(spark, docs, SF).filter("text IS NULL OR trim(text) = ''").count() == 0
 
 
+def edited(rng, words, changes):
+    for _ in range(changes):
+        words = [*words]
+        words[rng.integers(len(words))] = f"e{rng.integers(1 << 40)}"
+    return words
+
+
+def test_near_duplicates_are_judged_by_their_texts(spark, frame):
+    """Copies that lie beyond the radius go; texts within it that are no copies stay."""
+    rng = np.random.default_rng(3)
+    far, close = [], []
+    while not (far and close):
+        words = [f"w{k}" for k in rng.integers(0, 1 << 30, 120)]
+        other = edited(rng, words, int(rng.integers(2, 7)))
+        a, b = " ".join(words), " ".join(other)
+        shared = len(np.intersect1d(shingle_set(a), shingle_set(b))) / len(np.union1d(shingle_set(a), shingle_set(b)))
+        bits = (fingerprint(a, 3) ^ fingerprint(b, 3)).bit_count()
+        if shared >= 0.85 and bits > corpus_pipeline.RADIUS:
+            far = [a, b]
+        elif shared < 0.79 and bits <= corpus_pipeline.RADIUS:
+            close = [a, b]
+    docs = docs_like(frame, [(k, t, "en") for k, t in enumerate([*far, *close])])
+    assert sorted(r["doc_id"] for r in corpus_pipeline.distinct_texts(spark, docs, SF).collect()) == [0, 2, 3]
+
+
+@pytest.mark.parametrize("tile", [600, 1 << 20])
+def test_first_copies_equal_brute_force(frame, tile):
+    rng = np.random.default_rng(4)
+    base = [[f"w{k}" for k in rng.integers(0, 1 << 30, 80)] for _ in range(6)]
+    texts = [" ".join(edited(rng, base[k % 6], int(rng.integers(0, 2)))) for k in range(60)]
+    texts += ["", " ", "One two", "one TWO", "one", "one"]
+    sets = [shingle_set(t) for t in texts]
+    first = similar_groups(sets, 0.8)
+    first[texts.index(" ")] = texts.index("")
+    docs = frame([{"doc_id": k, "text": t} for k, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r[0] for r in first_copies(docs, 6, tile=tile).collect()) == sorted(set(first.tolist()))
+
+
 @given_tables
 def test_pipeline_equals_the_operators(spark):
     """Each stage's rows follow from its operator's own result on the stage before."""

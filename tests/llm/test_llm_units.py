@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from placeledger.llm import tokens
 from placeledger.llm.common import slices, smallest_reachable
+from placeledger.llm.copies import similar_groups
 from placeledger.llm.langid import BITS, LanguageModel, counts, judged, train as train_languages
 from placeledger.llm.lm import Batch, learn_weights, packed, packed_counts, unpacked, unpacked_counts
 from placeledger.llm.packing import piece_lengths
@@ -74,6 +75,15 @@ def test_fingerprint_by_hand(text):
     assert fingerprint(text, 3) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+@given(st.lists(st.sets(st.integers(0, 12), max_size=9), max_size=14), st.sampled_from([0.3, 0.5, 0.8, 1.0]))
+@settings(max_examples=150, deadline=None)
+def test_similar_groups(sets, similarity):
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a)
+             if sets[a] & sets[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9]
+    arrays = [np.array(sorted(s), dtype="<u8") for s in sets]
+    assert similar_groups(arrays, similarity).tolist() == reached(len(sets), pairs)
+
+
 PARTS = [*"aAbB é ñ,.'\"!?() 1234-_\n\n\t", "\r\n", "'s", "'ll", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "  ", "\xa0", " ", "日本", "́", "\x1c", "Σ", "🙂", " . "]
 
 
