@@ -110,19 +110,22 @@ def within_radius(queries: np.ndarray, planes: np.ndarray, radius: int) -> np.nd
     return ~over
 
 
-def near_pairs(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes (into left, into right) of codes within the radius, block by block."""
-    found = []
+def near_blocks(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Pairs of codes within the radius, block by block: where the block begins in left and in
+    right, and the indexes inside it."""
     for b in range(0, len(right), 4096):
         planes = planes_of(right[b:b + 4096])
         for a in range(0, len(left), TILE):
             near = within_radius(left[a:a + TILE], planes, radius)
             if near.any():
                 bits = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : len(right) - b]
-                i, j = np.nonzero(bits)
-                found.append((i + a, j + b))
-    if not found:
-        return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
+                yield a, b, *np.nonzero(bits)
+
+
+def near_pairs(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes (into left, into right) of all codes within the radius."""
+    none = np.zeros(0, dtype=int)
+    found = [(none, none), *((i + a, j + b) for a, b, i, j in near_blocks(left, right, radius))]
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
@@ -137,15 +140,20 @@ def bucket_links(bucket: np.ndarray, side: np.ndarray, codes: np.ndarray, radius
 
     def compare(lo: int, hi: int) -> None:
         own = side[lo:hi]
-        if own.any():
-            a, b = np.flatnonzero(own == 0), np.flatnonzero(own == 1)
-            i, j = near_pairs(codes[lo:hi][a], codes[lo:hi][b], radius)
-            i, j = a[i], b[j]
-        else:
-            i, j = near_pairs(codes[lo:hi], codes[lo:hi], radius)
-            keep = (i < j) & (bucket[lo + i] == bucket[lo + j])
-            i, j = i[keep], j[keep]
-        root = smallest_reachable(hi - lo, i, j)
+        crossing = bool(own.any())
+        a = np.flatnonzero(own == 0)
+        b = np.flatnonzero(own == 1) if crossing else a
+        ends = [(a[:0], a[:0])]
+        for at, beside, i, j in near_blocks(codes[lo:hi][a], codes[lo:hi][b], radius):
+            if not crossing:
+                keep = (i + at < j + beside) & (bucket[lo + i + at] == bucket[lo + j + beside])
+                i, j = i[keep], j[keep]
+            # Only what joins the block's groups is kept, never all its pairs.
+            both = np.concatenate([a[at:at + TILE], b[beside:beside + 4096]])
+            root = smallest_reachable(len(both), i, j + len(a[at:at + TILE]))
+            moved = np.flatnonzero(root != np.arange(len(both)))
+            ends.append((both[moved], both[root[moved]]))
+        root = smallest_reachable(hi - lo, *(np.concatenate(e) for e in zip(*ends)))
         moved = np.flatnonzero(root != np.arange(hi - lo))
         lefts.append(moved + lo)
         rights.append(root[moved] + lo)

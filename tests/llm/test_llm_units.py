@@ -1,6 +1,7 @@
 """The parts of the operators that need no session, against plain versions."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -67,6 +68,20 @@ def test_bucket_links_stay_inside_buckets_and_cross_sides():
     assert sorted(zip(i.tolist(), j.tolist())) == [(1, 0), (2, 0), (6, 5), (7, 5)]
 
 
+@pytest.mark.parametrize("crossing", [False, True])
+def test_a_large_group_of_near_codes_is_folded_block_by_block(crossing):
+    rng = np.random.default_rng(2)
+    codes = np.uint64(1) << rng.integers(0, 64, 3000, dtype=np.uint64)
+    side = (np.arange(3000) >= 1500).astype(int) if crossing else np.zeros(3000, dtype=int)
+    tracemalloc.start()
+    i, j = bucket_links(np.zeros(3000, dtype=int), side, codes, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(i.tolist()) == list(range(1, 3000)) and not j.any()
+    # All pairs would be 36 MB (crossing) or 144 MB of indexes, and as much again when joined.
+    assert peak < (70 << 20 if crossing else 130 << 20)
+
+
 @pytest.mark.parametrize("text", ["", None, " \t", "One", "a B", "x y z", "x y z x y z x", "É é a\x0bb  c\n" * 40])
 def test_fingerprint_by_hand(text):
     words = [w for w in (text or "").translate({c: c + 32 for c in range(65, 91)}).encode().split() if w]
