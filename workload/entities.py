@@ -10,6 +10,7 @@ from placeledger.operators.backfill import backfill_plan, conflict_report, link_
 from placeledger.operators.contact_state import contact_change_counts, merge_contacts
 from placeledger.operators.identity import match_existing, resolve_batch
 from placeledger.operators.merge import MergePolicy, merge_entities
+from placeledger.operators.numbering import number_rows
 from placeledger.operators.parse_details import parse_details
 from placeledger.operators.parse_search import parse_search, scan_coverage
 from placeledger.operators.price_state import merge_prices, summarize_prices
@@ -437,6 +438,18 @@ def latest_payloads_per_salon(spark, sf):
     return latest_payloads(details).select("salon_id", "id", "page")
 
 
+def _dealt_pages(spark, sf, salons):
+    """Every row of `pages` as a page of one salon that is priced by its pages' texts, in turn;
+    a salon for which there is no page has one without html."""
+    sites = salons.filter("website IS NOT NULL AND id % 6 = 4 AND coalesce(filter_status, 'accepted') = 'accepted'")
+    sites = number_rows(sites.select(F.col("id").alias("salon_id"), F.col("website").alias("source_url")), "_site", "salon_id")
+    n = F.lit(max(sites.count(), 1)).cast("bigint")
+    dealt = table(spark, sf, "pages").select(
+        F.pmod(F.coalesce("page_id", F.lit(0)), n).alias("_site"), F.floor(F.col("page_id") / n).alias("_turn"), "html")
+    return sites.join(dealt, "_site", "left").select(
+        "salon_id", (F.coalesce("_turn", F.lit(0)) + 1).alias("page_no"), "source_url", "html")
+
+
 @query("""
     WITH d AS (SELECT o_custkey AS s, o_orderkey AS id, o_orderstatus AS st, o_totalprice AS p FROM orders),
     latest AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY id DESC) AS rn FROM d WHERE st <> 'F'),
@@ -463,14 +476,13 @@ def extracted_prices(spark, sf):
     ld = F.concat(
         F.lit('<p>Часы 9-21</p><script type="application/ld+json">{"@graph":[{"name":"Маникюр с покрытием","offers":{"price":"'),
         (F.col("id") + 500).cast("string"), F.lit('"}}]}</script>'))
-    # A third of the sites are pages of the table, with one priced line put before their text.
-    line = F.concat(F.lit("<p>Маникюр с покрытием 700 руб</p>"), F.coalesce("_html", F.lit("")))
-    real = table(spark, sf, "pages").select(F.col("page_id").alias("_page"), F.col("html").alias("_html"))
-    sites = salons.filter("website IS NOT NULL").withColumn("_page", F.col("id") % 200).join(real, "_page", "left")
-    pages = sites.select(
-        F.col("id").alias("salon_id"), F.lit(1).alias("page_no"), F.col("website").alias("source_url"),
-        F.when(F.col("id") % 6 == 2, ld).when(F.col("id") % 6 == 4, line).alias("html"),
-        F.when(F.col("id") % 6 == 0, "timeout").alias("fetch_error"))
+    # A third of the sites are pages of the table, each with one priced line put before its text.
+    line = F.concat(F.lit("<p>Маникюр с покрытием 700 руб</p>"), F.coalesce("html", F.lit("")))
+    own = salons.filter("website IS NOT NULL").select(
+        F.col("id").alias("salon_id"), F.lit(1).cast("bigint").alias("page_no"), F.col("website").alias("source_url"),
+        F.when(F.col("id") % 6 == 2, ld).alias("html"), F.when(F.col("id") % 6 == 0, "timeout").alias("fetch_error"))
+    pages = own.filter("salon_id % 6 <> 4").unionByName(
+        _dealt_pages(spark, sf, salons).withColumns({"html": line, "fetch_error": F.lit(None).cast("string")}))
     return extract_prices(salons, details, pages, as_of()).select(
         "salon_id", F.col("extraction_status").alias("status"), "amount_minor", "source_type")
 
