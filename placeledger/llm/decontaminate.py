@@ -1,9 +1,9 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search, in DataFrame
-operations only.
+"""Benchmark decontamination by a prefix filter over item shingles, in place of size-partitioned
+MinHash, which can miss a contained item; in DataFrame operations only.
 
 A test item is its set of five-word shingles; a document holds the item when it has at least
 `containment` of them. Documents are much longer than items, so only items are sketched: an
-item's sketch is its k shingles of lowest rank, k set for its size class (powers of two) so
+item's sketch is its k shingles that fewest items hold, k set for its size class (powers of two) so
 that no item of the class can lose k shingles and still be contained. A document that holds
 an item therefore has at least one shingle of its sketch, whatever its own length; the search
 loses nothing. Candidates are verified by counting the item's shingles, as texts, in the document.
