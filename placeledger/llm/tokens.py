@@ -19,6 +19,8 @@ CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 ODD = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 KEPT = 600_000
 KEPT_ONCE = 200_000
+# Characters of the longest chunk that is kept: with the numbers above a bound in bytes.
+KEPT_CHARS = 64
 
 
 class ChunkIds(dict):
@@ -39,6 +41,8 @@ class ChunkIds(dict):
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
+        if len(chunk) > KEPT_CHARS:
+            return self.encode(chunk)
         ids = self.once.pop(chunk, None)
         if ids is not None:
             if len(self) >= KEPT:
@@ -62,11 +66,8 @@ def vocabulary(name: str) -> ChunkIds:
     return ChunkIds(Tokenizer.from_file(public_tokenizers.path(name)))
 
 
-def token_ids(text: str | None, name: str) -> bytes:
-    """All ids of the text, 4 bytes each; none for null and empty texts."""
-    if not text:
-        return b""
-    known = vocabulary(name)
+def ids_of(text: str, known: ChunkIds) -> bytes:
+    """All ids of a text, 4 bytes each."""
     if ODD.search(text):
         return known.encode(text)
     if known.plain and "<|" not in text:  # else a special token might be made or unmade
@@ -74,3 +75,8 @@ def token_ids(text: str | None, name: str) -> bytes:
     else:
         chunks = CHUNK.findall(text)
     return b"".join(map(known.__getitem__, chunks))
+
+
+def token_ids(text: str | None, name: str) -> bytes:
+    """All ids of the text, 4 bytes each; none for null and empty texts."""
+    return ids_of(text, vocabulary(name)) if text else b""
