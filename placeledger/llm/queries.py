@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from placeledger.llm.alignment import alignment_digests
+from placeledger.llm.byte_bpe import bpe_digests
 from placeledger.llm.decontaminate import contained_items
 from placeledger.llm.langid import identify_languages
 from placeledger.llm.lm import score_texts
+from placeledger.llm.manifest import manifest
 from placeledger.llm.packing import piece_digests
 from placeledger.llm.preferences import preference_digests
 from placeledger.llm.shards import shard_digests
@@ -78,3 +81,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"))

@@ -68,5 +68,60 @@ WITH RECURSIVE vectors AS (
 counted AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept
 FROM components c LEFT JOIN counted USING (vec_id)
+""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i:
+    list_reduce(list_concat([i], range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS t
+), fields AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, text,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    xor(4294967295, list_reduce(list_concat([4294967295], list_transform(
+      string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+      lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]))) AS sum,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+  FROM documents, crc
+), leaves AS (
+  SELECT rid, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN coalesce(sum, 0) % 3 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) END AS other
+  FROM fields
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+), levels(lang, level, nodes) AS (
+  SELECT lang, 0, list(leaf ORDER BY pos) FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+  FROM levels WHERE len(nodes) > 1
+), subroots AS (
+  SELECT lang, level AS height, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos
+  FROM levels WHERE len(nodes) = 1
+), tops(level, nodes) AS (
+  SELECT 0, list(subroot ORDER BY pos) FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+  FROM tops WHERE len(nodes) > 1
+), ways AS (
+  SELECT rid, l.level AS step, nodes, pos >> (3 * l.level) AS place
+  FROM placed p JOIN levels l ON p.lang IS NOT DISTINCT FROM l.lang WHERE len(nodes) > 1
+  UNION ALL
+  SELECT rid, s.height + t.level, nodes, s.pos >> (3 * t.level)
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang, tops t WHERE len(nodes) > 1
+), steps AS (
+  SELECT rid, step, array_to_string(list_filter(nodes, lambda n, i: i > place // 8 * 8 AND i <= place), '') AS before,
+    array_to_string(list_filter(nodes, lambda n, i: i > place + 1 AND i <= place // 8 * 8 + 8), '') AS after
+  FROM ways
+), proofs AS (
+  SELECT rid, string_agg(before || after, '' ORDER BY step) AS proof FROM steps GROUP BY rid
+), folded(rid, step, node) AS (
+  SELECT rid, 0, coalesce(other, leaf) FROM leaves
+  UNION ALL
+  SELECT f.rid, f.step + 1, sha256(before || node || after) FROM folded f JOIN steps s ON f.rid = s.rid AND f.step = s.step
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang
+JOIN (SELECT rid, max_by(node, step) AS folded_root FROM folded GROUP BY rid) USING (rid)
+LEFT JOIN proofs USING (rid), (SELECT nodes[1] AS root FROM tops WHERE len(nodes) = 1)
 """,
 }
