@@ -2,8 +2,8 @@
 
 An n-gram's probability mixes the maximum-likelihood estimates of its orders and the uniform
 one. The weights depend on how often the longest context was seen (buckets of powers of
-two) and are learned by expectation-maximisation: a tenth of the training documents is
-deleted from the counts and its tokens are predicted from the rest.
+two) and are learned by expectation-maximisation: a tenth of the training documents, drawn by
+a hash of each, is deleted from the counts and its tokens are predicted from the rest.
 
 Counts are never gathered in one place. Documents are dealt to batches; a batch names each of
 its n-grams once, with its own count, to the bucket that holds the n-gram; the bucket adds up
@@ -19,7 +19,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.llm.common import fold, records, slices, tasks, written
 
@@ -101,16 +101,23 @@ class Batch:
         return out
 
 
-def dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
-    """Documents with their batch and whether they train, and the numbers of batches and buckets."""
+def dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    """Documents with their batch and whether they train, and the number of buckets. Batches whose
+    number DELETED divides hold the deleted documents."""
     source = records(docs, id_col, text_col).withColumn("text", F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = tasks(docs.sparkSession)
-    batches = max(least, -(-size // BATCH_BYTES))
-    spread = F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
+
+    def drawn(seed: int, parts: int) -> Column:
+        return F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(parts))
+
+    # A text's own hash deletes it, at any number of batches; the deleted have batches of their own.
+    rounds = -(-max(least, -(-size // BATCH_BYTES)) // DELETED)
+    turn = F.when(drawn(1, DELETED) == 0, 0).otherwise(drawn(2, DELETED - 1) + 1)
     learned = fold(F.col("doc_id"), LEARN_FOLDS) != 0
-    return source.select("doc_id", "text", spread.alias("batch"), learned.alias("learned")), batches, max(
-        least, -(-size // BUCKET_BYTES))
+    return source.select(
+        "doc_id", "text", (drawn(3, rounds) * DELETED + turn).cast("long").alias("batch"), learned.alias("learned"),
+    ), max(least, -(-size // BUCKET_BYTES))
 
 
 def asked(docs: DataFrame, order: int, buckets: int) -> DataFrame:
@@ -270,10 +277,11 @@ def score_texts(docs: DataFrame, order: int = 2, id_col: str = "doc_id", text_co
 
     Learns from the documents whose crc32(doc_id as text) mod 10 is not 0. Words are split at
     ASCII white space and lower-cased A-Z; an end follows each text. A null or empty text is
-    its end alone. Repeated rows count and are scored each. Without training documents all
-    estimates but the uniform one are zero; an empty table gives no rows.
+    its end alone. Repeated rows count and are scored each (equal ones in one batch). Very long
+    texts are whole in a batch of their own size. Without training documents all estimates but
+    the uniform one are zero; an empty table gives no rows.
     """
-    source, _, buckets = dealt(docs, id_col, text_col)
+    source, buckets = dealt(docs, id_col, text_col)
     answers = written(answered(asked(source, order, buckets)), "ngram-counts")
     size = answers.filter("batch IS NULL").agg(*[
         F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("types", "tokens", "kept_types", "kept_tokens")]).first()
