@@ -35,20 +35,25 @@ SELECT conv_id, CAST(max(n) AS INTEGER) AS n_prompt_turns,
 FROM cut GROUP BY conv_id
 """,
     "op4_decontamination": """
-WITH doc_words AS (
-  SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE doc_id IS NOT NULL
-), item_words AS (
-  SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark WHERE item_id IS NOT NULL
-), doc_shingles AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
-  FROM doc_words WHERE len(w) >= 5
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w
+  FROM (SELECT DISTINCT doc_id, text FROM documents)
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, w, least(len(w), 5) AS m
+  FROM (SELECT DISTINCT item_id, text, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0
 ), item_shingles AS (
-  SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
-  FROM item_words WHERE len(w) >= 5
-), sizes AS (SELECT item_id, count(*) AS n_shingles FROM item_shingles GROUP BY item_id)
-SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
-FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
-GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= ceil(n_shingles * 0.8 - 1e-9)
+  SELECT DISTINCT i, m, unnest(list_transform(range(1, len(w) - m + 2), lambda k: array_to_string(w[k:k + m - 1], ' '))) AS s
+  FROM items
+), doc_shingles AS (
+  SELECT DISTINCT d, m, unnest(list_transform(range(1, len(w) - m + 2), lambda k: array_to_string(w[k:k + m - 1], ' '))) AS s
+  FROM docs, (SELECT DISTINCT m FROM items) WHERE len(w) >= m
+), sizes AS (SELECT i, count(*) AS n_shingles FROM item_shingles GROUP BY i),
+found AS (
+  SELECT d, i, count(*) AS n_found FROM doc_shingles JOIN item_shingles USING (m, s) GROUP BY d, i
+)
+SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
+FROM found JOIN sizes USING (i) JOIN docs USING (d) JOIN items USING (i)
+WHERE n_found >= ceil(n_shingles * 0.8 - 1e-9)
 """,
     "op7_vector_range_join": """
 WITH RECURSIVE vectors AS (
