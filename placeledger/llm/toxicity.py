@@ -2,21 +2,22 @@
 
 A text's features are the hashed words it has and their first letters, present or not, so a
 few words tell in a text of any length. A logistic model over the features that the labels
-make most telling is fitted in numpy on a bounded sample. For every labelled text that
-mentions a group, the mention is swapped for each other group's name, and the squared change
-of the score is part of the loss: naming a group must not move a score by itself.
+make most telling is fitted in numpy on a bounded sample. In every labelled text that
+mentions a group, the mentions are swapped for the same form of each other group's name, and the squared change of the text's score is part of the loss: naming a group must
+not move a score by itself. A corpus that names no group is fitted without that part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from placeledger.llm.common import drawn, fold, records, text_slices
+from placeledger.llm.common import drawn, fold, records, text_slices, written
 from placeledger.llm.langid import MIX, words_only
 
 BITS = 20
@@ -25,11 +26,39 @@ ROWS_PER_CLASS = 4000
 FEATURES = 2000
 LEARN_FOLDS = 5
 SWAP_PENALTY = 4.0
-# Names of groups that a neutral text may mention; a parameter of `fit_toxicity`.
-IDENTITY_TERMS = (
-    "women", "men", "muslims", "christians", "jews", "hindus", "buddhists", "atheists", "gay", "lesbian",
-    "straight", "transgender", "black", "white", "asian", "latino", "immigrants", "refugees", "disabled", "elderly",
-)
+# Names of groups that a neutral text may mention; a parameter of `fit_toxicity`. Names with the
+# same forms are swapped for each other: here singular and plural in English, then in French,
+# German and Spanish. One word may stand for several forms.
+IDENTITY_TERMS: tuple[tuple[tuple[str, ...], ...], ...] = ((
+    ("muslim", "muslims", "musulman", "musulmans", "moslem", "muslime", "musulmán", "musulmanes"),
+    ("christian", "christians", "chrétien", "chrétiens", "christ", "christen", "cristiano", "cristianos"),
+    ("jew", "jews", "juif", "juifs", "jude", "juden", "judío", "judíos"),
+    ("hindu", "hindus", "hindou", "hindous", "hindu", "hindus", "hindú", "hindúes"),
+    ("buddhist", "buddhists", "bouddhiste", "bouddhistes", "buddhist", "buddhisten", "budista", "budistas"),
+    ("atheist", "atheists", "athée", "athées", "atheist", "atheisten", "ateo", "ateos"),
+    ("woman", "women", "femme", "femmes", "frau", "frauen", "mujer", "mujeres"),
+    ("man", "men", "homme", "hommes", "mann", "männer", "hombre", "hombres"),
+    ("gay", "gays", "gay", "gays", "schwuler", "schwule", "gay", "gays"),
+    ("lesbian", "lesbians", "lesbienne", "lesbiennes", "lesbe", "lesben", "lesbiana", "lesbianas"),
+    ("straight", "straights", "hétéro", "hétéros", "hetero", "heteros", "hetero", "heteros"),
+    ("transgender", "transgenders", "transgenre", "transgenres", "transperson", "transpersonen", "transgénero", "transgéneros"),
+    ("black", "blacks", "noir", "noirs", "schwarzer", "schwarze", "negro", "negros"),
+    ("white", "whites", "blanc", "blancs", "weißer", "weiße", "blanco", "blancos"),
+    ("asian", "asians", "asiatique", "asiatiques", "asiate", "asiaten", "asiático", "asiáticos"),
+    ("latino", "latinos", "latino", "latinos", "latino", "latinos", "latino", "latinos"),
+    ("arab", "arabs", "arabe", "arabes", "araber", "araber", "árabe", "árabes"),
+    ("immigrant", "immigrants", "immigré", "immigrés", "einwanderer", "einwanderer", "inmigrante", "inmigrantes"),
+    ("refugee", "refugees", "réfugié", "réfugiés", "flüchtling", "flüchtlinge", "refugiado", "refugiados"),
+    ("native", "natives", "autochtone", "autochtones", "einheimischer", "einheimische", "nativo", "nativos"),
+),)
+# The same, for adjectives in the four languages.
+IDENTITY_ADJECTIVES: tuple[tuple[tuple[str, ...], ...], ...] = ((
+    ("islamic", "islamique", "muslimisch", "islámico"), ("christianity", "chrétienne", "christlich", "cristiana"),
+    ("jewish", "juive", "jüdisch", "judía"), ("hinduism", "hindoue", "hinduistisch", "hinduista"),
+    ("female", "féminin", "weiblich", "femenino"), ("male", "masculin", "männlich", "masculino"),
+    ("disabled", "handicapé", "behindert", "discapacitado"), ("elderly", "âgé", "betagt", "anciano"),
+    ("young", "jeune", "jung", "joven"),
+),)
 BASE = np.uint64(0x100000001B3)
 INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
 
@@ -67,6 +96,34 @@ def features_of(text: str | None) -> np.ndarray:
     return np.unique(word_features(np.frombuffer(words_only(text), dtype=np.uint8))[1])
 
 
+@cache
+def forms(terms: tuple) -> dict[bytes, list[bytes]]:
+    """Each form's swaps: the same form of the other groups. A word that stands for
+    several forms takes the first."""
+    out: dict[bytes, list[bytes]] = {}
+    for kind in terms:
+        for group in kind:
+            for place, form in enumerate(group):
+                word = words_only(form).strip()
+                others = [words_only(other[place]).strip() for other in kind if other is not group]
+                out.setdefault(word, [o for o in others if o != word])
+    return out
+
+
+def swapped(text: str | None, terms: tuple = IDENTITY_TERMS + IDENTITY_ADJECTIVES) -> list[np.ndarray]:
+    """Features of the text with its mentions of groups swapped: one text for each other group.
+    None where no group is mentioned."""
+    words, known = words_only(text).split(), forms(terms)
+    places = [k for k, w in enumerate(words) if known.get(w)]
+    out = []
+    for turn in range(max((len(known[words[k]]) for k in places), default=0)):
+        other = [*words]
+        for k in places:
+            other[k] = known[words[k]][turn % len(known[words[k]])]
+        out.append(np.unique(word_features(np.frombuffer(b" " + b" ".join(other) + b" ", dtype=np.uint8))[1]))
+    return out
+
+
 @dataclass
 class ToxicityModel:
     features: np.ndarray  # ascending
@@ -106,33 +163,31 @@ def telling(docs: list[np.ndarray], labels: np.ndarray, most: int) -> np.ndarray
 
 
 def train(
-    docs: list[np.ndarray], labels: np.ndarray, prior: float, terms: tuple[str, ...] = IDENTITY_TERMS,
+    docs: list[np.ndarray], labels: np.ndarray, prior: float, swaps: list[list[np.ndarray]] = (),
     penalty: float = SWAP_PENALTY, most: int = FEATURES, ridge: float = 0.3, rounds: int = 400,
 ) -> ToxicityModel:
     """Accelerated gradient descent on logistic loss + ridge + penalty * mean squared swap change.
 
-    `docs`: distinct features of each labelled text; `prior`: share of toxic texts among all
-    labelled ones, towards which the balanced fit is moved.
+    `docs`: distinct features of each labelled text; `swaps`: those of its swapped texts;
+    `prior`: share of toxic texts among all labelled ones, towards which the balanced fit is
+    moved. A swap's change is over the text's own features: a name that the text has already
+    is no change.
     """
-    named = {t: features_of(t) for t in terms}
-    kept = np.unique(np.concatenate([telling(docs, labels, most), *named.values()]).astype(np.int64))
-    x = np.zeros((len(docs), len(kept)), dtype=np.float32)
-    for i, d in enumerate(docs):
-        x[i, np.searchsorted(kept, d[np.isin(d, kept)])] = 1
-    swaps, often = [], []
-    for t, own in named.items():
-        # The whole word is a feature of its own; texts that have it mention the group.
-        word = np.searchsorted(kept, word_features(np.frombuffer(words_only(t), dtype=np.uint8))[1][0])
-        mentions = float(x[:, word].sum())
-        for u, other in named.items():
-            if u != t and mentions:
-                change = np.zeros(len(kept), dtype=np.float32)
-                change[np.searchsorted(kept, other)] += 1
-                change[np.searchsorted(kept, own)] -= 1
-                swaps.append(change)
-                often.append(mentions)
-    change = np.array(swaps, dtype=np.float32).reshape(-1, len(kept))
-    share = np.array(often, dtype=np.float32) / max(sum(often), 1)
+    pairs = [(d, s) for d, texts in zip(docs, swaps) for s in texts]
+    kept = np.unique(np.concatenate([telling(docs, labels, most), *(np.setxor1d(d, s) for d, s in pairs)]).astype(np.int64))
+
+    def rows(sets: list[np.ndarray]) -> np.ndarray:
+        x = np.zeros((len(sets), len(kept)), dtype=np.float32)
+        for i, d in enumerate(sets):
+            x[i, np.searchsorted(kept, d[np.isin(d, kept)])] = 1
+        return x
+
+    x = rows(docs)
+    # Texts often change alike; equal changes are one row with its share.
+    turned = (rows([s for _, s in pairs]) - rows([d for d, _ in pairs])).astype(np.int8)
+    change, often = np.unique(turned, axis=0, return_counts=True) if len(turned) else (turned, np.zeros(0))
+    change = change.astype(np.float32)
+    share = often.astype(np.float32) / max(often.sum(), 1)
     size = max(len(docs), 1)
     balance = np.where(labels == 1, 0.5 / max((labels == 1).mean(), 1e-9), 0.5 / max((labels == 0).mean(), 1e-9))
     y = labels.astype(np.float32)
@@ -165,37 +220,72 @@ def train(
     return ToxicityModel(kept, w.astype(np.float64), float(b + odds * 0.5))
 
 
+def telling_features(rows: DataFrame, most: int) -> list[int]:
+    """The features of `at` with the largest chi-square between presence and label: what
+    `telling` finds, over all rows at once, without the features of each."""
+    n = rows.agg(F.count("*").alias("n"), F.avg("toxic").alias("share")).first()
+    seen = rows.select("toxic", F.explode("at").alias("feature")).groupBy("feature").agg(
+        F.sum("toxic").alias("bad"), F.count("*").alias("both")).filter("both > 1")
+    total, share = float(n["n"]), n["share"] or 0.0
+    spread = F.greatest(F.col("both") * F.lit(share * (1 - share)) * (1 - F.col("both") / F.lit(max(total, 1.0))), F.lit(1e-9))
+    chi = F.pow(F.col("bad") - F.col("both") * F.lit(share), F.lit(2.0)) / spread
+    best = seen.withColumn("chi", chi).orderBy(F.desc("chi"), "feature").limit(most)
+    return [r["feature"] for r in best.collect()]
+
+
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, terms: tuple[str, ...] = IDENTITY_TERMS,
-    penalty: float = SWAP_PENALTY, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+    docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS,
+    terms: tuple = IDENTITY_TERMS + IDENTITY_ADJECTIVES, penalty: float = SWAP_PENALTY, most: int = FEATURES,
+    id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> ToxicityModel | None:
     """Learn from at most `rows_per_class` texts of each label, drawn by a hash of doc_id among
     the labelled documents of the learning folds; None if a label is missing. A document
-    with both labels counts as toxic."""
+    with both labels counts as toxic. Only the most telling features, and those a swap
+    changes, come to the driver."""
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter(
         F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), LEARN_FOLDS) != 0)
     ).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     ids = drawn(known, "toxic", "doc_id", rows_per_class)
     # At most 2 * rows_per_class ids.
     chosen = records(docs, id_col, text_col).join(F.broadcast(ids), "doc_id")
+    kinds = [pa.list_(pa.int32()), pa.list_(pa.list_(pa.int32()))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for texts in text_slices(batch.column("text")):
+                own, others = [features_of(t) for t in texts], [swapped(t, terms) for t in texts]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("doc_id").slice(done, len(texts)).cast(pa.string()), batch.column("toxic").slice(done, len(texts)),
+                    pa.array(own, type=kinds[0]), pa.array(others, type=kinds[1])], ["doc_id", "toxic", "at", "swaps"])
+                done += len(texts)
+
+    rows = written(chosen.dropDuplicates(["doc_id"]).mapInArrow(
+        features, "doc_id string, toxic int, at array<int>, swaps array<array<int>>"), "toxic-features")
+    # Rounding apart, the fit picks the same ones again among these.
+    best = np.array(sorted(telling_features(rows, 2 * most)), dtype=np.int64)
+
+    def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [features_of(t.as_py()).astype("<i4").tobytes() for t in batch.column("text")]
+            own, others = [], []
+            for at, swaps in zip(batch.column("at").to_pylist(), batch.column("swaps").to_pylist()):
+                at, swaps = np.array(at, dtype=np.int64), [np.array(s, dtype=np.int64) for s in swaps]
+                moved = np.unique(np.concatenate([at[:0], *(np.setxor1d(at, s) for s in swaps)]))
+                wanted = np.union1d(best, moved)
+                own.append(at[np.isin(at, wanted)])
+                others.append([s[np.isin(s, wanted)] for s in swaps])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.string()), batch.column("toxic"), pa.array(own, type=pa.binary())],
-                ["doc_id", "toxic", "at"],
-            )
+                [batch.column("doc_id"), batch.column("toxic"), pa.array(own, type=kinds[0]), pa.array(others, type=kinds[1])],
+                ["doc_id", "toxic", "at", "swaps"])
 
-    rows = chosen.dropDuplicates(["doc_id"]).mapInArrow(run, "doc_id string, toxic int, at binary").collect()
+    rows = rows.mapInArrow(few, "doc_id string, toxic int, at array<int>, swaps array<array<int>>").collect()
     shares = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not rows or len({r["toxic"] for r in rows}) < 2:
         return None
     rows.sort(key=lambda r: r["doc_id"])
     return train(
-        [np.frombuffer(r["at"], dtype="<i4") for r in rows], np.array([r["toxic"] for r in rows]),
-        shares[1] / (shares[0] + shares[1]), terms, penalty,
-    )
+        [np.array(r["at"], dtype=np.int64) for r in rows], np.array([r["toxic"] for r in rows]),
+        shares[1] / (shares[0] + shares[1]), [[np.array(s, dtype=np.int64) for s in r["swaps"]] for r in rows], penalty, most)
 
 
 def batch_scores(model: ToxicityModel | None, column: pa.Array) -> np.ndarray:
@@ -209,8 +299,9 @@ def score_toxicity(
 ) -> DataFrame:
     """One row per document: doc_id, score (0 to 1), predicted (1 if score >= 0.5).
 
-    Null, empty and wordless texts get the score of a text without any telling word. Without
-    a model every score is 0. Repeated rows stay; an empty table gives no rows.
+    Null, empty and wordless texts get the score of a text without any telling word; very long
+    texts are scored whole. Without a model every score is 0. Repeated rows stay, ties have one
+    score; an empty table gives no rows.
     """
     source = records(docs, id_col, text_col)
     kind = source.schema["doc_id"].dataType.simpleString()
