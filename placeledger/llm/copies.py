@@ -1,21 +1,21 @@
 """Near copies by the Jaccard similarity of their word shingles, found through SimHash.
 
 Texts with the same set of shingles are one class. Candidates come from several fingerprints
-a class, seeded independently: one within the radius is enough. They only make groups; inside
-a group every two classes are compared by their shingle sets, and a link is kept only where
-the similarity is reached. So no wrong link stays, and what can be missed is a pair that lies
+a class, seeded independently: one within the radius is enough. They only make groups, and a
+pass over some fingerprints meets the groups of the passes before it as one node each. Inside
+a group classes are compared by their shingle sets, and a link is kept only where the
+similarity is reached. So no wrong link stays, and what can be missed is a pair that lies
 beyond the radius in all fingerprints.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.llm.common import hot_free_join, records, smallest_reachable, text_slices, written
 from placeledger.llm.simhash import links, majority, reseeded, shingle_hashes
@@ -102,9 +102,10 @@ def similar_groups(sets: list[np.ndarray], similarity: float) -> np.ndarray:
 
 
 def tile_links(table: pa.Table, similarity: float) -> pa.Table:
-    """(a, b): the classes of a tile, each with the smallest row it is joined with."""
-    node = table["node"].to_numpy()
-    sets = [shingle_set(t) for column in table["text"].chunks for texts in text_slices(column) for t in texts]
+    """(a, b): the classes of a tile, each with the smallest node it is joined with."""
+    node, first = np.unique(table["node"].to_numpy(), return_index=True)
+    text = table["text"].combine_chunks().take(pa.array(first))
+    sets = [shingle_set(t) for texts in text_slices(text) for t in texts]
     root = similar_groups(sets, similarity)
     moved = np.flatnonzero(root != np.arange(len(node)))
     return pa.table([pa.array(node[moved]), pa.array(node[root[moved]])], names=["a", "b"])
@@ -113,20 +114,40 @@ def tile_links(table: pa.Table, similarity: float) -> pa.Table:
 def verified(members: DataFrame, similarity: float, tile: int) -> DataFrame:
     """(a, b): links between similar classes of one component, enough of them to join all.
 
-    A component with more than `tile` shingles is cut into chunks, and every two of its chunks
-    meet in a task of their own.
+    A component with more than `tile` shingles is cut into chunks, each with the component's
+    first class beside it. What a chunk joins with that one needs no other link; only the rest
+    is compared with all the chunks, a chunk of the rest and one of all in a task.
     """
-    filled = members.groupBy("component").agg(F.ceil(F.sum(F.col("size") + 100) / tile).cast("int").alias("chunks"))
-    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).cast("int")
-    # Two chunks that meet are compared inside as well; a chunk that is alone meets itself.
-    meets = F.filter(
-        F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda x: F.struct(
-            F.least(F.col("own"), x).alias("low"), F.greatest(F.col("own"), x).alias("high"))),
-        lambda m: (m["low"] < m["high"]) | (F.col("chunks") == 1))
-    tiles = hot_free_join(members, filled, "component").withColumn("own", own).select(
-        "component", "node", "text", F.inline(meets))
-    return tiles.groupBy("component", "low", "high").applyInArrow(
-        lambda table: tile_links(table.select(["node", "text"]), similarity), "a long, b long")
+    def met(tiles: DataFrame) -> DataFrame:
+        return written(tiles.groupBy("component", "low", "high").applyInArrow(
+            lambda table: tile_links(table.select(["node", "text"]), similarity), "a long, b long"), "copy-links")
+
+    def chunked(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("component").agg(F.ceil(F.sum(F.col("size") + 100) / tile).cast("int").alias(name))
+
+    def own(count: str) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(7)), F.col(count)).cast("int")
+
+    def each(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    sized = hot_free_join(members, chunked(members, "chunks"), "component")
+    zero = F.lit(0)
+    # A component is named by its smallest node.
+    first = sized.filter("node = component").select("component", "node", "text", zero.alias("low"), each("chunks").alias("high"))
+    rest = sized.filter("node <> component").select("component", "node", "text", zero.alias("low"), own("chunks").alias("high"))
+    links = met(first.unionByName(rest))
+    joined = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    loose = sized.filter("chunks > 1 AND node <> component").select("component", "node", "size", "chunks").join(
+        joined, ["node", "component"], "left_anti")
+    loose = written(loose, "copy-loose")
+    waiting = written(chunked(loose, "blocks"), "copy-waiting")
+    loose = members.select("node", "text").join(loose, "node")
+    low = hot_free_join(loose, waiting, "component").select(
+        "component", "node", "text", own("blocks").alias("low"), each("chunks").alias("high"))
+    high = hot_free_join(sized, waiting, "component").select(
+        "component", "node", "text", each("blocks").alias("low"), own("chunks").alias("high"))
+    return links.unionByName(met(low.unionByName(high)))
 
 
 def first_copies(
@@ -139,23 +160,29 @@ def first_copies(
     have a Jaccard similarity of `similarity` or more and one of `seeds` fingerprints of each
     differ in at most `radius` bits, directly or through others. Texts of fewer than five words
     have all their words as the one shingle; null, empty and wordless texts are one group.
+    Repeated rows are one class; ids may be of any ordered type, and of rows that share one all
+    texts count. Very long texts are read whole, one at a time. An empty table gives no rows.
     """
     rows = printed(docs, seeds, id_col, text_col).groupBy("cls").agg(
         F.min("doc_id").alias("first_doc"), F.any_value("size").alias("size"), F.any_value("fps").alias("fps"))
     classes = written(rows.withColumn("node", F.monotonically_increasing_id()), "copy-classes")
     # Wordless texts are one class, and like no other.
-    codes = classes.filter("size > 0").select("node", F.posexplode("fps").alias("seed", "fp"))
-    candidates = []
+    rooted = classes.filter("size > 0").select("node", F.col("node").alias("root"))
     for s in range(0, seeds, SEEDS_A_PASS):
-        some = codes.filter((F.col("seed") >= s) & (F.col("seed") < s + SEEDS_A_PASS))
-        candidates.append(written(links(some, radius, node="node", within=("seed",)), "copy-candidates"))
-    groups = written(connected_components(reduce(DataFrame.unionByName, candidates).distinct()), "copy-groups")
+        codes = classes.select("node", F.posexplode("fps").alias("seed", "fp")).filter(
+            (F.col("seed") >= s) & (F.col("seed") < s + SEEDS_A_PASS))
+        grouped = codes.join(rooted, "node").select("root", "seed", "fp").distinct()
+        pairs = written(links(grouped, radius, node="root", within=("seed",)), "copy-candidates")
+        named = written(connected_components(pairs), "copy-groups").withColumnRenamed("node", "root")
+        rooted = written(hot_free_join(rooted, named, "root", "left").select(
+            "node", F.coalesce("component", "root").alias("root")), "copy-roots")
+    crowds = rooted.groupBy("root").agg(F.count("*").alias("nodes")).filter("nodes > 1")
+    groups = hot_free_join(rooted, crowds, "root").select("node", F.col("root").alias("component"))
     members = classes.select("node", "first_doc", "size").join(groups, "node")
     # Equal rows have one id here; one of them is enough.
     texts = records(docs, id_col, text_col).withColumnRenamed("doc_id", "first_doc")
     members = hot_free_join(texts, members, "first_doc").dropDuplicates(["node"])
     members = written(members.select("node", "component", "size", "text"), "copy-members")
-    pairs = written(verified(members, similarity, tile), "copy-links")
-    named = connected_components(pairs).withColumnsRenamed({"component": "root"})
+    named = connected_components(verified(members, similarity, tile)).withColumnsRenamed({"component": "root"})
     rooted = classes.select("node", "first_doc").join(named, "node", "left")
     return rooted.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first_doc").alias("doc_id")).select("doc_id")

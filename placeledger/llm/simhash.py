@@ -8,7 +8,7 @@ fingerprints within the radius agree in at least two blocks, so each pair of blo
 bucket key and no link is lost. In a bucket the fingerprints stand as vertical bit planes
 (one word holds one bit of 64 fingerprints); a query's bit is XORed with a whole plane and
 the differences are added by carry-save counters, 64 distances at a time, until all
-counters of a block have run over the radius.
+counters of the word have run over the radius.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SEED = 42
 TILE = 512
 CHUNK = 8192
+# Links that a task folds at once.
+STARS = 1 << 20
 NO_WORD = np.uint64(0)
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -89,92 +91,126 @@ def planes_of(codes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
 
 
-def within_radius(queries: np.ndarray, planes: np.ndarray, radius: int) -> np.ndarray:
-    """Bit matrix (query x word): set where a stored code differs in at most `radius` bits.
+def within_radius(
+    queries: np.ndarray, planes: np.ndarray, radius: int, open_pairs: np.ndarray | None = None, bits: int = (1 << 64) - 1,
+) -> tuple[np.ndarray, int]:
+    """Bit matrix (query x word): set where a stored code differs in at most `radius` of the `bits`,
+    among the pairs set in `open_pairs` (all of them by default); and the planes read, added up
+    over the words they were read for.
 
-    The counters start so that they run over at radius + 1 differences.
+    The counters start so that they run over at radius + 1 differences. A word is given up as
+    soon as all its counters are over or were never open.
     """
     width = int(radius + 1).bit_length() if radius else 1
     start = (1 << width) - 1 - radius
-    shape = (len(queries), planes.shape[1])
-    counter = [np.full(shape, ALL if start >> k & 1 else NO_WORD) for k in range(width)]
-    over = np.zeros(shape, dtype="<u8")
-    for bit in range(64):
+    over = np.zeros((len(queries), planes.shape[1]), dtype="<u8") if open_pairs is None else ~open_pairs
+    near, steps = np.zeros_like(over), 0
+    row, word = np.nonzero(over != ALL)
+    over = over[row, word]
+    counter = [np.full(len(row), ALL if start >> k & 1 else NO_WORD) for k in range(width)]
+    for done, bit in enumerate(k for k in range(64) if bits >> k & 1):
+        if done % 4 == 0:
+            live = over != ALL
+            if live.sum() * 4 < len(live) * 3:
+                row, word, over = row[live], word[live], over[live]
+                counter = [c[live] for c in counter]
+        if not len(row):
+            break
         wanted = np.where(queries >> np.uint64(bit) & np.uint64(1), ALL, NO_WORD)
-        carry = planes[bit][None, :] ^ wanted[:, None]
+        carry = planes[bit][word] ^ wanted[row]
         for k in range(width):
             counter[k], carry = counter[k] ^ carry, counter[k] & carry
         over |= carry
-        if bit % 8 == 7 and (over == ALL).all():
-            break
-    return ~over
+        steps += len(row)
+    near[row, word] = ~over
+    return near, steps
 
 
-def near_blocks(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def near_blocks(
+    left: np.ndarray, right: np.ndarray, radius: int, first: np.ndarray, end: np.ndarray, bits: int = (1 << 64) - 1,
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Pairs of codes within the radius, block by block: where the block begins in left and in
-    right, and the indexes inside it."""
+    right, and the indexes inside it. Left code i is compared with right codes first[i] to end[i]."""
     for b in range(0, len(right), 4096):
         planes = planes_of(right[b:b + 4096])
+        place = np.arange(planes.shape[1] * 64) + b
         for a in range(0, len(left), TILE):
-            near = within_radius(left[a:a + TILE], planes, radius)
+            lo, hi = first[a:a + TILE, None], np.minimum(end[a:a + TILE, None], len(right))
+            if (hi <= b).all() or (lo >= b + 4096).all():
+                continue
+            open_pairs = np.packbits((place >= lo) & (place < hi), axis=1, bitorder="little").view("<u8")
+            near, _ = within_radius(left[a:a + TILE], planes, radius, open_pairs, bits)
             if near.any():
-                bits = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : len(right) - b]
-                yield a, b, *np.nonzero(bits)
+                yield a, b, *np.nonzero(np.unpackbits(near.view(np.uint8), axis=1, bitorder="little"))
 
 
 def near_pairs(left: np.ndarray, right: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Indexes (into left, into right) of all codes within the radius."""
+    every = np.zeros(len(left), dtype=np.int64), np.full(len(left), len(right))
     none = np.zeros(0, dtype=int)
-    found = [(none, none), *((i + a, j + b) for a, b, i, j in near_blocks(left, right, radius))]
+    found = [(none, none), *((i + a, j + b) for a, b, i, j in near_blocks(left, right, radius, *every))]
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def bucket_links(bucket: np.ndarray, side: np.ndarray, codes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside runs of equal `bucket` (sorted), as stars around each group's smallest row.
+    """Links inside runs of equal `bucket` (sorted), as stars around each group's first row.
 
     Small runs share a tile of planes. Rows of a run have side 0, or sides 0 and 1 when
-    two chunks of a large bucket meet; then only rows of different sides are compared.
+    two chunks of a large bucket meet; then only rows of different sides are compared. Of two
+    rows one is compared with the other, and only inside a run; bits that all rows of a run
+    share, as those of its key, are not read.
     """
     ends = np.append(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, len(bucket))
+    starts = np.append(0, ends[:-1])
+    differ = np.bitwise_or.reduceat(codes ^ np.repeat(codes[starts], ends - starts), starts) if len(codes) else codes
+    run_end = np.repeat(ends, ends - starts)
     lefts, rights = [], []
 
-    def compare(lo: int, hi: int) -> None:
+    def compare(lo: int, hi: int, bits: int) -> None:
         own = side[lo:hi]
         crossing = bool(own.any())
         a = np.flatnonzero(own == 0)
         b = np.flatnonzero(own == 1) if crossing else a
-        ends = [(a[:0], a[:0])]
-        for at, beside, i, j in near_blocks(codes[lo:hi][a], codes[lo:hi][b], radius):
-            if not crossing:
-                keep = (i + at < j + beside) & (bucket[lo + i + at] == bucket[lo + j + beside])
-                i, j = i[keep], j[keep]
+        first = np.zeros(len(a), dtype=np.int64) if crossing else a + 1
+        last = np.full(len(a), len(b)) if crossing else run_end[lo:hi] - lo
+        found = [(a[:0], a[:0])]
+        for at, beside, i, j in near_blocks(codes[lo:hi][a], codes[lo:hi][b], radius, first, last, bits):
             # Only what joins the block's groups is kept, never all its pairs.
             both = np.concatenate([a[at:at + TILE], b[beside:beside + 4096]])
             root = smallest_reachable(len(both), i, j + len(a[at:at + TILE]))
             moved = np.flatnonzero(root != np.arange(len(both)))
-            ends.append((both[moved], both[root[moved]]))
-        root = smallest_reachable(hi - lo, *(np.concatenate(e) for e in zip(*ends)))
+            found.append((both[moved], both[root[moved]]))
+        root = smallest_reachable(hi - lo, *(np.concatenate(e) for e in zip(*found)))
         moved = np.flatnonzero(root != np.arange(hi - lo))
         lefts.append(moved + lo)
         rights.append(root[moved] + lo)
 
-    begin = previous = 0
-    for end in ends:
+    begin = previous = bits = 0
+    for end, own_bits in zip(ends.tolist(), differ.tolist()):
         crossing = bool(side[previous:end].any())
         if previous > begin and (crossing or end - begin > TILE):
-            compare(begin, previous)
-            begin = previous
+            compare(begin, previous, bits)
+            begin, bits = previous, 0
+        bits |= own_bits
         if crossing:
-            compare(previous, end)
-            begin = end
+            compare(previous, end, bits)
+            begin, bits = end, 0
         previous = end
     if begin < len(bucket):
-        compare(begin, len(bucket))
+        compare(begin, len(bucket), bits)
     if not lefts:
         return np.zeros(0, dtype=int), np.zeros(0, dtype=int)
     return np.concatenate(lefts), np.concatenate(rights)
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the same nodes as a-b, one a node, to the smallest that it can reach."""
+    nodes, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    root = smallest_reachable(len(nodes), places[:len(a)], places[len(a):])
+    moved = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[moved], nodes[root[moved]]
+
+
 def bucket_keys(radius: int) -> list[tuple[int, int]]:
     """(mask, number) of each pair of the radius + 2 blocks of the 64 bits."""
     cuts = [round(64 * k / (radius + 2)) for k in range(radius + 3)]
@@ -207,16 +243,24 @@ def links(codes: DataFrame, radius: int = 3, chunk: int = CHUNK, node: str = "fp
     tiles = rows.withColumn("own", own).select("bucket", "node", "fp", F.inline(meets)).select(
         F.xxhash64("bucket", "low", "high").alias("bucket"), "side", "node", "fp",
     )
-    ordered = tiles.repartition("bucket").sortWithinPartitions("bucket", "side", "fp")
+    # The first row of a run is its smallest node, so buckets that share members share their stars.
+    ordered = tiles.repartition("bucket").sortWithinPartitions("bucket", "side", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def edges(table: pa.Table) -> pa.RecordBatch:
-            code = table["fp"].to_numpy().view("<u8")
+        none = np.zeros(0, dtype=np.int64)
+        found, held = (none, none), None
+
+        def add(table: pa.Table) -> None:
+            nonlocal found
+            code, nodes = table["fp"].to_numpy().view("<u8"), table["node"].to_numpy()
             i, j = bucket_links(table["bucket"].to_numpy(), table["side"].to_numpy(), code, radius)
-            nodes = table["node"].to_numpy()
-            return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], ["a", "b"])
+            found = np.concatenate([found[0], nodes[i]]), np.concatenate([found[1], nodes[j]])
+            if len(found[0]) >= STARS:
+                found = stars(*found)
+
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in stars(*found)], ["a", "b"])
 
-        held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
@@ -224,10 +268,14 @@ def links(codes: DataFrame, radius: int = 3, chunk: int = CHUNK, node: str = "fp
             keys_here = held["bucket"].to_numpy()
             cut = int(np.searchsorted(keys_here, last))
             if cut >= TILE:
-                yield edges(held.slice(0, cut).combine_chunks())
+                add(held.slice(0, cut).combine_chunks())
                 held = held.slice(cut)
+                if len(found[0]) >= STARS:
+                    yield out()
+                    found = (none, none)
         if held is not None and len(held):
-            yield edges(held.combine_chunks())
+            add(held.combine_chunks())
+        yield out()
 
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
@@ -241,7 +289,8 @@ def simhash_components(
     Null, empty and wordless texts have fingerprint zero and are linked like any other.
     Fewer words than a shingle: all of them are the one shingle. Repeated rows stay, one
     result each. A null doc_id is no member of the minimum: its row takes the group's
-    smallest id, null if the group has no other. An empty table gives no rows.
+    smallest id, null if the group has no other. Very long texts count with all their shingles,
+    one document at a time. An empty table gives no rows.
     """
     prints = written(fingerprints(docs, words, id_col, text_col), "simhash")
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))

@@ -17,10 +17,10 @@ from placeledger.llm.copies import similar_groups
 from placeledger.llm.langid import BITS, LanguageModel, counts, judged, train as train_languages
 from placeledger.llm.lm import Batch, learn_weights, packed, packed_counts, unpacked, unpacked_counts
 from placeledger.llm.packing import piece_lengths
-from placeledger.llm.simhash import bucket_keys, bucket_links, fingerprint, near_pairs
+from placeledger.llm.simhash import ALL, bucket_keys, bucket_links, fingerprint, near_pairs, planes_of, within_radius
 from placeledger.llm.token_file import EliasFano
 from placeledger.llm.tokens import token_ids
-from placeledger.llm.toxicity import features_of, train as train_toxicity
+from placeledger.llm.toxicity import features_of, swapped, train as train_toxicity
 from placeledger.llm.vectors import join_tile
 
 
@@ -68,6 +68,23 @@ def test_bucket_links_stay_inside_buckets_and_cross_sides():
     assert sorted(zip(i.tolist(), j.tolist())) == [(1, 0), (2, 0), (6, 5), (7, 5)]
 
 
+def test_blocks_that_are_over_are_abandoned():
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 1 << 63, 512, dtype=np.uint64) << np.uint64(1)
+    planes = planes_of(codes)
+    place = np.arange(512)
+    later = np.packbits(place[None, :] > place[:, None], axis=1, bitorder="little").view("<u8")
+    near, steps = within_radius(codes, planes, 3, later)
+    assert not near.any()
+    # Half of the words are open, and most of them are over long before the last plane.
+    assert steps < 64 * later.size * 0.3
+    runs = np.packbits((place[None, :] > place[:, None]) & (place[None, :] // 8 == place[:, None] // 8), axis=1, bitorder="little").view("<u8")
+    assert within_radius(codes, planes, 3, runs)[1] < 64 * runs.size * 0.06
+    # Bits that are not asked for are not read.
+    near, steps = within_radius(codes, planes, 3, bits=0b1011)
+    assert steps <= 3 * near.size and (near == ALL).all() == ((codes & np.uint64(0b1011)) < 16).all()
+
+
 @pytest.mark.parametrize("crossing", [False, True])
 def test_a_large_group_of_near_codes_is_folded_block_by_block(crossing):
     rng = np.random.default_rng(2)
@@ -168,6 +185,21 @@ def test_weights_sum_to_one_and_unseen_contexts_have_no_longest_order():
     assert np.allclose(learn_weights([], 2, 1e-4).sum(axis=1), 1)
 
 
+def test_weights_are_those_of_a_plain_em():
+    rng = np.random.default_rng(1)
+    cells = [{"bucket": 5, "n": float(n), "sum0": n * a, "sum1": n * b}
+             for n, a, b in zip(rng.integers(1, 50, 30), rng.random(30) * 1e-3, rng.random(30) * 0.5)]
+    mix = [1 / 3] * 3
+    for _ in range(50):
+        share = [0.0] * 3
+        for c in cells:
+            estimate = [1e-4, c["sum0"] / c["n"], c["sum1"] / c["n"]]
+            total = sum(m * e for m, e in zip(mix, estimate))
+            share = [s + c["n"] * m * e / total for s, m, e in zip(share, mix, estimate)]
+        mix = [s / sum(share) for s in share]
+    assert np.allclose(learn_weights(cells, 2, 1e-4)[5], np.maximum(mix, 1e-6) / np.maximum(mix, 1e-6).sum(), atol=1e-9)
+
+
 def language_rows():
     rng = random.Random(1)
     vocab = {"aa": ["kapo", "lumi", "tola", "veka"], "bb": ["schwer", "zwischt", "nicht", "uber"], "cc": ["été", "où", "çaille", "même"]}
@@ -223,7 +255,7 @@ def toxic_rows(n=300):
 def test_swaps_stop_group_mentions_from_scoring():
     texts, labels = toxic_rows()
     docs = [features_of(t) for t in texts]
-    plain, fair = (train_toxicity(docs, labels, 0.5, penalty=p) for p in (0.0, 4.0))
+    plain, fair = (train_toxicity(docs, labels, 0.5, [swapped(t) for t in texts], penalty=p) for p in (0.0, 4.0))
     pairs = [["wax wbx muslims", "wax wbx women"], ["wcx muslims wdx", "wcx christians wdx"]]
     gap = [np.mean([abs(np.subtract(*m.scores(p))) for p in pairs]) for m in (plain, fair)]
     assert gap[1] < 0.2 * gap[0]
@@ -231,6 +263,22 @@ def test_swaps_stop_group_mentions_from_scoring():
     assert (fair.scores(["wax vile women", "wbx rotten"]) > 0.5).all()
 
 
+def test_mentions_are_swapped_form_by_form():
+    def found(text):
+        return features_of(text).tolist()
+
+    def swaps(text):
+        return [s.tolist() for s in swapped(text)]
+
+    assert swaps(None) == [] and swaps("no group is named") == []
+    assert found("the man spoke") in swaps("The Woman spoke.") and found("the men spoke") not in swaps("The Woman spoke.")
+    assert found("les hommes") in swaps("les musulmans")
+    assert found("die Christen") in swaps("die Muslime") and found("die Frauen") in swaps("die Muslime")
+    assert found("une loi juive") in swaps("une loi islamique")
+    # A text that holds the other name already has it once.
+    assert swaps("muslims, christians")[0] == found("christians, muslims")
+
+
 def test_toxic_scores_of_odd_texts():
     texts, labels = toxic_rows(100)
     model = train_toxicity([features_of(t) for t in texts], labels, 0.5)
