@@ -91,3 +91,10 @@ def drop_step(spark: SparkSession, path: str) -> None:
     """Delete a step that nothing will read again, in whatever store the shared folder is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in whatever store it is; none where there is no such folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(place)) if files.exists(place) else []

@@ -6,6 +6,7 @@ its own output instead of adding to it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from placeledger.operators.classify import classify_entities
 from placeledger.operators.merge import merge_sightings
 from placeledger.operators.parse_search import parse_search
+from placeledger.sources import buckets
 from placeledger.sources.sinks import read_snapshot, versions, write_snapshot
 
 
@@ -56,6 +58,22 @@ def merge_available(stream: DataFrame, root: str, checkpoint: str, as_of: Column
     )
 
 
+def merge_touched(stream: DataFrame, root: str, checkpoint: str,
+                  merge: Callable[[DataFrame, DataFrame], DataFrame], keep: int = 2) -> StreamingQuery:
+    """Merge each micro-batch into a bucketed table: only the buckets of the batch's keys are read
+    and written again, and versions older than the last `keep` go. A replayed batch is known
+    by its name, which the version it made still has."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        buckets.merge_batch(batch, root, merge, f"{stream_id(spark, checkpoint)}-{batch_id}")
+        buckets.expire_versions(spark, root, keep)
+
+    return (
+        stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id a stream keeps in its checkpoint across restarts."""
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]

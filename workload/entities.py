@@ -187,22 +187,28 @@ def identity_match(spark, sf):
     return match_existing(_obs(spark, sf), view(spark, sf, "v_salons"))
 
 
-@query("""
+COMPONENTS = """
     WITH RECURSIVE k AS (SELECT c_custkey AS seq, n_regionkey AS r, 'n' || c_custkey // 3 AS name,
         'a' || (c_custkey + 1) // 4 AS addr, CAST(c_custkey // 2 AS VARCHAR) AS phone FROM customer JOIN nation ON c_nationkey = n_nationkey),
     e AS (SELECT a.seq AS s, b.seq AS t FROM k a JOIN k b ON a.r = b.r AND a.name = b.name AND (a.addr = b.addr OR a.phone = b.phone)),
     reach AS (SELECT seq AS s, seq AS t FROM k UNION SELECT reach.s, e.t FROM reach JOIN e ON reach.t = e.s)
     SELECT s AS seq, min(t) AS component FROM reach GROUP BY s
-""")
-def entity_components(spark, sf):
+"""
+
+
+def _linked_obs(spark, sf):
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
-    obs = c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(
+    return c.join(n, c["c_nationkey"] == n["n_nationkey"]).select(
         F.col("c_custkey").alias("seq"), F.col("n_regionkey").alias("region_id"),
         F.lit("2GIS").alias("external_source"), F.lit(None).cast("string").alias("external_id"),
         E("'n' || c_custkey div 3").alias("normalized_name"), E("'a' || (c_custkey + 1) div 4").alias("normalized_address"),
         E("cast(c_custkey div 2 as string)").alias("normalized_phone"),
         F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"))
-    return resolve_batch(obs)
+
+
+@query(COMPONENTS)
+def entity_components(spark, sf):
+    return resolve_batch(_linked_obs(spark, sf))
 
 
 @query("""
