@@ -39,6 +39,6 @@ def with_ids(state: DataFrame, current: DataFrame, *order: str) -> DataFrame:
     """`state` where rows without an id get the numbers after the highest id of `current`, in
     the order given."""
     top = current.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("top")).first()["top"]
-    stored = cut_lineage(state)
-    fresh = number_rows(stored.filter("id IS NULL").drop("id"), "id", *order, start=top + 1)
-    return stored.filter("id IS NOT NULL").unionByName(fresh.select(*stored.columns))
+    # Only the new rows are written and numbered; the others stay a plan.
+    fresh = number_rows(state.filter("id IS NULL").drop("id"), "id", *order, start=top + 1)
+    return state.filter("id IS NOT NULL").unionByName(fresh.select(*state.columns))

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from placeledger.session import list_names
+
 
 def write_snapshot(df: DataFrame, root: str, version: str | None = None,
                    partition_by: list[str] | None = None) -> str:
@@ -23,18 +25,25 @@ def write_snapshot(df: DataFrame, root: str, version: str | None = None,
 
 
 def move_pointer(spark: SparkSession, root: str, version: str) -> None:
-    pointer = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("written_at"))
+    """Make a version the current one. Pointers are numbered: clocks of different drivers
+    have no say in which is the last."""
+    known = list_names(spark, f"{root}/_pointers")
+    number = versions(spark, root).agg(F.max("number")).first()[0] + 1 if known else 0
+    pointer = spark.range(1).select(
+        F.lit(version).alias("version"), F.current_timestamp().alias("written_at"), F.lit(number).cast("bigint").alias("number"))
     pointer.coalesce(1).write.mode("append").parquet(f"{root}/_pointers")
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """(version, written_at) of every version that was made current, one row each time."""
-    return spark.read.parquet(f"{root}/_pointers")
+    """(version, written_at, number) of every version that was made current, one row each time."""
+    stored = spark.read.schema("version string, written_at timestamp, number bigint").parquet(f"{root}/_pointers")
+    # Pointers without a number are older than all that have one.
+    return stored.withColumn("number", F.coalesce("number", F.lit(-1).cast("bigint")))
 
 
 def current_version(spark: SparkSession, root: str) -> str:
     """The version made current last; raises when there is none yet."""
-    return versions(spark, root).agg(F.max_by("version", "written_at").alias("version")).first()["version"]
+    return versions(spark, root).agg(F.max_by("version", F.struct("number", "written_at")).alias("version")).first()["version"]
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:

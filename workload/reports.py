@@ -402,6 +402,10 @@ def grid_cell_counts(spark, sf):
     return grid_counts(boundaries, grid_cells(boundaries))
 
 
+# Files of one landing, which are written by as many tasks.
+LANDED_FILES = 4
+
+
 def _event_stream(spark, sf):
     schema = table(spark, sf, "events").schema
     return spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
@@ -426,11 +430,11 @@ def stream_ingest(spark, sf):
 
 
 def _landed_events(spark, sf):
-    """Events landed file by file, later files later, and read back one file a micro-batch."""
+    """Events landed in three writes of several files each, and read back a write a micro-batch."""
     events, landing = table(spark, sf, "events"), run_dir(spark, "landing")
     for part in range(3):
-        events.filter(F.col("event_id") % 3 == part).coalesce(1).write.mode("append").parquet(landing)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        events.filter(F.col("event_id") % 3 == part).repartition(LANDED_FILES).write.mode("append").parquet(landing)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", LANDED_FILES).parquet(landing)
 
 
 LANDED = """

@@ -8,7 +8,9 @@ from placeledger.fixed_values import REGIONS
 from placeledger.functions import jsons as J, prices, text
 from placeledger.functions.geo import cell_radius_m
 from placeledger.operators.cells import attempt_errors
+from placeledger.operators.backfill import backfill_counters
 from placeledger.operators.merge import canonical_candidates
+from placeledger.operators.numbering import number_rows
 from placeledger.operators.parse_details import enrichment_counters, parse_details
 from placeledger.operators.parse_search import category_names, parse_search
 from placeledger.operators.reclassify import classifier_input, reclassify, reclassify_counters
@@ -88,8 +90,10 @@ def export_written(spark, sf):
     args = (_salons(spark, sf), view(spark, sf, "v_regions"), _contacts(spark, sf), view(spark, sf, "v_prices"))
     datasets = R.export_datasets(*args, view(spark, sf, "v_grids"), "2024-06-01", "store", "v2")
     # Rows keep their order in the file; its number is the place.
-    numbered = {n: df.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))) if n == "accepted" else df
-                for n, df in datasets.items()}
+    def placed(df):
+        return number_rows(df.withColumn("_order", F.monotonically_increasing_id()), "place", "_order", start=1).drop("_order")
+
+    numbered = {n: placed(df) if n == "accepted" else df for n, df in datasets.items()}
     parts = []
     for fmt in ("csv", "parquet"):
         root = run_dir(spark, f"report-{fmt}")
@@ -252,3 +256,11 @@ def scan_errors(spark, sf):
         table(spark, sf, "orders").select(F.col("o_orderkey").alias("grid_cell_id"), (F.col("o_custkey") % 100).alias("cell")), "grid_cell_id")
     _, pages = parse_search(bodies.drop("grid_cell_id").withColumnRenamed("cell", "grid_cell_id"))
     return attempt_errors(pages).withColumnRenamed("grid_cell_id", "cell")
+
+
+@query(counted("backfill_actions", """
+    CAST(count(*) AS BIGINT) AS processed, CAST(count(*) FILTER (WHERE action = 'create') AS BIGINT) AS created,
+    CAST(count(*) FILTER (WHERE action = 'update') AS BIGINT) AS updated, CAST(count(*) FILTER (WHERE action = 'unchanged') AS BIGINT) AS unchanged,
+    CAST(0 AS BIGINT) AS skipped, CAST(count(*) FILTER (WHERE conflicting_decisions) AS BIGINT) AS conflicts"""))
+def backfill_run_counters(spark, sf):
+    return backfill_counters(E.backfill_actions(spark, sf))
