@@ -34,8 +34,8 @@ def kind_of(v: Column) -> Column:
 
 
 def is_object(v: Column) -> Column:
-    """Looks at the value's own level only, whatever it contains."""
-    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+    """Looks at the value's own keys only, whatever it contains."""
+    return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
 def is_array(v: Column) -> Column:
@@ -53,24 +53,30 @@ def elements(v: Column, path: str = "$") -> Column:
 
 def string_at(v: Column, path: str) -> Column:
     """The value at `path` if it is a string."""
-    return let(get(v, path), lambda x: F.when(kind_of(x) == "string", get(x, "$", "string")))
+    return let(get(v, path), lambda x: F.when(F.schema_of_variant(x) == "STRING", get(x, "$", "string")))
 
 
-def _by_kind(v: Column, body) -> Column:
-    return let(F.struct(v.alias("v"), kind_of(v).alias("kind")), lambda x: body(x["v"], x["kind"]))
+def _container(schema: Column) -> Column:
+    return schema.startswith("OBJECT") | schema.startswith("ARRAY")
 
 
 def scalar_text(v: Column) -> Column:
-    """Text of a scalar, JSON of a container (keys sorted); NULL for JSON null."""
-    def text(x: Column, kind: Column) -> Column:
+    """Text of a scalar, JSON of a container (keys sorted); NULL for JSON null.
+
+    Branches go by how often they are met: a string, the usual case, is asked for its
+    type and read, and nothing else is computed."""
+    def text(x: Column) -> Column:
+        schema = F.schema_of_variant(x)
         return (
-            F.when(kind == "string", get(x, "$", "string"))
-            .when(kind.isin("object", "array"), F.to_json(x))
-            .when(kind == "boolean", F.initcap(get(x, "$", "string")))
-            .when(kind == "number", number_text(x))
+            F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(schema == "STRING", get(x, "$", "string"))
+            .when(schema == "VOID", F.lit(None).cast("string"))
+            .when(schema == "BOOLEAN", F.initcap(get(x, "$", "string")))
+            .when(_container(schema), F.to_json(x))
+            .otherwise(number_text(x))
         )
 
-    return let(v, lambda x: _by_kind(x, text))
+    return let(v, text)
 
 
 def number_text(v: Column) -> Column:
@@ -96,23 +102,26 @@ def text_at(v: Column, path: str) -> Column:
     return scalar_text(get(v, path))
 
 
+def _truth(x: Column) -> Column:
+    schema = F.schema_of_variant(x)
+    return (
+        F.when(x.isNull(), False)
+        .when(schema == "STRING", get(x, "$", "string") != "")
+        .when(schema == "VOID", False)
+        .when(schema == "BOOLEAN", get(x, "$", "boolean"))
+        .when(_container(schema), ~F.to_json(x).isin("{}", "[]"))
+        .otherwise(F.coalesce(get(x, "$", "double") != 0, F.lit(False)))
+    )
+
+
 def truthy(v: Column) -> Column:
     """False for missing, null, false, zero, empty text and empty containers."""
-    def test(x: Column, kind: Column) -> Column:
-        return F.coalesce(
-            F.when(kind == "number", get(x, "$", "double") != 0)
-            .when(kind == "boolean", get(x, "$", "boolean"))
-            .when(kind == "string", get(x, "$", "string") != "")
-            .when(kind.isin("object", "array"), ~F.to_json(x).isin("{}", "[]")),
-            F.lit(False),
-        )
-
-    return let(v, lambda x: _by_kind(x, test))
+    return let(v, _truth)
 
 
 def if_truthy(v: Column) -> Column:
     """The VARIANT itself, NULL unless truthy."""
-    return let(v, lambda x: F.when(truthy(x), x))
+    return let(v, lambda x: F.when(_truth(x), x))
 
 
 def first_truthy(*values: Column) -> Column:

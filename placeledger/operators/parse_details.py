@@ -61,7 +61,7 @@ def parse_details(responses: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame
         F.lit(PROVIDER).alias("external_source"),
         "external_id",
         J.text_at(item, "$.name").alias("name"),
-        F.coalesce(blank_to_null(J.text_at(item, "$.full_address_name")), address_of(item)).alias("full_address"),
+        F.coalesce(blank_to_null(J.text_at(item, "$.full_address_name")), address_of(J.get(item, "$.address"), J.get(item, "$.address_name"))).alias("full_address"),
         J.get(item, "$.point.lat", "double").alias("latitude"),
         J.get(item, "$.point.lon", "double").alias("longitude"),
         rubric_names(item).alias("categories"),

@@ -25,19 +25,23 @@ def response_status(body: Column) -> Column:
     )
 
 
-def address_of(item: Column) -> Column:
+# One walk over an item reads all fields of a sighting, instead of one walk a field.
+_ITEM = """struct<id:variant,name:variant,address:variant,address_name:variant,point:struct<lat:double,lon:double>,
+    description:variant,schedule:variant,org:variant>"""
+_CONTACT_GROUPS = "array<struct<contacts:array<struct<type:variant,value:variant,text:variant,comment:variant>>>>"
+
+
+def address_of(address: Column, address_name: Column) -> Column:
     """Address text: of an object its name, of a text itself, else `address_name`."""
-    primary = let(
-        J.get(item, "$.address"),
-        lambda a: F.when(J.is_object(a), J.get(a, "$.name")).otherwise(a),
-    )
-    return J.scalar_text(F.coalesce(J.if_truthy(primary), J.get(item, "$.address_name")))
+    primary = let(address, lambda a: F.when(J.is_object(a), J.get(a, "$.name")).otherwise(a))
+    return J.scalar_text(F.coalesce(J.if_truthy(primary), address_name))
 
 
 def rubric_names(item: Column) -> Column:
     """Names of the item's rubric objects, order kept."""
-    named = F.filter(J.elements(item, "$.rubrics"), lambda r: J.truthy(J.get(r, "$.name")))
-    return F.transform(named, lambda r: J.text_at(r, "$.name"))
+    rubrics = J.get(item, "$.rubrics", "array<struct<name:variant>>")
+    names = F.transform(F.coalesce(rubrics["name"], F.array().cast("array<variant>")), J.if_truthy)
+    return F.transform(F.filter(names, lambda n: n.isNotNull()), J.scalar_text)
 
 
 def category_names(item: Column) -> Column:
@@ -56,18 +60,16 @@ def category_names(item: Column) -> Column:
 
 def contact_entries(item: Column) -> Column:
     """Contact objects of all groups, in order, as struct(type, value, comment)."""
-    groups = J.elements(item, "$.contact_groups")
-    contacts = F.flatten(F.transform(groups, lambda g: J.elements(g, "$.contacts")))
+    groups = F.filter(J.get(item, "$.contact_groups", _CONTACT_GROUPS)["contacts"], lambda g: g.isNotNull())
     entries = F.transform(
-        contacts,
+        F.flatten(groups),
         lambda c: F.struct(
-            F.coalesce(J.text_at(c, "$.type"), F.lit("")).alias("type"),
-            J.scalar_text(
-                F.coalesce(J.if_truthy(J.get(c, "$.value")), J.get(c, "$.text"))
-            ).alias("value"),
-            J.text_at(c, "$.comment").alias("comment"),
+            F.coalesce(J.scalar_text(c["type"]), F.lit("")).alias("type"),
+            J.scalar_text(F.coalesce(J.if_truthy(c["value"]), c["text"])).alias("value"),
+            J.scalar_text(c["comment"]).alias("comment"),
         ),
     )
+    entries = F.coalesce(entries, F.array().cast("array<struct<type:string,value:string,comment:string>>"))
     return F.filter(entries, lambda c: c["value"].isNotNull())
 
 
@@ -102,16 +104,20 @@ def parse_search(responses: DataFrame, page_size: int = 10) -> tuple[DataFrame,
         "region_id", "grid_cell_id", "query", "page", "source_url", "fetched_at",
         F.posexplode("_items").alias("item_pos", "item"),
     )
-    exploded = stage(exploded, _contacts=contact_entries(F.col("item")))
     item = F.col("item")
+    exploded = stage(exploded, _contacts=contact_entries(item), _read=J.get(item, "$", _ITEM))
+
+    def read_text(name: str) -> Column:
+        return J.scalar_text(F.col("_read")[name])
+
     sightings = exploded.select(
         "region_id", "page", "item_pos",
         F.lit(PROVIDER).alias("external_source"),
-        J.text_at(item, "$.id").alias("external_id"),
-        F.coalesce(J.text_at(item, "$.name"), F.lit("")).alias("name"),
-        address_of(item).alias("address"),
-        J.get(item, "$.point.lat", "double").alias("latitude"),
-        J.get(item, "$.point.lon", "double").alias("longitude"),
+        read_text("id").alias("external_id"),
+        F.coalesce(read_text("name"), F.lit("")).alias("name"),
+        address_of(F.col("_read.address"), F.col("_read.address_name")).alias("address"),
+        F.col("_read.point.lat").alias("latitude"),
+        F.col("_read.point.lon").alias("longitude"),
         _first_value(F.col("_contacts"), "phone", "phone_number").alias("phone"),
         _first_value(F.col("_contacts"), "website", "site").alias("website"),
         F.transform(
@@ -119,9 +125,9 @@ def parse_search(responses: DataFrame, page_size: int = 10) -> tuple[DataFrame,
             lambda c: c["value"],
         ).alias("social_links"),
         rubric_names(item).alias("categories"),
-        J.text_at(item, "$.description").alias("description"),
-        J.text_at(item, "$.schedule").alias("working_hours"),
-        J.text_at(item, "$.org").alias("branch_info"),
+        read_text("description").alias("description"),
+        read_text("schedule").alias("working_hours"),
+        read_text("org").alias("branch_info"),
         F.to_json(item).alias("raw_payload"),
         "source_url",
         F.col("query").alias("discovered_query"),
