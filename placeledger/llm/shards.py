@@ -2,7 +2,8 @@
 
 Pass one scatters records into buckets by seeded hashes: a shard by the largest of one hash
 per shard (so one more shard takes rows only into itself), and inside the shard as many
-buckets as its bytes need at `bucket_bytes` each. Pass two shuffles each bucket's
+buckets as its bytes need at `bucket_bytes` each, by a hash of id and text, so that rows that
+share an id (or have none) spread over all of them. Pass two shuffles each bucket's
 positions by Fisher-Yates (Spark's `shuffle`) and writes the records in that order.
 Only positions are held in an array; the records themselves are sorted and can spill.
 """
@@ -31,7 +32,7 @@ def scatter(docs: DataFrame, shards: int, bucket_bytes: int, seed: int) -> DataF
         (F.coalesce(F.octet_length("text"), F.lit(0)) + RECORD_BYTES).cast("long").alias("size"),
         (F.array_position("weights", best) - 1).cast("int").alias("shard"),
         (F.xxhash64("doc_id", F.lit(shards), F.lit(seed)) > best).alias("_moves"),
-        F.xxhash64("doc_id", F.lit(seed + 1)).alias("key"),
+        F.xxhash64("doc_id", "text", F.lit(seed + 1)).alias("key"),
     )
     sums = dealt.groupBy("shard").agg(F.sum("size").alias("bytes")).collect()
     parts = {r["shard"]: max(1, -(-r["bytes"] // bucket_bytes)) for r in sums}
@@ -61,8 +62,9 @@ def external_shuffle(
     shard), grown_shard (its shard if there was one shard more).
 
     The shard follows from doc_id and the number of shards alone. A null doc_id is an id
-    like any other; a null text has size 16. Repeated rows get a slot each, in one bucket;
-    an empty table gives no rows.
+    like any other, so its rows share a shard but not a bucket; a null text has size 16. A
+    very long text is a record like any other; its bucket may exceed `bucket_bytes` by it.
+    Rows equal in id and text get a slot each, in one bucket; an empty table gives no rows.
     """
     scattered = scatter(records(docs, id_col, text_col), shards, bucket_bytes, seed)
     slots = permutations(scattered, seed)

@@ -21,7 +21,7 @@ from placeledger.llm.langid import identify_languages, predict_languages
 from placeledger.llm.packing import pack, piece_digests, write_buckets
 from placeledger.llm.preferences import format_preferences
 from placeledger.llm.queries import QUERIES
-from placeledger.llm.shards import external_shuffle, shard_digests
+from placeledger.llm.shards import external_shuffle, scatter, shard_digests
 from placeledger.llm.simhash import fingerprint, simhash_components
 from placeledger.llm.sql import ORACLES
 from placeledger.llm.token_file import token_digests
@@ -194,6 +194,15 @@ def test_one_more_shard_takes_rows_only_into_itself(spark):
     assert max(counts.values()) < 1.25 * min(counts.values())
 
 
+def test_rows_without_an_id_share_a_shard_but_not_a_bucket(spark, frame):
+    docs = frame([{"doc_id": None, "text": f"text {i} " * 20} for i in range(400)], "doc_id long, text string")
+    rows = scatter(docs, 4, 4000, 17).select("shard", "bucket").collect()
+    sizes = [n for _, n in Counter((r["shard"], r["bucket"]) for r in rows).items()]
+    assert len({r["shard"] for r in rows}) == 1 and len(sizes) > 10 and max(sizes) < 100
+    shards = shard_digests(docs, 4, bucket_bytes=4000).collect()
+    assert sorted(r["slot"] for r in shards) == list(range(400))
+
+
 def test_order_is_shuffled_and_repeatable(spark):
     docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     first, again = (external_shuffle(docs, 2, 8000).orderBy("shard", "slot").collect() for _ in range(2))
