@@ -90,7 +90,7 @@ def page_completeness(spark, sf):
 
 @query("""
     SELECT o_custkey % 100 AS cell, o_orderpriority AS query, CAST(max(page) AS INT) AS pages_read, CAST(sum(n) AS BIGINT) AS items_seen,
-           bool_or(more) AS has_more FROM (
+           bool_or(more) AS has_more, bool_or(more) AND max(page) >= 3 AS cut_by_limit FROM (
       SELECT *, o_orderkey % 3 + 1 AS page, 10 AS n, o_orderkey % 3 = 2 AS more FROM orders) GROUP BY 1, 2
 """)
 def scan_coverage_by_cell(spark, sf):
@@ -100,7 +100,7 @@ def scan_coverage_by_cell(spark, sf):
         (F.col("o_orderkey") % 3 == 2).alias("has_next_page"))
     # The last page decides; here page 3 always has more and the others never.
     return scan_coverage(pages, 3).select(
-        F.col("grid_cell_id").alias("cell"), "query", "pages_read", "items_seen", "has_more")
+        F.col("grid_cell_id").alias("cell"), "query", "pages_read", "items_seen", "has_more", "cut_by_limit")
 
 
 def _details_bodies(spark, sf):
@@ -109,6 +109,7 @@ def _details_bodies(spark, sf):
         F.concat(F.lit("b"), c).alias("id"), F.col("c_name").alias("name"),
         F.when(i % 2 == 0, F.concat(F.lit("Full "), c)).alias("full_address_name"),
         F.struct(F.col("c_mktsegment").alias("name")).alias("address"),
+        F.struct(F.struct(F.concat(F.lit("0"), (i % 10).cast("string"), F.lit(":00")).alias("from")).alias("Mon")).alias("schedule"),
         F.struct(c.alias("id")).alias("org"), F.when(i % 3 == 0, F.lit("2024-01-01")).alias("last_update"),
         F.array(F.struct(F.array(
             F.struct(F.lit("phone").alias("type"), F.concat(F.lit("8 900 "), F.lpad(c, 7, "0")).alias("value")),
@@ -139,11 +140,13 @@ def details_status(spark, sf):
 @query("""
     SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN 'Full ' || c_custkey ELSE c_mktsegment END AS full_address,
            CAST(c_custkey AS VARCHAR) AS organization_id, 'b' || c_custkey AS branch_id,
-           CASE WHEN c_custkey % 3 = 0 THEN '2024-01-01' END AS provider_updated_at FROM customer WHERE c_custkey % 10 > 4
+           CASE WHEN c_custkey % 3 = 0 THEN '2024-01-01' END AS provider_updated_at,
+           '{"Mon":{"from":"0' || c_custkey % 10 || ':00"}}' AS working_hours, '{"id":"' || c_custkey || '"}' AS branch_info
+    FROM customer WHERE c_custkey % 10 > 4
 """)
 def details_fields(spark, sf):
     return parse_details(_details_bodies(spark, sf))[0].select(
-        "id", "name", "full_address", "organization_id", "branch_id", "provider_updated_at")
+        "id", "name", "full_address", "organization_id", "branch_id", "provider_updated_at", "working_hours", "branch_info")
 
 
 @query("""
@@ -523,18 +526,42 @@ def reclassify_diff(spark, sf):
     return reclassify(salons, "v2", RULES).select("id", "new_status", "business_profile", "rejection_reason", "changed")
 
 
+def _decided_half(spark, sf):
+    salons = view(spark, sf, "v_salons").select("id", "filter_status", "business_profile", "classifier_version")
+    decided = salons.filter("id % 2 = 0").select("id").withColumns({
+        "accepted": F.lit(True), "confidence": F.lit(0.9), "reason_codes": F.array(F.lit("r")), "business_profile": F.lit("nail_specialist"),
+        "rejection_reason": F.lit(None).cast("string"), "decision_name": F.lit("n"), "decision_categories": F.array(F.lit("c")),
+        "input_snapshot": F.lit("{}")})
+    return salons, decided
+
+
 @query("""
     SELECT id, CASE WHEN id % 2 = 0 THEN 'accepted' ELSE filter_status END AS filter_status,
       CASE WHEN id % 2 = 0 THEN 'v9' ELSE classifier_version END AS classifier_version,
       CASE WHEN id % 2 = 0 THEN 'nail_specialist' ELSE business_profile END AS business_profile FROM v_salons
 """)
 def classification_applied(spark, sf):
-    salons = view(spark, sf, "v_salons").select("id", "filter_status", "business_profile", "classifier_version")
-    decided = salons.filter("id % 2 = 0").select("id").withColumns({
-        "accepted": F.lit(True), "confidence": F.lit(0.9), "reason_codes": F.array(F.lit("r")), "business_profile": F.lit("nail_specialist"),
-        "rejection_reason": F.lit(None).cast("string"), "decision_name": F.lit("n"), "decision_categories": F.array(F.lit("c")),
-        "input_snapshot": F.lit("{}")})
-    return apply_classification(salons, decided, "v9", as_of())[0]
+    return apply_classification(*_decided_half(spark, sf), "v9", as_of())[0]
+
+
+@query("""
+    SELECT id AS salon_id, 'v9' AS classifier_version, id % 4 = 0 AS accepted, CASE WHEN id % 4 = 0 THEN 'nail_specialist' ELSE 'unrelated' END AS business_profile,
+      'r' || id % 3 || ',' || segment AS reasons, CASE WHEN id % 4 <> 0 THEN 'why ' || segment END AS rejection_reason,
+      '{"name":"' || name || '"}' AS input_snapshot, TIMESTAMP '2024-06-01 00:00:00' AS classified_at FROM v_salons WHERE id % 2 = 0
+""")
+def classification_audit(spark, sf):
+    """The audit rows that a run of the classifier appends."""
+    yes = F.col("id") % 4 == 0
+    salons = view(spark, sf, "v_salons")
+    decided = salons.filter("id % 2 = 0").select(
+        "id", yes.alias("accepted"), F.lit(0.9).alias("confidence"),
+        F.array(F.concat(F.lit("r"), (F.col("id") % 3).cast("string")), "segment").alias("reason_codes"),
+        F.when(yes, "nail_specialist").otherwise("unrelated").alias("business_profile"),
+        F.when(~yes, F.concat(F.lit("why "), "segment")).alias("rejection_reason"),
+        F.col("name").alias("decision_name"), F.array("segment").alias("decision_categories"),
+        F.to_json(F.struct("name")).alias("input_snapshot"))
+    audit = apply_classification(salons.select("id", "filter_status"), decided, "v9", as_of())[1]
+    return audit.withColumn("reasons", F.array_join("reason_codes", ",")).drop("reason_codes")
 
 
 @query("""
