@@ -18,9 +18,8 @@ def col(c: Column | str) -> Column:
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once, however often the body mentions it.
 
-    The value is the start of a fold over nothing and the body its finish. Taking it out
-    of a mapped one-element array instead asks for the type of the whole body, by walking
-    it, for every row.
+    The value is the start of a fold over nothing and the body its finish, so that no
+    array is built around it.
     """
     return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
