@@ -51,6 +51,45 @@ def elements(v: Column, path: str = "$") -> Column:
     return F.coalesce(get(v, path, "array<variant>"), F.array().cast("array<variant>"))
 
 
+def objects_within(v: Column, keys: tuple[str, ...]) -> Column:
+    """Objects met from a VARIANT down through lists and the values of `keys`, as an array
+    in reading order: an object before what it holds, keys in the order given.
+
+    A fold takes the containers of one level to those of the next until none is left; the
+    text's opening brackets bound the number of levels. Nesting may have any depth that the
+    parser allows; a missing value holds nothing.
+    """
+    level = "array<struct<place:array<int>,value:variant>>"
+
+    def at(place: Column, value: Column, pos: Column) -> Column:
+        return F.struct(F.concat(place, F.array(pos)).alias("place"), value.alias("value"))
+
+    def inside(node: Column) -> Column:
+        place, value = node["place"], node["value"]
+        listed = F.transform(elements(value), lambda x, i: at(place, x, i))
+        named = F.array(*[at(place, get(value, f"$['{k}']"), F.lit(n)) for n, k in enumerate(keys)])
+        return F.filter(F.concat(listed, named), lambda n: is_object(n["value"]) | is_array(n["value"]))
+
+    def descend(state: Column, _: Column) -> Column:
+        todo = state["todo"]
+        objects = F.filter(todo, lambda n: is_object(n["value"]))
+        deeper = F.struct(
+            F.flatten(F.transform(todo, inside)).alias("todo"), F.concat(state["found"], objects).alias("found"))
+        return F.when(F.size(todo) == 0, state).otherwise(deeper)
+
+    def in_order(state: Column) -> Column:
+        before = lambda a, b: F.when(a["place"] < b["place"], -1).otherwise(1)
+        return F.transform(F.array_sort(state["found"], before), lambda n: n["value"])
+
+    def walk(value: Column) -> Column:
+        top = F.array(F.struct(F.array().cast("array<int>").alias("place"), value.alias("value"))).cast(level)
+        start = F.struct(top.alias("todo"), F.array().cast(level).alias("found"))
+        brackets = F.length(F.regexp_replace(F.to_json(value), r"[^\[{]+", ""))
+        return F.aggregate(F.sequence(F.lit(0), F.coalesce(brackets, F.lit(0))), start, descend, in_order)
+
+    return let(v, walk)
+
+
 def string_at(v: Column, path: str) -> Column:
     """The value at `path` if it is a string."""
     return let(get(v, path), lambda x: F.when(F.schema_of_variant(x) == "STRING", get(x, "$", "string")))

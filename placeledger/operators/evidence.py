@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from placeledger.fixed_values import SOURCE_JSON_LD, SOURCE_PROVIDER, SOURCE_TEXT
 from placeledger.functions import jsons as J
@@ -14,6 +11,8 @@ from placeledger.functions.text import blank_to_null, let, strip
 from placeledger.operators.stage import stage
 
 PRICE_KEYS = ("services", "prices", "service_prices", "menu")
+# Below these keys JSON-LD holds further nodes, in this order.
+LD_CHILDREN = ("itemListElement", "hasOfferCatalog", "@graph")
 # Where a piece of evidence stands in reading order, compared field by field.
 PLACE = "struct<page:bigint,part:int,block:int,pos:int>"
 
@@ -30,26 +29,26 @@ def _first_string(v: Column, *keys: str) -> Column:
     return F.coalesce(*[blank_to_null(strip(J.string_at(v, f"$.{k}"))) for k in keys])
 
 
-def _evidence_columns(df: DataFrame, price: Column, source_type: str) -> DataFrame:
-    """Common layout; a price is kept as text, and as a number if it was one.
+def _evidence_columns(df: DataFrame, price: Column, source_type: Column, line: Column) -> DataFrame:
+    """Common layout; a price is kept as text, and as a number if it was one. Where `line`
+    is not NULL the evidence is that line of text, its own name and price.
 
     `price_kind` is string, number, boolean or container. A boolean counts as a number
     without an amount; a container cannot be read as a price at all.
     """
     value = F.col("_price")
-    priced = stage(df, _price=price)
-    read = stage(
-        priced.filter(value.isNotNull()), _kind=J.kind_of(value), price_text=J.scalar_text(value)
-    )
+    priced = stage(df, _price=price, _line=line).filter("_price IS NOT NULL OR _line IS NOT NULL")
+    text = F.coalesce("_line", J.scalar_text(value))
+    read = stage(priced, _kind=F.when(F.col("_line").isNull(), J.kind_of(value)).otherwise("string"), price_text=text)
     return read.select(
         "salon_id", "place",
         F.col("name").alias("service_name_raw"),
         "price_text",
         F.when(F.col("_kind") == "number", J.get(value, "$", "double")).alias("price_number"),
         F.when(F.col("_kind").isin("object", "array"), "container").otherwise(F.col("_kind")).alias("price_kind"),
-        F.lit(source_type).alias("source_type"),
+        source_type.alias("source_type"),
         "source_url",
-        F.concat_ws(" ", "name", "price_text").alias("evidence_text"),
+        F.coalesce("_line", F.concat_ws(" ", "name", "price_text")).alias("evidence_text"),
     )
 
 
@@ -85,82 +84,69 @@ def structured_evidence(payloads: DataFrame) -> DataFrame:
         J.first_truthy(J.get(F.col("row"), "$.price"), J.get(F.col("row"), "$.amount")),
         _present(J.get(F.col("row"), "$.cost")),
     )
-    return _evidence_columns(named, price, SOURCE_PROVIDER)
+    return _evidence_columns(named, price, F.lit(SOURCE_PROVIDER), F.lit(None).cast("string"))
 
 
-def _ld_nodes_udf():
-    """Nodes of JSON-LD blocks at any depth, in reading order, as JSON texts.
+def page_lines(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
+    """Candidate lines of the visible text of pages: the kept columns, pos, line."""
+    lines = pages.select(*keep, visible_text(html).alias("_text"))
+    return lines.select(*keep, F.posexplode(candidate_lines("_text")).alias("pos", "line"))
 
-    Nesting has no bound, which no built-in expression covers; only pages that have
-    such a block get here. The functions are local so that they travel by value and
-    executors need no copy of this package.
-    """
-    import json as js
-
-    def nodes_of(text):
-        try:
-            todo = [js.loads(text)]
-        except (ValueError, RecursionError):
-            return []
-        nodes = []
-        while todo:
-            value = todo.pop()
-            if isinstance(value, list):
-                todo.extend(reversed(value))
-            elif isinstance(value, dict):
-                kept = {k: value[k] for k in ("name", "title", "offers", "price") if k in value}
-                nodes.append(js.dumps(kept))
-                children = ("itemListElement", "hasOfferCatalog", "@graph")
-                todo.extend(value[k] for k in children if value.get(k) is not None)
-        return nodes
-
-    def nodes_of_batches(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in blocks:
-            yield batch.map(nodes_of)
-
-    return F.pandas_udf(nodes_of_batches, T.ArrayType(T.StringType()))
 
+def _ld_pieces(html: str) -> Column:
+    """Nodes of a page's JSON-LD blocks, at any depth, as pieces of the page."""
+    def of_block(body: Column, block: Column) -> Column:
+        nodes = J.objects_within(J.lenient(body), LD_CHILDREN)
+        return F.transform(nodes, lambda node, pos: _piece(0, block, pos, node=node))
 
-def json_ld_evidence(pages: DataFrame) -> DataFrame:
-    """Named, priced nodes of the JSON-LD blocks of pages (salon_id, page_no,
-    source_url, html): the price of `offers` if that is an object, else of the node."""
-    blocks = pages.select(
-        "salon_id", "page_no", "source_url", F.posexplode(json_ld_blocks("html")).alias("block", "body")
-    )
-    nodes = blocks.withColumn("_nodes", _ld_nodes_udf()("body")).select(
-        "salon_id", "page_no", "source_url", "block", F.posexplode("_nodes").alias("pos", "node")
-    )
-    nodes = stage(nodes, node=J.lenient("node"))
+    return F.flatten(F.transform(json_ld_blocks(html), of_block))
+
+
+def _line_pieces(html: str) -> Column:
+    """Lines of a page's text that hold a number, as pieces of the page."""
+    lines = F.transform(
+        candidate_lines(visible_text(html)), lambda line, pos: _piece(1, F.lit(0), pos, line=line))
+    return F.filter(lines, lambda piece: F.rlike(piece["line"], F.lit(r"(?U)\d")))
+
+
+def _piece(part: int, block: Column, pos: Column, node: Column | None = None, line: Column | None = None) -> Column:
+    missing = F.lit(None)
+    return F.struct(
+        F.lit(part).alias("part"), block.alias("block"), pos.alias("pos"),
+        (missing.cast("variant") if node is None else node).alias("node"),
+        (missing.cast("string") if line is None else line).alias("line"))
+
+
+def _of_pieces(pages: DataFrame, pieces: Column) -> DataFrame:
+    """Evidence in the pieces of pages: a node counts with the price of its `offers` if that
+    is an object, else with its own; a line counts as it is."""
+    read = pages.select("salon_id", "page_no", "source_url", F.inline(pieces))
+    node, line = F.col("node"), F.col("line")
     named = stage(
-        nodes.select(
-            "salon_id", "source_url", "node",
-            _place(F.col("page_no"), 0, F.col("block"), F.col("pos")).alias("place"),
+        read.select(
+            "salon_id", "source_url", "node", "line",
+            _place(F.col("page_no"), F.col("part"), F.col("block"), F.col("pos")).alias("place"),
         ),
-        name=_first_string(F.col("node"), "name", "title"),
+        name=F.coalesce(line, _first_string(node, "name", "title")),
     ).filter("name IS NOT NULL")
-    node, offers = F.col("node"), J.get(F.col("node"), "$.offers")
+    offers = J.get(node, "$.offers")
     of_offers = F.coalesce(J.first_truthy(J.get(offers, "$.price")), _present(J.get(offers, "$.lowPrice")))
-    price = F.when(J.kind_of(offers) == "object", of_offers).otherwise(_present(J.get(node, "$.price")))
-    return _evidence_columns(named, price, SOURCE_JSON_LD)
+    of_node = F.when(J.is_object(offers), of_offers).otherwise(_present(J.get(node, "$.price")))
+    source = F.when(F.col("_line").isNull(), SOURCE_JSON_LD).otherwise(SOURCE_TEXT)
+    return _evidence_columns(named, F.when(line.isNull(), of_node), source, line)
 
 
-def page_lines(pages: DataFrame, *keep: str, html: str = "html") -> DataFrame:
-    """Candidate lines of the visible text of pages: the kept columns, pos, line."""
-    lines = pages.select(*keep, visible_text(html).alias("_text"))
-    return lines.select(*keep, F.posexplode(candidate_lines("_text")).alias("pos", "line"))
+def page_evidence(pages: DataFrame) -> DataFrame:
+    """All evidence of pages (salon_id, page_no, source_url, html): JSON-LD nodes and lines of
+    text. A page is read once, by one generator that gives both. No html, no evidence."""
+    return _of_pieces(pages, F.concat(_ld_pieces("html"), _line_pieces("html")))
+
+
+def json_ld_evidence(pages: DataFrame) -> DataFrame:
+    """The JSON-LD side of `page_evidence`; a broken block gives nothing."""
+    return _of_pieces(pages, _ld_pieces("html"))
 
 
 def text_evidence(pages: DataFrame) -> DataFrame:
-    """Lines of page text that hold a number; currency is optional in a price."""
-    lines = page_lines(pages, "salon_id", "page_no", "source_url")
-    return lines.filter(F.rlike("line", F.lit(r"(?U)\d"))).select(
-        "salon_id",
-        _place(F.col("page_no"), 1, 0, F.col("pos")).alias("place"),
-        F.col("line").alias("service_name_raw"),
-        F.col("line").alias("price_text"),
-        F.lit(None).cast("double").alias("price_number"),
-        F.lit("string").alias("price_kind"),
-        F.lit(SOURCE_TEXT).alias("source_type"),
-        "source_url",
-        F.col("line").alias("evidence_text"),
-    )
+    """The text side of `page_evidence`; currency is optional in a price."""
+    return _of_pieces(pages, _line_pieces("html"))

@@ -13,7 +13,7 @@ from placeledger.fixed_values import (
 )
 from placeledger.functions.prices import PRICE_TYPE, price_of_number, price_of_text
 from placeledger.operators.eligibility import accepted_or_unset
-from placeledger.operators.evidence import json_ld_evidence, structured_evidence, text_evidence
+from placeledger.operators.evidence import page_evidence, structured_evidence
 from placeledger.operators.service import match_service
 from placeledger.operators.stage import stage
 
@@ -85,7 +85,7 @@ def extract_prices(salons: DataFrame, details: DataFrame, pages: DataFrame, as_o
     """
     provider = judge_evidence(structured_evidence(latest_payloads(details)), words)
     fetched = pages.filter(F.col("fetch_error").isNull())
-    website = judge_evidence(json_ld_evidence(fetched).unionByName(text_evidence(fetched)), words)
+    website = judge_evidence(page_evidence(fetched), words)
     errors = pages.filter(F.col("fetch_error").isNotNull())
 
     weight = F.struct((F.col("verdict") == "ambiguous").alias("weak"), F.col("place"))
