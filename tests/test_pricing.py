@@ -189,3 +189,27 @@ def test_latest_payloads_per_salon(frame):
             for i in range(10)]
     got = sorted((r["salon_id"], r["id"], r["page"]) for r in latest_payloads(frame(rows, schemas.DETAIL_PAYLOAD)).collect())
     assert got == [(0, 2, 3), (0, 4, 2), (0, 6, 1), (1, 5, 3), (1, 7, 2), (1, 9, 1)]
+
+
+def test_nodes_in_reading_order(frame):
+    from placeledger.functions import jsons as J
+
+    rows = [{"t": t} for t in (
+        '[{"n":1,"@graph":[{"n":2},[{"n":3,"itemListElement":{"n":4}}]],"itemListElement":[{"n":5}]},{"n":6,"other":{"n":7}}]',
+        '{"n":1,"@graph":null,"hasOfferCatalog":"x"}', "[]", "5", "{broken", "", None)]
+    nodes = F.transform(J.objects_within(J.lenient("t"), ("itemListElement", "hasOfferCatalog", "@graph")),
+                        lambda v: J.get(v, "$.n", "int"))
+    got = [r[0] or [] for r in frame(rows, "t string").select(nodes).collect()]
+    assert got == [[1, 5, 2, 3, 4, 6], [1], [], [], [], [], []]
+
+
+def test_pages_are_read_once_and_without_python(frame, spark, tmp_path):
+    from placeledger.operators.evidence import page_evidence
+
+    spark.createDataFrame([(1, 1, "u", LD % '{"name":"a","price":1}' + "<p>line of 7 words</p>")],
+                          "salon_id bigint, page_no int, source_url string, html string").write.parquet(str(tmp_path / "p"))
+    found = page_evidence(spark.read.parquet(str(tmp_path / "p")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("FileScan") == 1
+    assert sorted((r["place"]["part"], r["service_name_raw"], r["price_text"]) for r in found.collect()) == [
+        (0, "a", "1"), (1, "line of 7 words", "line of 7 words")]
