@@ -195,3 +195,35 @@ def test_points_in_regions(frame, size):
     got = sorted((r["p"], r["region_id"]) for r in regions_of_points(points, regions, "p", size=size).collect())
     assert got == [(0, 1), (2, 2), (3, 2), (5, 3), (6, 3), (7, 3), (10, 1), (11, 2)]
     assert regions_of_points(points, regions.filter("false"), "p", size=size).collect() == []
+
+
+def test_history_prunes_replays_and_compacts(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from placeledger.sources import history as H
+
+    root = str(tmp_path / "history")
+    schema = "id bigint, region bigint, day string, folder_note string"
+    batch = lambda *rows: spark.createDataFrame(rows, schema)
+    first = batch((1, 1, "2024-01-01", "a"), (2, None, "2024-01-01", "b"), (3, 2, None, "c"), (1, 1, "2024-01-01", "a"))
+    assert H.append_history(first, root, ["region", "day"], "one")
+    assert not H.append_history(first, root, ["region", "day"], "one")
+    assert H.append_history(batch((4, 1, "2024-01-01", None), (5, None, "2024-01-01", "e")), root, ["region", "day"], "two")
+    assert H.append_history(batch(), root, ["region", "day"], "none")
+
+    def ids(where=None):
+        return sorted(r["id"] for r in H.read_history(spark, root, where).collect())
+
+    assert ids() == [1, 1, 2, 3, 4, 5] and ids(F.col("region") == 1) == [1, 1, 4]
+    plan = H.read_history(spark, root, F.col("region") == 1)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    folders = lambda: {(r["region"], r["day"]): (r["folders"], r["n_rows"]) for r in H.folder_counts(spark, root).collect()}
+    assert folders() == {(1, "2024-01-01"): (2, 3), (None, "2024-01-01"): (2, 2), (2, None): (1, 1)}
+    assert H.compact_history(spark, root) == 2 and H.compact_history(spark, root) == 0
+    assert folders() == {(1, "2024-01-01"): (1, 3), (None, "2024-01-01"): (1, 2), (2, None): (1, 1)}
+    assert ids() == [1, 1, 2, 3, 4, 5]
+    # A batch that was compacted away is still known by its name.
+    assert not H.append_history(first, root, ["region", "day"], "two") and ids() == [1, 1, 2, 3, 4, 5]
+    # Folders that no catalogue names do not count.
+    H._write(first, root, ["region", "day"], "died")
+    assert ids() == [1, 1, 2, 3, 4, 5]

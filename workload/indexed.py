@@ -11,7 +11,7 @@ from placeledger.operators.locate import regions_of_points
 from placeledger.operators.nearest import nearest_points
 from placeledger.operators.rings import assemble_rings
 from placeledger.session import run_dir
-from placeledger.sources import buckets as B
+from placeledger.sources import buckets as B, history as H
 from placeledger.streaming import flows
 from workload.entities import COMPONENTS, _linked_obs
 from workload.registry import query
@@ -224,3 +224,42 @@ def grid_cell_corners(spark, sf):
     """Every cell's corners and centre in degrees."""
     places = ("north", "south", "west", "east", "center_lat", "center_lon")
     return grid_cells(_boundaries(spark, sf)).select("region_id", "cell_order", *[F.round(c, 5).alias(c) for c in places])
+
+
+def _landed_history(spark, sf):
+    """Orders by region and year, landed in three batches; the first comes twice. Partitions
+    that more than one batch wrote to are compacted after the second."""
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("region_id"))
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    landed = table(spark, sf, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        F.col("o_orderkey").alias("id"), "o_totalprice", "region_id", F.year("o_orderdate").alias("year"))
+    root = run_dir(spark, "history")
+    for n, part in enumerate(("id % 3 = 0", "id % 3 = 1 AND region_id > 1", "id % 3 = 2 OR id % 3 = 1 AND NOT region_id > 1")):
+        for _ in range(2 if n == 0 else 1):
+            H.append_history(landed.filter(part), root, ["region_id", "year"], f"batch{n}")
+        if n == 1:
+            H.compact_history(spark, root)
+    return root
+
+
+HISTORY = """
+    SELECT o_orderkey AS id, o_totalprice, n_regionkey AS region_id, year(o_orderdate) AS year
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+"""
+
+
+@query(f"SELECT id, o_totalprice, CAST(region_id AS BIGINT) AS region_id, CAST(year AS INT) AS year FROM ({HISTORY}) WHERE region_id = 2")
+def history_of_one_region(spark, sf):
+    rows = H.read_history(spark, _landed_history(spark, sf), F.col("region_id") == 2)
+    return rows.withColumn("region_id", F.col("region_id").cast("bigint"))
+
+
+@query(f"""
+    SELECT CAST(region_id AS BIGINT) AS region_id, CAST(year AS INT) AS year, CAST(count(*) AS BIGINT) AS n_rows,
+      CAST(1 + max(CASE WHEN id % 3 = 2 OR NOT region_id > 1 AND id % 3 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS folders
+    FROM ({HISTORY}) GROUP BY ALL
+""")
+def history_folders(spark, sf):
+    """What is live after three batches and a compaction: at most two folders a partition."""
+    counts = H.folder_counts(spark, _landed_history(spark, sf))
+    return counts.withColumn("region_id", F.col("region_id").cast("bigint"))
