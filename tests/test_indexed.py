@@ -227,3 +227,34 @@ def test_history_prunes_replays_and_compacts(spark, tmp_path):
     # Folders that no catalogue names do not count.
     H._write(first, root, ["region", "day"], "died")
     assert ids() == [1, 1, 2, 3, 4, 5]
+
+
+def test_cell_life_in_a_stream(spark, tmp_path):
+    """Out of order, repeated, late and useless events; an end that comes after the time-out;
+    the state outlives a restart."""
+    from datetime import datetime, timedelta
+
+    from placeledger.streaming.cell_life import cell_changes, current_cells
+    from placeledger.streaming.flows import append_available
+
+    schema = "cell_id bigint, attempt int, event string, at timestamp"
+    at = lambda minutes: datetime(2024, 1, 1) + timedelta(minutes=minutes)
+    batches = [
+        [(1, 1, "complete", at(5)), (1, 1, "running", at(0)), (1, 1, "running", at(0)), (2, 1, "running", at(0)),
+         (3, 1, "running", at(1)), (3, 1, "failed", at(2)), (4, 2, "failed", at(9)), (4, 1, "running", at(3)),
+         (None, 1, "running", at(1)), (9, None, "running", at(1)), (9, 1, None, at(1)), (9, 1, "odd", at(1)), (9, 1, "failed", None)],
+        [(5, 1, "running", at(200)), (3, 2, "running", at(190)), (6, 2, "running", at(195))],
+        [(2, 1, "complete", at(250)), (5, 1, "running", at(260)), (7, 1, "complete", at(4)), (8, 1, "running", at(400))],
+    ]
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(schema).parquet(inbox)
+        append_available(cell_changes(stream, 2, 60, "10 minutes"), out, state).awaitTermination()
+    changes = spark.read.parquet(out)
+    got = {r["cell_id"]: (r["status"], r["attempts"], r["interrupted"]) for r in current_cells(changes).collect()}
+    assert got == {
+        1: ("completed", 1, False), 2: ("completed", 1, False), 3: ("in_progress", 2, True), 4: ("failed", 2, False),
+        5: ("pending", 1, True), 6: ("in_progress", 2, True), 8: ("in_progress", 1, False)}
+    steps = [(r["change"], r["status"], r["interrupted"]) for r in changes.filter("cell_id = 2").orderBy("change").collect()]
+    assert steps == [(1, "in_progress", False), (2, "pending", True), (3, "completed", False)]

@@ -13,6 +13,7 @@ from placeledger.operators.rings import assemble_rings
 from placeledger.session import run_dir
 from placeledger.sources import buckets as B, history as H
 from placeledger.streaming import flows
+from placeledger.streaming.cell_life import cell_changes, current_cells, numbered_attempts
 from workload.entities import COMPONENTS, _linked_obs
 from workload.registry import query
 from workload.reports import GRID_SQL, _boundaries, _landed_events
@@ -263,3 +264,37 @@ def history_folders(spark, sf):
     """What is live after three batches and a compaction: at most two folders a partition."""
     counts = H.folder_counts(spark, _landed_history(spark, sf))
     return counts.withColumn("region_id", F.col("region_id").cast("bigint"))
+
+
+RETRIES, STALE_DAYS = 11, 200
+
+
+@query(f"""
+    WITH a AS (SELECT o_custkey AS cell_id, o_orderstatus AS s, CAST(o_orderdate AS TIMESTAMP) AS began,
+        count(*) OVER (PARTITION BY o_custkey) AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS back FROM orders),
+    w AS (SELECT max(began + CASE s WHEN 'P' THEN INTERVAL 0 HOUR ELSE INTERVAL 1 HOUR END) - INTERVAL 1 DAY AS mark FROM a),
+    l AS (SELECT *, s = 'P' AND began + INTERVAL {STALE_DAYS} DAY < mark AS stale FROM a, w WHERE back = 1)
+    SELECT cell_id, CASE WHEN s = 'O' THEN 'completed' WHEN s = 'F' THEN CASE WHEN n < {RETRIES} THEN 'pending' ELSE 'failed' END
+        WHEN stale AND n < {RETRIES} THEN 'pending' ELSE 'in_progress' END AS status, CAST(n AS BIGINT) AS attempts, stale AS interrupted FROM l
+""")
+def stream_cells(spark, sf):
+    """Orders as attempts on their customers as cells, landed in three spans of time, each twice;
+    the stream is started again, which adds nothing."""
+    orders = table(spark, sf, "orders").withColumn("at", F.col("o_orderdate").cast("timestamp"))
+    attempts = numbered_attempts(orders.select(
+        F.col("o_custkey").alias("cell_id"), F.struct("o_orderdate", "o_orderkey").alias("id"), "at", "o_orderstatus"))
+    ended = F.when(F.col("o_orderstatus") == "O", "complete").when(F.col("o_orderstatus") == "F", "failed")
+    happened = F.filter(F.array(
+        F.struct(F.lit("running").alias("event"), F.col("at").alias("at")),
+        F.struct(ended.alias("event"), (F.col("at") + E("INTERVAL 1 HOUR")).alias("at"))), lambda e: e["event"].isNotNull())
+    rows = attempts.select("cell_id", "attempt", F.inline(happened))
+    landing, out, state = (run_dir(spark, name) for name in ("attempts", "cell-changes", "cell-changes-state"))
+    first, last = orders.agg(F.min("at"), F.max("at")).first()
+    cuts = [first, first + (last - first) / 3, first + (last - first) * 2 / 3, None]
+    for start, end in zip(cuts, cuts[1:]):
+        span = rows.filter(F.col("at") >= start) if end is None else rows.filter((F.col("at") >= start) & (F.col("at") < end))
+        span.unionByName(span).repartition(4).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(landing)
+    for _ in range(2):
+        flows.append_available(cell_changes(stream, RETRIES, STALE_DAYS * 24 * 60), out, state).awaitTermination()
+    return current_cells(spark.read.parquet(out)).drop("at")
