@@ -70,6 +70,8 @@ DETAIL_PAYLOAD = """
     id bigint, salon_id bigint, status string, sanitized_source_url string, raw_payload_json string
 """
 
+FETCHED_PAGE = "url string, html string, fetch_error string, fetched_at timestamp_ntz"
+
 WEB_PAGE = "salon_id bigint, page_no int, source_url string, html string, fetch_error string"
 
 PROFILE_SIGHTING = """

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from placeledger import schemas
+from placeledger.functions.urls import page_url, redact_url
+from placeledger.operators.joins import lookup
 
 
 def _reader(spark: SparkSession, stream: bool):
@@ -25,6 +27,26 @@ def details_responses(spark: SparkSession, path: str, fmt: str = "json", stream:
     return _reader(spark, stream).schema(schemas.DETAILS_RESPONSE).format(fmt).load(path)
 
 
+def web_pages(spark: SparkSession, path: str, fmt: str = "parquet", stream: bool = False) -> DataFrame:
+    """Fetched pages: url, html or the error that fetching it gave, and when it was fetched."""
+    return _reader(spark, stream).schema(schemas.FETCHED_PAGE).format(fmt).load(path)
+
+
+def planned_pages(frontier: DataFrame, fetched: DataFrame) -> DataFrame:
+    """The pages that were planned for salons (salon_id, page_no, url) with their last fetch, as
+    `plans.pricing` reads them; one that was never fetched has the error `not fetched`.
+
+    URLs meet in redacted form. A page of many salons, as a chain has, is kept once until
+    the join; of equally old fetches one with html wins, then the greatest html.
+    """
+    newest = F.struct("fetched_at", F.col("html").isNotNull(), "html")
+    last = fetched.select(redact_url(page_url("url")).alias("url"), "html", "fetch_error", "fetched_at").groupBy("url").agg(
+        F.max_by(F.struct("html", "fetch_error"), newest).alias("_page"))
+    return lookup(frontier, last, "url", "left").select(
+        "salon_id", "page_no", F.col("url").alias("source_url"), "_page.html",
+        F.when(F.col("_page").isNull(), "not fetched").otherwise(F.col("_page.fetch_error")).alias("fetch_error"))
+
+
 _POINT = "array<double>"
 _BOUNDARY_FILE = f"""
     region_id bigint, region_name string, source string, fetched_at string,

@@ -210,6 +210,25 @@ def test_pages_are_read_once_and_without_python(frame, spark, tmp_path):
                           "salon_id bigint, page_no int, source_url string, html string").write.parquet(str(tmp_path / "p"))
     found = page_evidence(spark.read.parquet(str(tmp_path / "p")))
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and plan.count("FileScan") == 1
+    assert "EvalPython" not in plan and "InPandas" not in plan and plan.count("FileScan") == 1
     assert sorted((r["place"]["part"], r["service_name_raw"], r["price_text"]) for r in found.collect()) == [
         (0, "a", "1"), (1, "line of 7 words", "line of 7 words")]
+
+
+def test_planned_pages_take_the_last_fetch(frame):
+    from placeledger.sources.readers import planned_pages
+
+    at = lambda day: datetime(2024, 1, day)
+    plan = frame(
+        [{"salon_id": 1, "page_no": 1, "url": "https://s.ru/"}, {"salon_id": 2, "page_no": 1, "url": "https://s.ru/"},
+         {"salon_id": 2, "page_no": 2, "url": "https://s.ru/p"}, {"salon_id": 3, "page_no": 1, "url": None},
+         {"salon_id": 4, "page_no": 1, "url": "https://never.ru/"}], "salon_id bigint, page_no int, url string")
+    fetched = frame(
+        [{"url": "https://s.ru/", "html": "old", "fetched_at": at(1)}, {"url": "https://s.ru/", "html": "new", "fetched_at": at(2)},
+         {"url": "https://s.ru/", "fetch_error": "same time", "fetched_at": at(2)}, {"url": None, "html": "x", "fetched_at": at(3)},
+         {"url": "https://s.ru/p", "html": "was", "fetched_at": at(1)}, {"url": "https://s.ru/p", "fetch_error": "gone", "fetched_at": at(2)}],
+        schemas.FETCHED_PAGE)
+    got = sorted((r["salon_id"], r["page_no"], r["html"], r["fetch_error"]) for r in planned_pages(plan, fetched).collect())
+    assert got == [(1, 1, "new", None), (2, 1, "new", None), (2, 2, None, "gone"), (3, 1, None, "not fetched"),
+                   (4, 1, None, "not fetched")]
+    assert [r["fetch_error"] for r in planned_pages(plan, fetched.limit(0)).collect()] == ["not fetched"] * 5

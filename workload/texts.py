@@ -11,6 +11,8 @@ from placeledger.operators.links import crawl_frontier, internal_links
 from placeledger.operators.progress_log import log_counts
 from placeledger.operators.service import match_service
 from placeledger.plans.pricing import best_evidence, judge_evidence
+from placeledger.session import run_dir
+from placeledger.sources.readers import planned_pages, web_pages
 from workload.registry import any_of, query
 from workload.views import table, view
 
@@ -236,7 +238,7 @@ def page_links(spark, sf):
     return internal_links(table(spark, sf, "pages"), "page_id", LINK_WORDS, url="url")
 
 
-@query(f"""
+CRAWLED = f"""
     SELECT page_id, CAST(rn AS INT) AS page_no, url FROM (
       SELECT page_id, url, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM (
         SELECT page_id, url, min(pos) AS pos FROM (
@@ -244,11 +246,34 @@ def page_links(spark, sf):
                  || CASE WHEN query = '' THEN '' ELSE '?' || query END AS url FROM ({URL_SQL})
           UNION ALL SELECT page_id, pos, base || href FROM ({LINKS})) GROUP BY page_id, url))
     WHERE rn <= 4
-""")
+"""
+
+
+@query(CRAWLED)
 def crawl_pages(spark, sf):
     return crawl_frontier(table(spark, sf, "pages"), "page_id", words=LINK_WORDS, url="url")
 
 
+@query("""
+    WITH c AS ({CRAWLED}), f AS (SELECT u.url, p.page_id, p.html FROM pages p JOIN (SELECT page_id, url FROM ({CRAWLED}) WHERE page_no = 1) u USING (page_id)),
+    l AS (SELECT url, max(page_id) AS last FROM f GROUP BY url)
+    SELECT c.page_id, c.page_no, c.url, CASE WHEN last % 5 > 1 THEN f.size END AS size,
+      CASE WHEN last IS NULL THEN 'not fetched' WHEN last % 5 < 2 THEN 'timeout' END AS fetch_error
+    FROM c LEFT JOIN (SELECT l.url, l.last, length(f.html) AS size FROM l JOIN f ON f.url = l.url AND f.page_id = l.last) f ON f.url = c.url
+""".replace("{CRAWLED}", CRAWLED))
+def pages_planned(spark, sf):
+    """The crawl plan of every page joined with what was fetched; two of five fetches failed."""
+    landed = run_dir(spark, "fetched")
+    pages = table(spark, sf, "pages")
+    failed = F.col("page_id") % 5 < 2
+    pages.select(
+        "url", F.when(~failed, F.col("html")).alias("html"), F.when(failed, "timeout").alias("fetch_error"),
+        F.timestamp_seconds("page_id").cast("timestamp_ntz").alias("fetched_at")).write.parquet(landed)
+    plan = crawl_frontier(pages, "page_id", words=LINK_WORDS, url="url").withColumnRenamed("page_id", "salon_id")
+    return planned_pages(plan, web_pages(spark, landed)).select(
+        F.col("salon_id").alias("page_id"), "page_no", F.col("source_url").alias("url"), F.length("html").alias("size"), "fetch_error")
+
+
 @query("""
     SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN 'exact' WHEN 1 THEN 'from' WHEN 2 THEN 'range' ELSE 'exact' END AS price_type,
       CASE WHEN p_partkey % 4 = 2 THEN NULL ELSE CAST(round_even(p_retailprice * 100, 0) AS BIGINT) END AS amount_minor,
