@@ -37,9 +37,12 @@ def _fixed5(x: Column) -> Column:
             .otherwise(F.rint(s["p"]).cast("long"))
         )
 
+    # Zero has a sign too, which no comparison sees.
+    below_zero = (x == 0) & x.cast("string").startswith("-")
+
     def written(n: Column) -> Column:
         return F.concat(
-            F.when(x < 0, "-").otherwise(""),
+            F.when((x < 0) | below_zero, "-").otherwise(""),
             F.floor(n / 100000).cast("string"),
             F.lit("."),
             F.lpad(F.pmod(n, F.lit(100000)).cast("string"), 5, "0"),
