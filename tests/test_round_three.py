@@ -40,3 +40,25 @@ def test_sign_of_zero_in_coordinate_keys(spark, against_sql):
     customer = spark.createDataFrame(rows, "c_custkey bigint, c_nationkey int, c_acctbal double")
     got, wanted = against_sql("coordinate_key_dupes", customer=customer)
     assert got == wanted and len(got[0]) == 4
+
+
+def test_cells_share_rows_of_state(spark, tmp_path):
+    """However many cells there are, Python is called once a bucket, and cells of a bucket keep apart."""
+    from placeledger.streaming.cell_life import cell_changes, current_cells
+    from placeledger.streaming.flows import append_available
+
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "cell_id bigint, attempt int, event string, at timestamp"
+    parts = [
+        "SELECT id AS cell_id, 1 AS attempt, 'running' AS event, timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, id) AS at FROM range(60)",
+        "SELECT id, 1, 'failed', timestamp'2024-01-01 02:00:00' FROM range(0, 60, 3)", "SELECT 999, 1, 'running', timestamp'2024-01-02'"]
+    for part in parts:
+        spark.sql(part).toDF("cell_id", "attempt", "event", "at").coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(schema).parquet(inbox)
+        query = append_available(cell_changes(stream, 2, 30, "10 minutes", buckets=3), out, state)
+        query.awaitTermination()
+        assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3
+    changes = spark.read.parquet(out)
+    got = {r["cell_id"]: (r["status"], r["attempts"], r["interrupted"]) for r in current_cells(changes).collect()}
+    assert got == {999: ("in_progress", 1, False)} | {n: ("pending", 1, n % 3 > 0) for n in range(60)}
+    assert changes.groupBy("cell_id", "change").count().filter("count > 1").isEmpty()

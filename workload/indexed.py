@@ -10,7 +10,7 @@ from placeledger.operators.identity_index import create_index, resolve_next, res
 from placeledger.operators.locate import regions_of_points
 from placeledger.operators.nearest import nearest_points
 from placeledger.operators.rings import assemble_rings
-from placeledger.session import run_dir
+from placeledger.session import cut_lineage, run_dir
 from placeledger.sources import buckets as B, history as H
 from placeledger.streaming import flows
 from placeledger.streaming.cell_life import cell_changes, current_cells, numbered_attempts
@@ -287,14 +287,15 @@ def stream_cells(spark, sf):
     happened = F.filter(F.array(
         F.struct(F.lit("running").alias("event"), F.col("at").alias("at")),
         F.struct(ended.alias("event"), (F.col("at") + E("INTERVAL 1 HOUR")).alias("at"))), lambda e: e["event"].isNotNull())
-    rows = attempts.select("cell_id", "attempt", F.inline(happened))
+    rows = cut_lineage(attempts.select("cell_id", "attempt", F.inline(happened)))
+    files = max(4, spark.sparkContext.defaultParallelism)
     landing, out, state = (run_dir(spark, name) for name in ("attempts", "cell-changes", "cell-changes-state"))
     first, last = orders.agg(F.min("at"), F.max("at")).first()
     cuts = [first, first + (last - first) / 3, first + (last - first) * 2 / 3, None]
     for start, end in zip(cuts, cuts[1:]):
         span = rows.filter(F.col("at") >= start) if end is None else rows.filter((F.col("at") >= start) & (F.col("at") < end))
-        span.unionByName(span).repartition(4).write.mode("append").parquet(landing)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 4).parquet(landing)
+        span.unionByName(span).repartition(files).write.mode("append").parquet(landing)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(landing)
     for _ in range(2):
         flows.append_available(cell_changes(stream, RETRIES, STALE_DAYS * 24 * 60), out, state).awaitTermination()
     return current_cells(spark.read.parquet(out)).drop("at")
