@@ -70,7 +70,13 @@ def regions_of_points(
     point ids must be unique.
     """
     tiles, edges = tile_index(boundaries, size, by)
-    tiles = cut_lineage(tiles)
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    # A level edge crosses nothing.
+    passing = edges.filter(low < high).groupBy(by, "row").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    sloped = tiles.filter("is_outline").join(passing, [by, "row"]).select(by, "row", "col", "is_outline", "edges")
+    plain = tiles.filter("NOT is_outline").withColumn("edges", F.lit(None).cast(passing.schema["edges"].dataType))
+    tiles = cut_lineage(sloped.unionByName(plain))
+    west, east = tiles.agg(F.min("col"), F.max("col")).first()
     lat, lon = F.col(at[0]).cast("double"), F.col(at[1]).cast("double")
     once = F.pmod(lon + 180, F.lit(360.0)) - 180
     # Outlines may run up to half a turn over either end of the map.
@@ -79,10 +85,12 @@ def regions_of_points(
         point_id, lat.alias("y"), F.explode(F.array(turned, turned - 360, turned + 360)).alias("x"))
     spread = seen.select(
         point_id, "x", "y", F.floor(F.col("y") / size).cast("bigint").alias("row"), F.floor(F.col("x") / size).cast("bigint").alias("col"))
-    met = spread.join(tiles, ["row", "col"])
-    sure = met.filter("NOT is_outline").select(point_id, by)
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    beside = met.filter("is_outline").select(point_id, by, "x", "y", "row").join(edges, [by, "row"]).filter(
-        (low <= F.col("y")) & (F.col("y") < high))
-    crossed = beside.groupBy(point_id, by, "x").agg(F.count_if(_x_at(F.col("y")) > F.col("x")).alias("n"))
-    return sure.unionByName(crossed.filter("n % 2 = 1").select(point_id, by))
+    # A turn in which no region lies is not sent; a point meets its tiles with their edges, so that
+    # it is decided where it meets them and pairs of point and region are never shuffled.
+    met = spread.filter(F.col("col").between(F.lit(west), F.lit(east))).join(tiles, ["row", "col"])
+
+    def crossed(e: Column) -> Column:
+        x = e["x1"] + (F.col("y") - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
+        return (F.least(e["y1"], e["y2"]) <= F.col("y")) & (F.col("y") < F.greatest(e["y1"], e["y2"])) & (x > F.col("x"))
+
+    return met.filter(~F.col("is_outline") | (F.size(F.filter("edges", crossed)) % 2 == 1)).select(point_id, by)

@@ -62,3 +62,17 @@ def test_cells_share_rows_of_state(spark, tmp_path):
     got = {r["cell_id"]: (r["status"], r["attempts"], r["interrupted"]) for r in current_cells(changes).collect()}
     assert got == {999: ("in_progress", 1, False)} | {n: ("pending", 1, n % 3 > 0) for n in range(60)}
     assert changes.groupBy("cell_id", "change").count().filter("count > 1").isEmpty()
+
+
+def test_pairs_of_point_and_region_are_not_shuffled(spark, tmp_path):
+    from placeledger.operators.locate import regions_of_points
+
+    square = lambda n: [{"points": [{"lon": x, "lat": y} for x, y in ((n, 0.0), (1.02, 0.0), (1.02, 1.0 + n), (n, 1.0))]}]
+    boundaries = spark.createDataFrame(
+        [(n, square(n / 100)) for n in range(30)], "region_id bigint, rings array<struct<points:array<struct<lon:double,lat:double>>>>")
+    points = spark.range(500).selectExpr("id AS point", "id % 10 * 0.1 + 0.313 AS lon", "0.001 * id AS lat")
+    found = regions_of_points(points, boundaries, "point")
+    inside = points.join(boundaries, how="cross").filter("lon < 1.02 AND lon > region_id / 100")
+    assert found.count() == inside.count() and found.distinct().count() == found.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "Exchange hashpartitioning(point" not in plan
