@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from placeledger.fixed_values import EARTH_RADIUS_METERS
 from placeledger.functions.geo import distance_m, unwrap_longitude
 
+# Parts of a tile's points.
+PARTS = 4
 _DEGREE_M = EARTH_RADIUS_METERS * math.pi / 180
 
 
@@ -38,7 +40,9 @@ def points_within(centres: DataFrame, points: DataFrame, radius_m: float, centre
     Space is cut into tiles a little wider than the radius. A centre looks into its own
     and the eight adjacent tiles, so an equality join on the tile replaces comparing
     everything with everything. Centres are the smaller side by nature (one per scan
-    cell); a tile crowded with points is split by adaptive skew handling.
+    cell); they go to each of the few parts that a tile's points are dealt to. What a task has to
+    do is the pairs it meets, not the rows it reads, so the number of tasks is that of the
+    session's shuffles and is not lowered for small inputs.
     Longitudes may be given in any turn; they are brought to one, and a centre whose circle
     crosses the 180th meridian looks in from the other side too.
     """
@@ -47,8 +51,8 @@ def points_within(centres: DataFrame, points: DataFrame, radius_m: float, centre
     lat, lon = F.col(point_at[0]), _one_turn(F.col(point_at[1]))
     row, column = _tile(lat, lon, width)
     tiled = points.select(
-        point_id, lat.alias("_plat"), lon.alias("_plon"), row.alias("_row"), column.alias("_col")
-    )
+        point_id, lat.alias("_plat"), lon.alias("_plon"), row.alias("_row"), column.alias("_col"),
+        F.pmod(F.xxhash64(point_id), F.lit(PARTS)).alias("_part"))
     clat, clon = F.col(centre_at[0]), _one_turn(F.col(centre_at[1]))
     rows = centres.select(
         centre_id, clat.alias("_clat"), clon.alias("_clon"),
@@ -68,8 +72,10 @@ def points_within(centres: DataFrame, points: DataFrame, radius_m: float, centre
 
     # Near a pole the turns meet in the same columns.
     columns = F.array_distinct(F.flatten(F.transform(turns, lambda t: F.sequence(end(t, -reach), end(t, reach)))))
-    looked = rows.select(centre_id, "_clat", "_clon", "_row", F.explode(columns).alias("_col"))
-    pairs = looked.join(tiled, ["_row", "_col"]).withColumn(
+    parts = F.sequence(F.lit(0).cast("bigint"), F.lit(PARTS - 1).cast("bigint"))
+    looked = rows.select(centre_id, "_clat", "_clon", "_row", F.explode(columns).alias("_col")).withColumn("_part", F.explode(parts))
+    place, tasks = ["_row", "_col", "_part"], int(centres.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = looked.repartition(tasks, *place).join(tiled.repartition(tasks, *place), place).withColumn(
         "distance_m", distance_m(F.col("_clat"), F.col("_clon"), F.col("_plat"), unwrap_longitude("_plon", "_clon"))
     )
     return pairs.filter(F.col("distance_m") <= radius_m).select(centre_id, point_id, "distance_m")

@@ -76,3 +76,21 @@ def test_pairs_of_point_and_region_are_not_shuffled(spark, tmp_path):
     assert found.count() == inside.count() and found.distinct().count() == found.count()
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" not in plan and "Exchange hashpartitioning(point" not in plan
+
+
+def test_one_tile_is_shared_by_tasks(spark):
+    """All points in one place: their pairs are met in more than one task."""
+    from pyspark.sql import functions as F
+
+    from placeledger.operators.nearby import points_within
+
+    centres = spark.createDataFrame([(n, 10.0, 20.0) for n in range(20)], "centre bigint, lat double, lon double")
+    points = spark.createDataFrame([(n, 10.0, 20.0) for n in range(400)], "point bigint, lat double, lon double")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pairs = points_within(centres, points, 1000.0, "centre", "point").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert len(pairs) == 8000 == len({(r["centre"], r["point"]) for r in pairs})
+    assert len({r["task"] for r in pairs}) > 1
