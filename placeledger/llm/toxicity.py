@@ -124,6 +124,22 @@ def swapped(text: str | None, terms: tuple = IDENTITY_TERMS + IDENTITY_ADJECTIVE
     return out
 
 
+class Presence:
+    """A 0/1 matrix kept as the columns of its ones, row after row."""
+
+    def __init__(self, sets: list[np.ndarray], columns: np.ndarray):
+        found = [np.searchsorted(columns, s[np.isin(s, columns)]).astype(np.int32) for s in sets]
+        self.rows, self.width = len(sets), len(columns)
+        self.row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(f) for f in found])
+        self.column = np.concatenate([np.zeros(0, dtype=np.int32), *found])
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.column], self.rows)
+
+    def turned_times(self, e: np.ndarray) -> np.ndarray:
+        return np.bincount(self.column, e[self.row], self.width)
+
+
 @dataclass
 class ToxicityModel:
     features: np.ndarray  # ascending
@@ -182,7 +198,7 @@ def train(
             x[i, np.searchsorted(kept, d[np.isin(d, kept)])] = 1
         return x
 
-    x = rows(docs)
+    x = Presence(docs, kept)
     # Texts often change alike; equal changes are one row with its share.
     turned = (rows([s for _, s in pairs]) - rows([d for d, _ in pairs])).astype(np.int8)
     change, often = np.unique(turned, axis=0, return_counts=True) if len(turned) else (turned, np.zeros(0))
@@ -193,15 +209,16 @@ def train(
     y = labels.astype(np.float32)
 
     def slope(w: np.ndarray, b: float) -> tuple[np.ndarray, float]:
-        error = (1 / (1 + np.exp(-np.clip(x @ w + b, -60, 60))) - y) * balance / size
+        error = (1 / (1 + np.exp(-np.clip(x.times(w) + b, -60, 60))) - y) * balance / size
         pull = change.T @ (share * (change @ w)) if len(change) else 0
-        return x.T @ error.astype(np.float32) + ridge / size * w + 2 * penalty * pull, float(error.sum())
+        return x.turned_times(error) + ridge / size * w + 2 * penalty * pull, float(error.sum())
 
     # The largest curvature, by a few power steps.
     v = np.full(len(kept) + 1, 1 / np.sqrt(len(kept) + 1), dtype=np.float32)
     steep = 1.0
     for _ in range(12):
-        g = np.append(x.T @ ((x @ v[:-1] + v[-1]) * balance / size * 0.25), ((x @ v[:-1] + v[-1]) * balance).mean() * 0.25)
+        seen = (x.times(v[:-1]) + v[-1]) * balance
+        g = np.append(x.turned_times(seen / size * 0.25), seen.mean() * 0.25)
         if len(change):
             g[:-1] += 2 * penalty * (change.T @ (share * (change @ v[:-1])))
         steep = float(np.linalg.norm(g))
