@@ -15,3 +15,12 @@ def stage(df: DataFrame, **columns: Column) -> DataFrame:
     kept = [c for c in df.columns if c not in columns]
     values = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select(*kept, F.inline(F.array(values)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of `df` (stream or batch) dealt evenly to the session's tasks.
+
+    A scan has no more tasks than its files have row groups, and a small file can hold very
+    many rows: before a costly step on each row, such as parsing, its tasks are too few.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

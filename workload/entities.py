@@ -16,6 +16,7 @@ from placeledger.operators.parse_search import parse_search, scan_coverage
 from placeledger.operators.price_state import merge_prices, summarize_prices
 from placeledger.operators.reclassify import reclassify
 from placeledger.operators.salon_state import apply_classification, apply_details
+from placeledger.operators.stage import spread
 from placeledger.plans.pricing import extract_prices, latest_payloads
 from placeledger.sources.dimensions import region_keys, sync_regions
 from placeledger.sources.evolve import union_evolved
@@ -124,7 +125,7 @@ def _details_bodies(spark, sf):
         .when(i % 10 == 2, F.lit('{"meta":{"code":200},"result":{"items":[]}}')).otherwise(ok)
     )
     http = F.when(i % 10 == 3, 429).when(i % 10 == 4, 503).otherwise(200).cast("int")
-    return table(spark, sf, "customer").select(
+    return spread(table(spark, sf, "customer")).select(
         i.alias("id"), i.alias("salon_id"), c.alias("external_id"), http.alias("http_status"), F.lit("u").alias("source_url"),
         body.alias("body"))
 
