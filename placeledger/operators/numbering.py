@@ -12,11 +12,13 @@ def number_rows(df: DataFrame, name: str, *order: str, start: int = 0) -> DataFr
 
     Rows are dealt to ranges of the order, sorted and counted there; only the counts, one a
     range, are added up in one place. The numbered rows are a table in the shared folder,
-    so rows that tie keep their numbers for whoever reads them.
+    so rows that tie keep their numbers for whoever reads them. The rows are written before
+    they are dealt as well: the bounds of the ranges take a pass of their own, which would
+    compute `df` a second time.
     """
     spark = df.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    ordered = cut_lineage(df).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     stored = cut_lineage(ordered.withColumns({"_range": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     sizes = stored.groupBy("_range").agg(F.count("*").alias("_rows"))

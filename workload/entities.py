@@ -426,7 +426,7 @@ def merge_many_items(spark, sf):
     two = F.struct(
         F.concat(F.lit("p"), (F.col("event_id") % 50).cast("string")).alias("id"),
         F.concat(F.lit("Студия "), "event_type", F.lit(" "), (F.col("user_id") % 7).cast("string")).alias("name"), kind.alias("rubrics"))
-    responses = table(spark, sf, "events").select(
+    responses = spread(table(spark, sf, "events")).select(
         F.col("event_id").alias("grid_cell_id"), F.lit(1).cast("bigint").alias("region_id"), F.lit("q").alias("query"), F.lit(1).alias("page"),
         F.lit("u").alias("source_url"), F.col("ts").cast("timestamp_ntz").alias("fetched_at"),
         F.to_json(F.struct(F.struct(F.array(one, two).alias("items")).alias("result"))).alias("body"))
