@@ -18,6 +18,7 @@ from placeledger.operators.eligibility import (
 )
 from placeledger.operators.grid import grid_cells, grid_counts, longitude_stats
 from placeledger.operators.nearby import points_within
+from placeledger.operators.stage import spread
 from placeledger.plans import reports as R
 from placeledger.session import run_dir
 from placeledger.sources.dimensions import query_list, scan_plan
@@ -457,7 +458,7 @@ def _stream_merged(spark, sf):
         F.lit(1).cast("bigint").alias("region_id"), F.lit("known").alias("name"), F.lit("kept").alias("city"))
     empty = spark.createDataFrame([], schemas.SALON)
     write_snapshot(empty.unionByName(known, allowMissingColumns=True), root, "known")
-    sightings, _ = parse_search(_as_response(_landed_events(spark, sf)))
+    sightings, _ = parse_search(_as_response(spread(_landed_events(spark, sf))))
     for _ in range(2):
         flows.merge_available(sightings, root, state, as_of(), history=history).awaitTermination()
     return root, history
