@@ -54,7 +54,7 @@ def match_existing(obs: DataFrame, current: DataFrame) -> DataFrame:
     `phone` is already normalised. The strongest level that hits wins, then the lowest
     entity id. Known keys are reduced to one row each, so the join never multiplies;
     a key shared by very many sightings is split by adaptive skew handling, and the
-    final minimum combines on the map side.
+    final minimum sees at most five rows a sighting.
     """
     known = with_keys(current, "phone").select(F.col("id").alias("_id"), F.inline("keys"))
     known = known.groupBy("key").agg(F.min("_id").alias("entity_id"))
@@ -62,7 +62,8 @@ def match_existing(obs: DataFrame, current: DataFrame) -> DataFrame:
     hits = lookup(wanted, known, "key").select("seq", F.struct("level", "entity_id").alias("hit"))
     # Sightings without any hit keep a row through the aggregate, without a second join.
     everyone = obs.select("seq", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit"))
-    best = hits.unionByName(everyone).groupBy("seq").agg(F.min("hit").alias("hit"))
+    # A sighting's few hits lie in different tasks: sorting them there to combine them would combine nothing.
+    best = hits.unionByName(everyone).repartition("seq").groupBy("seq").agg(F.min("hit").alias("hit"))
     return best.select("seq", "hit.entity_id", "hit.level")
 
 
