@@ -76,7 +76,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     never multiply, path lengths shrink by a factor per round, and a node with very
     many edges is only ever on the many side of a join against one row. Rounds are
     cut by a table written to the shared folder, so a lost executor repeats one round; a
-    round's table goes when the next one is written.
+    round's table goes when the next one is written. No join sends a side through the driver.
     """
     def least(e: DataFrame) -> DataFrame:
         return e.groupBy("a").agg(F.min("b").alias("least"))
@@ -84,14 +84,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     def large_star(e: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = least(both).select("a", F.least("a", "least").alias("least"))
-        return lookup(both, low, "a").filter(F.col("b") > F.col("a")).select(
+        return lookup(both, low, "a", broadcast=False).filter(F.col("b") > F.col("a")).select(
             F.col("b").alias("a"), F.col("least").alias("b")
         ).filter("a <> b").distinct()
 
     def small_star(e: DataFrame) -> DataFrame:
         down = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = least(down)
-        rest = lookup(down, low, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        rest = lookup(down, low, "a", broadcast=False).select(F.col("b").alias("a"), F.col("least").alias("b"))
         own = low.select("a", F.col("least").alias("b"))
         return rest.unionByName(own).filter("a <> b").distinct()
 
@@ -110,7 +110,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         after, next_step = write_step(small_star(large_star(links)))
         drop_step(edges.sparkSession, step)
         links, step = after, next_step
-    return nodes.join(links.select(F.col("a").alias("node"), F.col("b").alias("_root")), "node", "left").select(
+    roots = links.select(F.col("a").alias("node"), F.col("b").alias("_root")).hint("merge")
+    return nodes.join(roots, "node", "left").select(
         "node", F.coalesce("_root", "node").alias("component")
     )
 

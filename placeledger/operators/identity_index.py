@@ -27,7 +27,7 @@ def create_index(spark: SparkSession, root: str, buckets: int = 64) -> None:
 
 def renamed(entities: DataFrame, renames: DataFrame) -> DataFrame:
     """`entities` with column `entity` brought up to date."""
-    return lookup(entities, renames, "entity", "left").withColumn("entity", F.coalesce("now", "entity")).drop("now")
+    return lookup(entities, renames, "entity", "left", broadcast=False).withColumn("entity", F.coalesce("now", "entity")).drop("now")
 
 
 def resolve_next(obs: DataFrame, root: str, name: str) -> DataFrame:
@@ -37,7 +37,8 @@ def resolve_next(obs: DataFrame, root: str, name: str) -> DataFrame:
 
     `obs` has the identity columns and a `seq` that no other sighting of any batch has. `name` is the batch's: a
     replay overwrites its own output and gives the same entities. Sightings without a
-    key are entities of their own. Repeated keys are folded to one edge a sighting.
+    key are entities of their own. Repeated keys are folded to one edge a sighting. Joins are by
+    sorting, whatever their sides' sizes: batch after batch, broadcasts would add up on the driver.
     """
     spark = obs.sparkSession
     keyed = cut_lineage(with_keys(obs).select("seq", F.inline_outer("keys")).select("seq", "key"))
@@ -45,14 +46,14 @@ def resolve_next(obs: DataFrame, root: str, name: str) -> DataFrame:
     hubs = cut_lineage(linked.groupBy("key").agg(F.min("seq").alias("hub")))
     renames = read_snapshot(spark, f"{root}/renames")
     known = cut_lineage(renamed(rows_like(spark, f"{root}/keys", hubs), renames))
-    edges = lookup(linked, hubs, "key").select(F.col("seq").alias("a"), F.col("hub").alias("b")).unionByName(
-        known.join(hubs, "key").select(F.col("hub").alias("a"), F.col("entity").alias("b")))
+    edges = lookup(linked, hubs, "key", broadcast=False).select(F.col("seq").alias("a"), F.col("hub").alias("b")).unionByName(
+        known.join(hubs.hint("merge"), "key").select(F.col("hub").alias("a"), F.col("entity").alias("b")))
     components = cut_lineage(connected_components(edges))
     alone = F.coalesce("component", "seq").alias("entity")
-    members = lookup(keyed.select("seq").distinct(), components.withColumnRenamed("node", "seq"), "seq", "left")
+    members = lookup(keyed.select("seq").distinct(), components.withColumnRenamed("node", "seq"), "seq", "left", broadcast=False)
     members.select("seq", alone).write.mode("overwrite").parquet(f"{root}/members/batch={name}")
     moved = cut_lineage(known.select("entity").distinct().join(components.withColumnsRenamed(
-        {"node": "entity", "component": "now"}), "entity").filter("entity <> now"))
+        {"node": "entity", "component": "now"}).hint("merge"), "entity").filter("entity <> now"))
     # Renames point at today's names, never at one another.
     onward = renames.withColumnsRenamed({"entity": "first", "now": "entity"})
     write_snapshot(cut_lineage(renamed(onward, moved).select(F.col("first").alias("entity"), F.col("entity").alias("now")).unionByName(
@@ -62,7 +63,7 @@ def resolve_next(obs: DataFrame, root: str, name: str) -> DataFrame:
         both = before.select("key", "entity", F.lit(0).alias("age")).unionByName(batch.select("key", "entity", F.lit(1).alias("age")))
         return both.groupBy("key").agg(F.max_by("entity", "age").alias("entity"))
 
-    fresh = hubs.join(components, hubs["hub"] == components["node"]).select("key", F.col("component").alias("entity"))
+    fresh = hubs.join(components.hint("merge"), hubs["hub"] == components["node"]).select("key", F.col("component").alias("entity"))
     merge_batch(fresh, f"{root}/keys", merge, name)
     return moved
 

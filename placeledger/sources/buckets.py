@@ -94,7 +94,8 @@ def rows_like(spark: SparkSession, root: str, batch: DataFrame) -> DataFrame:
     rows = manifest(spark, root).collect()
     own = _settings(rows)
     wanted = batch.select(*own["key"]).distinct()
-    return _read(spark, root, rows, touched_buckets(wanted, own["key"], own["buckets"])).join(wanted, own["key"], "left_semi")
+    return _read(spark, root, rows, touched_buckets(wanted, own["key"], own["buckets"])).join(
+        wanted.hint("merge"), own["key"], "left_semi")
 
 
 def merge_batch(
