@@ -48,17 +48,25 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+@contextmanager
+def set_for(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for what runs inside."""
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @contextmanager
 def shuffles_freed(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of what is written inside go when it is written, not when the driver's
     memory happens to be collected."""
-    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "true")
-    try:
+    with set_for(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
         yield
-    finally:
-        spark.conf.set(setting, before)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
