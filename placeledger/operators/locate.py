@@ -2,7 +2,9 @@
 
 Space is cut into square tiles of degrees. A tile that a region's outline does not touch lies
 inside it as a whole or not at all, so a point there needs no geometry. Only points in tiles of
-the outline are compared with edges, those of the region that pass their row of tiles.
+the outline are compared with edges, those of the region that pass their row of tiles and do not
+lie wholly to the west of the tile. Edges wholly to its east that pass the row from end to end cross
+alike for all points of the tile and are counted once.
 """
 
 from __future__ import annotations
@@ -13,6 +15,10 @@ from placeledger.functions.geo import unwrap_longitude
 from placeledger.session import cut_lineage
 
 TILE_DEGREES = 0.05
+# Edges of a tile that are compared in generated code; further ones by a function over the list.
+UNROLLED = 6
+# By this much of a degree an edge must miss a tile before it is left out there.
+_MARGIN = 1e-6
 
 
 def _edges(boundaries: DataFrame, by: str) -> DataFrame:
@@ -58,6 +64,46 @@ def tile_index(boundaries: DataFrame, size: float = TILE_DEGREES, by: str = "reg
     return tiles, by_row
 
 
+def _decided(tiles: DataFrame, edges: DataFrame, size: float, by: str) -> DataFrame:
+    """Tiles that hold points of the region: (region, row, col, odd, edges). A point there is inside
+    when its crossings with `edges`, flat runs of x1, y1, x2, y2, are odd, or even where `odd`."""
+    # A level edge crosses nothing, nor does one without an end's place.
+    sloped = edges.filter((F.least("y1", "y2") < F.greatest("y1", "y2")) & F.col("x1").isNotNull() & F.col("x2").isNotNull())
+    passing = sloped.groupBy(by, "row").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
+    south, north = F.col("row") * size - _MARGIN, (F.col("row") + 1) * size + _MARGIN
+    west, east = F.col("col") * size - _MARGIN, (F.col("col") + 1) * size + _MARGIN
+
+    def alike(e: Column) -> Column:
+        return (F.least(e["x1"], e["x2"]) > east) & (F.least(e["y1"], e["y2"]) < south) & (F.greatest(e["y1"], e["y2"]) > north)
+
+    def compared(e: Column) -> Column:
+        return (F.greatest(e["x1"], e["x2"]) >= west) & ~alike(e)
+
+    runs = F.flatten(F.transform(F.filter("edges", compared), lambda e: F.array(e["x1"], e["y1"], e["x2"], e["y2"])))
+    outline = tiles.filter("is_outline").join(passing, [by, "row"]).select(
+        by, "row", "col", (F.size(F.filter("edges", alike)) % 2 == 1).alias("odd"), runs.alias("edges"))
+    inside = tiles.filter("NOT is_outline").select(
+        by, "row", "col", F.lit(True).alias("odd"), F.array().cast("array<double>").alias("edges"))
+    return outline.filter(F.col("odd") | (F.size("edges") > 0)).unionByName(inside)
+
+
+def _inside(x: Column, y: Column, most: int) -> Column:
+    """Whether the crossings to the east of (x, y) are odd, of a row of `_decided` with at most `most` edges."""
+    def crossed(at: Column | int) -> Column:
+        x1, y1, x2, y2 = (F.get("edges", at + i if isinstance(at, Column) else F.lit(at + i)) for i in range(4))
+        # From the lower end up to, not including, the upper.
+        return ((y1 <= y) != (y2 <= y)) & (x1 + (y - y1) * (x2 - x1) / (y2 - y1) > x)
+
+    odd = F.col("odd")
+    for k in range(min(UNROLLED, most)):
+        odd = odd != F.when(F.size("edges") > 4 * k, crossed(4 * k)).otherwise(False)
+    if most <= UNROLLED:
+        return odd
+    # A function over a list anywhere in it would keep all of the test out of generated code.
+    further = F.filter(F.sequence(F.lit(4 * UNROLLED), F.size("edges") - 4, F.lit(4)), crossed)
+    return F.when(F.size("edges") <= 4 * UNROLLED, odd).otherwise(odd != (F.size(further) % 2 == 1))
+
+
 def regions_of_points(
     points: DataFrame, boundaries: DataFrame, point_id: str, at: tuple[str, str] = ("lat", "lon"),
     size: float = TILE_DEGREES, by: str = "region_id",
@@ -69,14 +115,8 @@ def regions_of_points(
     end up to, not including, its upper. Longitudes of points may be given in any turn. Points without coordinates have no row;
     point ids must be unique.
     """
-    tiles, edges = tile_index(boundaries, size, by)
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    # A level edge crosses nothing.
-    passing = edges.filter(low < high).groupBy(by, "row").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges"))
-    sloped = tiles.filter("is_outline").join(passing, [by, "row"]).select(by, "row", "col", "is_outline", "edges")
-    plain = tiles.filter("NOT is_outline").withColumn("edges", F.lit(None).cast(passing.schema["edges"].dataType))
-    tiles = cut_lineage(sloped.unionByName(plain))
-    west, east = tiles.agg(F.min("col"), F.max("col")).first()
+    tiles = cut_lineage(_decided(*tile_index(boundaries, size, by), size, by))
+    west, east, longest = tiles.agg(F.min("col"), F.max("col"), F.max(F.size("edges"))).first()
     lat, lon = F.col(at[0]).cast("double"), F.col(at[1]).cast("double")
     once = F.pmod(lon + 180, F.lit(360.0)) - 180
     # Outlines may run up to half a turn over either end of the map.
@@ -88,9 +128,4 @@ def regions_of_points(
     # A turn in which no region lies is not sent; a point meets its tiles with their edges, so that
     # it is decided where it meets them and pairs of point and region are never shuffled.
     met = spread.filter(F.col("col").between(F.lit(west), F.lit(east))).join(tiles, ["row", "col"])
-
-    def crossed(e: Column) -> Column:
-        x = e["x1"] + (F.col("y") - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])
-        return (F.least(e["y1"], e["y2"]) <= F.col("y")) & (F.col("y") < F.greatest(e["y1"], e["y2"])) & (x > F.col("x"))
-
-    return met.filter(~F.col("is_outline") | (F.size(F.filter("edges", crossed)) % 2 == 1)).select(point_id, by)
+    return met.filter(_inside(F.col("x"), F.col("y"), (longest or 0) // 4)).select(point_id, by)
